@@ -205,3 +205,44 @@ def lookup_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = book_key(p)
     return base.select(F.when(p % 20 == 10, F.lower(key)).otherwise(key).alias("isbn"),
                        "target", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
+
+
+def lookup_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answer documents of the lookup service: one JSON object per group of keys, keyed
+    ``ISBN:<key>``, holding only found keys (absent keys mean "not found").
+
+    Keys are grouped by their first eight characters (at most ten keys per group), so
+    every ``collect_list`` is bounded.
+    """
+    req = lookup_requests(spark, sf_dir).drop("target").distinct()
+    p = F.col("p_partkey")
+    found = req.where(p % 7 != 0)
+    payload = lookup_payload(p, F.col("p_name"), F.col("p_brand"), F.col("p_type"), F.col("p_size"))
+    ol = F.concat(F.lit("OL"), p.cast("string"))
+    url = (F.when(p % 3 == 0, F.concat(F.lit(AUTHOR_URL_PREFIX), ol, F.lit("A/")))
+           .when(p % 3 == 1, F.concat(F.lit(AUTHOR_URL_PREFIX), ol, F.lit("A/Some_Name")))
+           .otherwise(F.concat(F.lit("https://catalog.example/people/"), ol, F.lit("A"))))
+    first = F.struct(_author_raw(p, F.col("p_size"), F.col("p_type")).alias("name"), url.alias("url"))
+    second = F.struct(F.concat(F.lit("Second "), F.col("p_type")).alias("name"),
+                      F.concat(F.lit(AUTHOR_URL_PREFIX), ol, F.lit("B")).alias("url"))
+    authors = (F.when(p % 9 == 1, F.array().cast("array<struct<name:string,url:string>>"))
+               .when(p % 5 == 0, F.array(first, second)).otherwise(F.array(first)))
+    subjects = F.transform(F.sequence(F.lit(1), (F.lit(2) + p % 30).cast("int")),
+                           lambda i: F.struct(F.concat(F.col("p_type"), F.lit(" "), i.cast("string")).alias("name")))
+    value = F.struct(payload["title"].alias("title"), authors.alias("authors"), subjects.alias("subjects"),
+                     payload["number_of_pages"].alias("number_of_pages"),
+                     payload["publish_date"].alias("publish_date"))
+    entry = F.struct(F.concat(F.lit("ISBN:"), F.col("isbn")).alias("key"), value.alias("value"))
+    grouped = found.groupBy(F.substring("isbn", 1, 8).alias("grp")).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("m"))
+    return grouped.select("grp", F.to_json("m").alias("body"))
+
+
+def lookup_output_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Earlier lookup output as JSON lines, plus a truncated copy of every not-found line
+    (a write cut short), which a tolerant reader must skip."""
+    rec = raw_lookup_records(spark, sf_dir)
+    fields = ["isbn", "target", "found", "title", "authors", "subjects", "number_of_pages", "publish_date"]
+    good = rec.select(F.to_json(F.struct(*fields)).alias("value"))
+    broken = rec.where(~F.col("found")).select(F.concat(F.lit('{"isbn": "'), F.col("isbn")).alias("value"))
+    return good.unionByName(broken)
