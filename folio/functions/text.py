@@ -41,10 +41,10 @@ def strip_ws(c) -> Column:
 
 def _repair_once(c: Column) -> Column:
     # Only text made of code points <= U+00FF can be re-encoded as Latin-1; the guard sits
-    # inside the argument because encode/decode raise on bad input under ANSI.
+    # inside the argument because encode raises on unmappable input under ANSI. The bytes
+    # are then read as UTF-8 and kept only if valid (try_validate_utf8 gives NULL if not).
     latin1 = F.encode(F.when(~c.rlike(r"[^\x00-\xFF]"), c), "ISO-8859-1")
-    valid = F.when(F.is_valid_utf8(latin1.cast("string")), latin1)
-    return F.coalesce(F.decode(valid, "UTF-8"), c)
+    return F.coalesce(F.try_validate_utf8(latin1.cast("string")), c)
 
 
 def fix_mojibake(c) -> Column:

@@ -11,8 +11,9 @@ row per key -- meets the catalogue. Consequences at scale:
   the shuffle instead of landing in one join task;
 * ``COUNT(DISTINCT isbn)`` becomes a plain count of summary rows (keys are unique in the
   catalogue), so no distinct-aggregation expand is needed;
-* the population mean C is ``sum / count`` over the same summary: exact, because the
-  grades are integers, and computed from a frame whose exchange Spark reuses.
+* the population mean C is ``sum / count`` over the joined summary: exact, because the
+  grades are integers; it is a global partial aggregate over the join input, not a
+  second grouping, and the join's exchanges are reused (or absent when bucketed).
 
 C is a one-row aggregate; it is joined with ``broadcast`` because its size is one row by
 construction. The catalogue side is never force-broadcast: AQE and
@@ -58,7 +59,8 @@ def v_books(ratings: DataFrame, books: DataFrame, m: int = DEFAULT_M, stats: Dat
         F.max("image_url").alias("image_url"),
     )
     avg = ratio("_sum", "ratings_cnt")
-    return _with_prior(per_book, _prior(per_book, "ratings_cnt", "_sum")).select(
+    # C straight from the joined key summary: a global partial aggregate, no regrouping.
+    return _with_prior(per_book, _prior(joined, "n_explicit", "sum_explicit")).select(
         "title", "author", "year_of_publication", "editions", "readers_total", "ratings_cnt",
         F.round(avg, 2).alias("avg_rating"),
         weighted_rating("ratings_cnt", avg, "_c", m).alias("weighted_rating"),
@@ -78,7 +80,7 @@ def v_authors(ratings: DataFrame, books: DataFrame, m: int = DEFAULT_M, stats: D
     per_author = joined.groupBy("author").agg(
         F.sum("n_explicit").alias("ratings_cnt"), F.sum("sum_explicit").alias("_sum"))
     avg = ratio("_sum", "ratings_cnt")
-    return _with_prior(per_author, _prior(per_author, "ratings_cnt", "_sum")).select(
+    return _with_prior(per_author, _prior(joined, "n_explicit", "sum_explicit")).select(
         "author", "ratings_cnt", F.round(avg, 2).alias("avg_rating"),
         weighted_rating("ratings_cnt", avg, "_c", m).alias("weighted_rating"))
 

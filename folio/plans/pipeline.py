@@ -15,6 +15,7 @@ Storage layout decisions for scale
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -71,21 +72,32 @@ def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int
     has_lookup = spark.catalog.tableExists(f"{bronze_db}.open_library")
     lookup = spark.table(f"{bronze_db}.open_library") if has_lookup else None
 
-    _write(silver.ratings_split(spark.table(f"{bronze_db}.ratings")), t("ratings_all"), report, "ratings_all",
-           partition_by="_quarantined")
-    spark.sql(f"CREATE OR REPLACE VIEW {t('ratings')} AS SELECT user_id, isbn, rating, _source_file, _ingested_at, "
-              f"is_explicit, _transformed_at FROM {t('ratings_all')} WHERE NOT _quarantined")
-    spark.sql(f"CREATE OR REPLACE VIEW {t('quarantine_ratings')} AS SELECT user_id, isbn, rating, _source_file, "
-              f"_ingested_at, reason FROM {t('ratings_all')} WHERE _quarantined")
-
     raw_books = spark.table(f"{bronze_db}.books")
-    _write(silver.quarantine_books(raw_books), t("quarantine_books"), report, "quarantine_books")
-    _write(silver.silver_books(raw_books, lookup), t("books"), report, "books", bucket_by="isbn", buckets=buckets)
-    _write(silver.silver_enrichment(lookup), t("book_enrichment"), report, "book_enrichment",
-           bucket_by="isbn", buckets=buckets)
-    _write(silver.silver_users(spark.table(f"{bronze_db}.users")), t("users"), report, "users")
-    _write(gold.rating_stats(spark.table(t("ratings"))), t("rating_stats"), report, "rating_stats",
-           bucket_by="isbn", buckets=buckets)
+
+    def ratings_chain():
+        _write(silver.ratings_split(spark.table(f"{bronze_db}.ratings")), t("ratings_all"), report, "ratings_all",
+               partition_by="_quarantined")
+        spark.sql(f"CREATE OR REPLACE VIEW {t('ratings')} AS SELECT user_id, isbn, rating, _source_file, "
+                  f"_ingested_at, is_explicit, _transformed_at FROM {t('ratings_all')} WHERE NOT _quarantined")
+        spark.sql(f"CREATE OR REPLACE VIEW {t('quarantine_ratings')} AS SELECT user_id, isbn, rating, "
+                  f"_source_file, _ingested_at, reason FROM {t('ratings_all')} WHERE _quarantined")
+        _write(gold.rating_stats(spark.table(t("ratings"))), t("rating_stats"), report, "rating_stats",
+               bucket_by="isbn", buckets=buckets)
+
+    # Independent outputs are separate Spark jobs submitted from parallel threads, so small
+    # tables do not wait behind the ratings write and the executors stay busy.
+    jobs = [
+        ratings_chain,
+        lambda: _write(silver.quarantine_books(raw_books), t("quarantine_books"), report, "quarantine_books"),
+        lambda: _write(silver.silver_books(raw_books, lookup), t("books"), report, "books",
+                       bucket_by="isbn", buckets=buckets),
+        lambda: _write(silver.silver_enrichment(lookup), t("book_enrichment"), report, "book_enrichment",
+                       bucket_by="isbn", buckets=buckets),
+        lambda: _write(silver.silver_users(spark.table(f"{bronze_db}.users")), t("users"), report, "users"),
+    ]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for fut in [pool.submit(j) for j in jobs]:
+            fut.result()
     return report
 
 

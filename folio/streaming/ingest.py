@@ -13,6 +13,7 @@ Checkpoints and table paths must live on shared storage (the folder named by
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,17 +73,23 @@ def ingest_json(spark: SparkSession, landing: str, checkpoint_root: str, feed: s
 
 
 def ingest_all(spark: SparkSession, landing: str, checkpoint_root: str, tables: dict[str, str] | None = None,
-               paths: dict[str, str] | None = None) -> list[IngestResult]:
-    """Run the independent streams one after another (CSV feeds, then the lookup feed)."""
-    out = []
-    for feed in ("books", "ratings", "users"):
-        out.append(ingest_csv(spark, landing, feed, checkpoint_root,
-                              table=(tables or {}).get(feed), path=(paths or {}).get(feed)))
-    res = ingest_json(spark, landing, checkpoint_root, table=(tables or {}).get("open_library"),
-                      path=(paths or {}).get("open_library"))
-    if res is not None:
-        out.append(res)
-    return out
+               paths: dict[str, str] | None = None, concurrent: bool = True) -> list[IngestResult]:
+    """Run the four independent streams (CSV feeds and the lookup feed).
+
+    Each stream has its own checkpoint and sink, so they can run at the same time; with
+    ``concurrent=False`` they run one after another as in the reference.
+    """
+    tables, paths = tables or {}, paths or {}
+    jobs = [lambda f=feed: ingest_csv(spark, landing, f, checkpoint_root, table=tables.get(f), path=paths.get(f))
+            for feed in ("books", "ratings", "users")]
+    jobs.append(lambda: ingest_json(spark, landing, checkpoint_root, table=tables.get("open_library"),
+                                    path=paths.get("open_library")))
+    if concurrent:
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            results = [f.result() for f in [pool.submit(j) for j in jobs]]
+    else:
+        results = [j() for j in jobs]
+    return [r for r in results if r is not None]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
