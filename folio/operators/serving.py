@@ -74,6 +74,11 @@ def ds_top_by_genre(genre_view: DataFrame, genre: str = DEFAULT_GENRE, n: int =
             .orderBy(_desc("weighted_rating"), _asc("title"), _asc("author")).limit(n))
 
 
+def for_display(top: DataFrame, column: str) -> DataFrame:
+    """Re-sort an already limited top list ascending for a bar chart (same rows)."""
+    return top.orderBy(F.col(column).asc_nulls_first())
+
+
 def ds_year_bounds(trend: DataFrame) -> DataFrame:
     return trend.agg(F.min("year_of_publication").alias("min_year"),
                      F.max("year_of_publication").alias("max_year"))

@@ -44,9 +44,12 @@ def csv_schema(feed: str) -> T.StructType:
     return T.StructType(fields + [T.StructField(RESCUE, T.StringType())])
 
 
-def _csv_options(reader, header: bool = True):
-    return (reader.option("header", str(header).lower()).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", RESCUE).option("enforceSchema", "true"))
+def _csv_options(reader, header: bool = True, escape: str | None = None):
+    """Reference behaviour is Spark's default quoting (escape = backslash); ``escape='"'``
+    reads RFC-4180 doubled quotes such as ``"He said ""hi"", ok"`` as one field."""
+    reader = (reader.option("header", str(header).lower()).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", RESCUE).option("enforceSchema", "true"))
+    return reader.option("escape", escape) if escape else reader
 
 
 def lineage(df: DataFrame) -> DataFrame:
@@ -55,14 +58,16 @@ def lineage(df: DataFrame) -> DataFrame:
             .withColumn("_ingested_at", F.current_timestamp()))
 
 
-def read_csv_feed(spark: SparkSession, path: str, feed: str, header: bool = True) -> DataFrame:
+def read_csv_feed(spark: SparkSession, path: str, feed: str, header: bool = True,
+                  escape: str | None = None) -> DataFrame:
     """Batch read of a CSV feed with the rescue column."""
-    return lineage(_csv_options(spark.read.schema(csv_schema(feed)), header).csv(path))
+    return lineage(_csv_options(spark.read.schema(csv_schema(feed)), header, escape).csv(path))
 
 
-def stream_csv_feed(spark: SparkSession, path: str, feed: str, max_files: int | None = None) -> DataFrame:
+def stream_csv_feed(spark: SparkSession, path: str, feed: str, max_files: int | None = None,
+                    escape: str | None = None) -> DataFrame:
     """Incremental read: the file source lists the path/glob and processes each file once."""
-    reader = _csv_options(spark.readStream.schema(csv_schema(feed)))
+    reader = _csv_options(spark.readStream.schema(csv_schema(feed)), escape=escape)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return lineage(reader.csv(path))
@@ -109,3 +114,8 @@ def write_json_feed(df: DataFrame, path: str, mode: str = "append") -> None:
 def read_json_tolerant(spark: SparkSession, path: str, schema: T.StructType = LOOKUP_SCHEMA) -> DataFrame:
     """Earlier output read back; lines that do not parse are dropped."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """Read an append-only parquet table whose later appends added columns (schema merge)."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
