@@ -66,3 +66,32 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         pieces.append(uuid.uuid4().hex[:12])
     return os.path.join(*pieces) if "://" not in root else "/".join(pieces)
+
+
+MAX_SHUFFLE_PARTITIONS = 32768
+
+
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Starting configuration for a run over ``input_bytes`` of parquet on ``total_cores``.
+
+    * Scan splits of ``target_partition_bytes`` keep every task's input in memory budget.
+    * The initial shuffle partition count is sized for the larger shuffles (the ratings
+      summary and the catalogue joins) at about the same bytes per partition, and never
+      below three waves of cores; AQE then coalesces small partitions and splits skewed
+      ones at run time, so this is an upper bound rather than a guess to get exactly right.
+      It is capped, because map-output bookkeeping grows with maps x reducers, and after
+      the per-key pre-aggregation the shuffles are far smaller than the input.
+    * Automatic broadcast stays at Spark's measured-size threshold.
+    """
+    shuffle = max(3 * total_cores, min(MAX_SHUFFLE_PARTITIONS, int(input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.sources.bucketing.enabled": "true",
+    }

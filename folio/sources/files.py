@@ -65,11 +65,13 @@ def read_csv_feed(spark: SparkSession, path: str, feed: str, header: bool = True
 
 
 def stream_csv_feed(spark: SparkSession, path: str, feed: str, max_files: int | None = None,
-                    escape: str | None = None) -> DataFrame:
+                    escape: str | None = None, archive_dir: str | None = None) -> DataFrame:
     """Incremental read: the file source lists the path/glob and processes each file once."""
     reader = _csv_options(spark.readStream.schema(csv_schema(feed)), escape=escape)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return lineage(reader.csv(path))
 
 

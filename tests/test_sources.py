@@ -101,3 +101,23 @@ def test_optional_secondary_source(spark):
         "Publisher string, `Image-URL-L` string, _source_file string").withColumn("_ingested_at", F.current_timestamp())
     books = silver.silver_books(raw_books, None)
     assert [r.source for r in books.collect()] == ["kaggle"]
+
+
+def test_bounded_batches_and_archive(spark):
+    root = _tmp()
+    landing = os.path.join(root, "landing")
+    head = "User-ID,ISBN,Book-Rating"
+    for i in range(3):
+        _write_lines(os.path.join(landing, "ratings"), f"Ratings_{i}.csv", [head, f"{i},K{i},1"])
+    res = ingest.ingest_csv(spark, landing, "ratings", os.path.join(root, "ckpt"), path=os.path.join(root, "out"),
+                            max_files=1, archive_dir=os.path.join(root, "archive"))
+    assert (res.rows, res.batches) == (3, 3)
+
+
+def test_recommended_conf_bounds():
+    from folio.session import recommended_conf
+
+    small = recommended_conf(10 << 20, total_cores=8)
+    big = recommended_conf(100 << 40, total_cores=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    assert int(big["spark.sql.shuffle.partitions"]) == 32768
