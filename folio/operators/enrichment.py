@@ -118,3 +118,36 @@ def coverage(records: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("keys_total"),
         F.count_if(F.col("found")).alias("keys_found"),
     ).withColumn("found_pct", F.round(F.lit(100) * F.col("keys_found") / F.col("keys_total"), 1))
+
+
+def run_round(spark, raw_ratings: DataFrame, raw_books: DataFrame, answers: DataFrame, output_path: str,
+              top_catalog: int = TOP_CATALOG, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """One resumable round of the lookup loop as Spark jobs.
+
+    targets -> minus keys already under ``output_path`` (tolerant JSON-lines read of all
+    earlier rounds) -> request batches -> records shaped from ``answers`` -> appended as
+    JSON lines in a new round folder (found or not, so a rerun skips them) -> coverage of
+    this round. A rerun with no new targets appends an empty round.
+    """
+    import os
+    import uuid
+
+    from folio.sources import files  # local import keeps operators free of I/O at import time
+
+    targets = target_keys(raw_ratings, raw_books, top_catalog)
+    earlier = spark.read.option("recursiveFileLookup", "true").text(output_path) \
+        if _path_exists(spark, output_path) else None
+    remaining = targets if earlier is None else remaining_targets(targets, done_keys(earlier))
+    batches = request_batches(remaining, batch_size)
+    requested = batches.select(F.explode(F.split("bibkeys", ",")).alias("k")).select(
+        F.substring("k", len(KEY_PREFIX) + 1, 1 << 30).alias("isbn"))
+    requests = requested.join(remaining.select("isbn", "target"), "isbn")
+    round_path = os.path.join(output_path, f"round-{uuid.uuid4().hex[:12]}")
+    files.write_json_feed(shape_records(requests, answers), round_path)
+    return coverage(files.read_json_tolerant(spark, round_path))
+
+
+def _path_exists(spark, path: str) -> bool:
+    from folio.streaming.ingest import _exists
+
+    return _exists(spark, path)

@@ -92,3 +92,22 @@ def test_view_comments_present(built):
     spark.sql("CREATE OR REPLACE VIEW t1_gold.v_top_books AS SELECT 1 AS x")
     pipeline.register_views(spark, "t1_silver", "t1_gold")
     assert not spark.catalog.tableExists("t1_gold.v_top_books")
+
+
+def test_enrichment_round_is_resumable(spark):
+    from folio.operators import enrichment
+    from folio.sources import bridge
+
+    lay = Layers(spark, SF)
+    out = os.path.join(tempfile.mkdtemp(prefix="folio-enr-"), "lookup")
+    answers = bridge.lookup_answers(spark, SF)
+    first = {r.target: (r.keys_total, r.keys_found) for r in
+             enrichment.run_round(spark, lay.raw_ratings, lay.raw_books, answers, out).collect()}
+    targets = enrichment.target_keys(lay.raw_ratings, lay.raw_books)
+    assert sum(t for t, _ in first.values()) == targets.count()
+    written = spark.read.option("recursiveFileLookup", "true").json(out)
+    assert written.count() == targets.count()
+    assert written.select("isbn").distinct().count() == targets.count()
+    second = enrichment.run_round(spark, lay.raw_ratings, lay.raw_books, answers, out).collect()
+    assert spark.read.option("recursiveFileLookup", "true").json(out).count() == targets.count()
+    assert second == []
