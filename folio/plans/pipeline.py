@@ -29,6 +29,8 @@ from folio.session import scratch_path
 from folio.sources import bridge, files
 from folio.streaming import ingest
 
+# Bucket count of the isbn-keyed tables; size it to about table bytes / 256 MB on a
+# cluster (thousands for a 100 TB input), the same for every table joined on isbn.
 DEFAULT_BUCKETS = 64
 
 
@@ -54,7 +56,12 @@ def run_bronze(spark: SparkSession, landing: str, checkpoints: str, db: str) ->
 def _write(df: DataFrame, table: str, report: RunReport, name: str, partition_by=None, bucket_by=None,
            buckets: int = DEFAULT_BUCKETS) -> None:
     obs = Observation(name)
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if bucket_by:
+        # Same hash as the bucket id, so each task writes exactly one bucket file; without it
+        # every task would write a file per bucket (tasks x buckets small files).
+        observed = observed.repartition(buckets, bucket_by)
+    writer = observed.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if bucket_by:
