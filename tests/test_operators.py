@@ -120,3 +120,27 @@ def test_rule_invariants(spark, texts):
         assert r.k == r.kk
         for part in (r.loc.city, r.loc.state, r.loc.country):
             assert part is None or (part != "" and part == part.lower())
+
+
+def test_priority_union_equals_anti_join_formulation(spark):
+    raw = spark.createDataFrame(
+        [("0000000011", "t1", "A B", "1990", "p", "u1", "f1"), (" 0000000011 ", "t1b", "A B", "1991", "p", "u2", "f2"),
+         ("0000000022", "t2", "C D", "1992", "p", "u3", "f1"), (None, "tn", "E F", "1993", "p", "u4", "f1")],
+        "ISBN string, `Book-Title` string, `Book-Author` string, `Year-Of-Publication` string, Publisher string, "
+        "`Image-URL-L` string, _source_file string").withColumn("_ingested_at", F.current_timestamp())
+    author = "array<struct<name:string,key:string>>"
+    lookup = spark.createDataFrame(
+        [("0000000011", "orphan", True, "x", "2001", "g1"), ("0000000033", "orphan", True, "y", "2002", "g1"),
+         ("0000000033", "orphan", True, "y2", "2003", "g2"), (None, "orphan", True, "z", "2004", "g1"),
+         ("0000000044", "catalog", True, "w", "2005", "g1"), ("0000000055", "orphan", False, None, None, "g1")],
+        "isbn string, target string, found boolean, title string, publish_date string, _source_file string"
+    ).withColumn("authors", F.array(F.struct(F.lit("Q R").alias("name"), F.lit("k").alias("key"))).cast(author)) \
+     .withColumn("_ingested_at", F.current_timestamp())
+    cols = ["isbn", "title", "author", "year_of_publication", "publisher", "image_url", "_source_file", "source"]
+    got = sorted((tuple(r) for r in silver.silver_books(raw, lookup).select(*cols).collect()), key=repr)
+    primary = silver.primary_books(raw)
+    expected_df = primary.unionByName(silver.recovered_books(lookup, primary)).select(*cols)
+    expected = sorted((tuple(r) for r in expected_df.collect()), key=repr)
+    assert got == expected
+    assert sum(1 for r in got if r[0] is None) == 2           # one NULL key per source
+    assert {r[0]: r[-1] for r in got if r[0]}["0000000011"] == "kaggle"
