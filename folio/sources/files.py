@@ -102,8 +102,12 @@ def read_json_feed(spark: SparkSession, path: str, schema: T.StructType = LOOKUP
     return parse_json_lines(lines, schema)
 
 
-def stream_json_feed(spark: SparkSession, path: str, schema: T.StructType = LOOKUP_SCHEMA) -> DataFrame:
-    lines = lineage(spark.readStream.format("text").load(path))
+def stream_json_feed(spark: SparkSession, path: str, schema: T.StructType = LOOKUP_SCHEMA,
+                     max_files: int | None = None) -> DataFrame:
+    reader = spark.readStream.format("text")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    lines = lineage(reader.load(path))
     return parse_json_lines(lines, schema)
 
 

@@ -22,6 +22,9 @@ from pyspark.sql.streaming import StreamingQuery
 from folio.sources import files
 
 
+DEFAULT_MAX_FILES = 1000   # files per micro-batch when draining a backlog
+
+
 @dataclass
 class IngestResult:
     name: str
@@ -68,28 +71,31 @@ def ingest_csv(spark: SparkSession, landing: str, feed: str, checkpoint_root: st
 
 
 def ingest_json(spark: SparkSession, landing: str, checkpoint_root: str, feed: str = "open_library",
-                table: str | None = None, path: str | None = None) -> IngestResult | None:
+                table: str | None = None, path: str | None = None, max_files: int | None = None) -> IngestResult | None:
     """The JSON-lines lookup feed; skipped (None) while its landing folder does not exist."""
     source = os.path.join(landing, feed)
     if not _exists(spark, source):
         return None
-    stream = files.stream_json_feed(spark, source)
+    stream = files.stream_json_feed(spark, source, max_files=max_files)
     return run_available_now(stream, os.path.join(checkpoint_root, feed), table, path, name=feed,
                              merge_schema=True)
 
 
 def ingest_all(spark: SparkSession, landing: str, checkpoint_root: str, tables: dict[str, str] | None = None,
-               paths: dict[str, str] | None = None, concurrent: bool = True) -> list[IngestResult]:
+               paths: dict[str, str] | None = None, concurrent: bool = True,
+               max_files: int | None = DEFAULT_MAX_FILES) -> list[IngestResult]:
     """Run the four independent streams (CSV feeds and the lookup feed).
 
     Each stream has its own checkpoint and sink, so they can run at the same time; with
-    ``concurrent=False`` they run one after another as in the reference.
+    ``concurrent=False`` they run one after another as in the reference. ``max_files``
+    bounds every micro-batch, so a large backlog drains in several commits instead of one.
     """
     tables, paths = tables or {}, paths or {}
-    jobs = [lambda f=feed: ingest_csv(spark, landing, f, checkpoint_root, table=tables.get(f), path=paths.get(f))
+    jobs = [lambda f=feed: ingest_csv(spark, landing, f, checkpoint_root, table=tables.get(f), path=paths.get(f),
+                                      max_files=max_files)
             for feed in ("books", "ratings", "users")]
     jobs.append(lambda: ingest_json(spark, landing, checkpoint_root, table=tables.get("open_library"),
-                                    path=paths.get("open_library")))
+                                    path=paths.get("open_library"), max_files=max_files))
     if concurrent:
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
             results = [f.result() for f in [pool.submit(j) for j in jobs]]
