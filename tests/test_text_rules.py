@@ -126,3 +126,16 @@ def test_age_overflow_and_exotic_text(spark):
 
 def test_year_overflow(spark):
     assert _apply(spark, [("99999999999", None), ("+1998", None), ("1998.0", None)], clean_year) == [None, 1998, None]
+
+
+def test_mojibake_utf8_edge_cases(spark):
+    cases = [
+        ("í \u0080", "í \u0080"),          # encoded surrogate: invalid UTF-8, unchanged
+        ("À¯", "À¯"),                      # overlong '/': invalid, unchanged
+        ("ð\u009f\u0098\u0080", "\U0001F600"),            # 4-byte character read as Latin-1
+        ("â\u0082¬ 5", "€ 5"),                  # euro sign
+        ("\u0080\u0081 plain", "\u0080\u0081 plain"),          # lone C1 controls
+        ("ô\u0090\u0080\u0080", "ô\u0090\u0080\u0080"),  # beyond U+10FFFF
+        ("naïve café", "naïve café"),      # correct Latin-1 text
+    ]
+    assert _apply(spark, cases, fix_mojibake) == [e for _, e in cases]
