@@ -130,12 +130,12 @@ def test_year_overflow(spark):
 
 def test_mojibake_utf8_edge_cases(spark):
     cases = [
-        ("í \u0080", "í \u0080"),          # encoded surrogate: invalid UTF-8, unchanged
-        ("À¯", "À¯"),                      # overlong '/': invalid, unchanged
-        ("ð\u009f\u0098\u0080", "\U0001F600"),            # 4-byte character read as Latin-1
-        ("â\u0082¬ 5", "€ 5"),                  # euro sign
-        ("\u0080\u0081 plain", "\u0080\u0081 plain"),          # lone C1 controls
-        ("ô\u0090\u0080\u0080", "ô\u0090\u0080\u0080"),  # beyond U+10FFFF
-        ("naïve café", "naïve café"),      # correct Latin-1 text
+        ("\u00ed\u00a0\u0080", "\u00ed\u00a0\u0080"),                    # ED A0 80: encoded surrogate, kept
+        ("\u00c0\u00af", "\u00c0\u00af"),                                # C0 AF: overlong '/', kept
+        ("\u00f0\u009f\u0098\u0080", "\U0001F600"),                      # 4-byte character read as Latin-1
+        ("\u00e2\u0082\u00ac 5", "\u20ac 5"),                            # euro sign read as Latin-1
+        ("\u0080\u0081 plain", "\u0080\u0081 plain"),                    # lone C1 controls, kept
+        ("\u00f4\u0090\u0080\u0080", "\u00f4\u0090\u0080\u0080"),        # beyond U+10FFFF, kept
+        ("na\u00efve caf\u00e9", "na\u00efve caf\u00e9"),                 # correct Latin-1 text, kept
     ]
     assert _apply(spark, cases, fix_mojibake) == [e for _, e in cases]
