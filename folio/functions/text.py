@@ -52,13 +52,17 @@ def fix_mojibake(c) -> Column:
     return _repair_once(_repair_once(_col(c)))
 
 
+_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"   # Python's "cased" characters
+
+
 def title_case(c) -> Column:
-    """Python ``str.title``: upper-case the first letter after any non-letter, lower the rest.
+    """Python ``str.title``: a cased character after a cased one is lower-cased, any other
+    cased character upper-cased.
 
     ``initcap`` only breaks on white space (``O'brien``), so the text is split into runs of
-    letters and non-letters and each run is re-cased.
+    cased and uncased characters and each cased run is re-cased.
     """
-    runs = F.regexp_extract_all(_col(c), F.lit(r"(\p{L}+|\P{L}+)"), 1)
+    runs = F.regexp_extract_all(_col(c), F.lit(rf"([{_CASED}]+|[^{_CASED}]+)"), 1)
     cased = F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)),
                                                  F.lower(F.substring(w, 2, 1 << 30))))
     return F.array_join(cased, "")

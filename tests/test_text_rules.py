@@ -139,3 +139,9 @@ def test_mojibake_utf8_edge_cases(spark):
         ("na\u00efve caf\u00e9", "na\u00efve caf\u00e9"),                 # correct Latin-1 text, kept
     ]
     assert _apply(spark, cases, fix_mojibake) == [e for _, e in cases]
+
+
+def test_title_case_uncased_letters(spark):
+    # modifier letter h is cased (Other_Lowercase); the CJK ideograph is an uncased letter
+    cases = [("aʰb", None), ("中xy", None), ("x中y", None)]
+    assert _apply(spark, cases, title_case) == ["Aʰb", "中Xy", "X中Y"]
