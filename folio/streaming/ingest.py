@@ -58,14 +58,19 @@ def run_available_now(df: DataFrame, checkpoint: str, table: str | None = None,
 
 def ingest_csv(spark: SparkSession, landing: str, feed: str, checkpoint_root: str,
                table: str | None = None, path: str | None = None, pattern: str | None = None,
-               max_files: int | None = None, archive_dir: str | None = None) -> IngestResult:
-    """One CSV feed: ``landing/<feed>/<glob>`` -> append-only bronze table.
-
-    ``max_files`` bounds each micro-batch (availableNow still drains everything, in several
-    batches); ``archive_dir`` moves committed files out of the landing folder so listing
-    stays cheap when deliveries accumulate.
+               max_files: int | None = None, archive_dir: str | None = None, flat: bool = False) -> IngestResult:
+    """One CSV feed -> append-only bronze table.
+
+    Files are ``landing/<feed>/<pattern>`` or, with ``flat``, the feed's glob directly in
+    the landing folder (``Books*.csv``, ``Ratings*.csv``, ``Users*.csv``), so a new delivery
+    such as ``Ratings_2.csv`` needs no code change. ``max_files`` bounds each micro-batch
+    (availableNow still drains everything, in several batches); ``archive_dir`` moves
+    committed files out of the landing folder so listing stays cheap as deliveries pile up.
     """
-    source = os.path.join(landing, feed, pattern or "*.csv")
+    if flat:
+        source = os.path.join(landing, pattern or files.LANDING_GLOB[feed] + ".csv")
+    else:
+        source = os.path.join(landing, feed, pattern or "*.csv")
     stream = files.stream_csv_feed(spark, source, feed, max_files=max_files, archive_dir=archive_dir)
     return run_available_now(stream, os.path.join(checkpoint_root, feed), table, path, name=feed)
 

@@ -121,3 +121,14 @@ def test_recommended_conf_bounds():
     big = recommended_conf(100 << 40, total_cores=8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
     assert int(big["spark.sql.shuffle.partitions"]) == 32768
+
+
+def test_flat_landing_globs_per_source(spark):
+    root = _tmp()
+    landing = os.path.join(root, "landing")
+    _write_lines(landing, "Ratings.csv", ["User-ID,ISBN,Book-Rating", "1,A,1"])
+    _write_lines(landing, "Ratings_2.csv", ["User-ID,ISBN,Book-Rating", "2,B,2"])
+    _write_lines(landing, "Users.csv", ["User-ID,Age,Location", "1,25.0,x"])
+    r = ingest.ingest_csv(spark, landing, "ratings", os.path.join(root, "ckpt"), path=os.path.join(root, "r"), flat=True)
+    u = ingest.ingest_csv(spark, landing, "users", os.path.join(root, "ckpt"), path=os.path.join(root, "u"), flat=True)
+    assert (r.rows, u.rows) == (2, 1)
