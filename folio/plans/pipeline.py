@@ -29,9 +29,26 @@ from folio.session import scratch_path
 from folio.sources import bridge, files
 from folio.streaming import ingest
 
-# Bucket count of the isbn-keyed tables; size it to about table bytes / 256 MB on a
-# cluster (thousands for a 100 TB input), the same for every table joined on isbn.
+# Bucket count of the isbn-keyed tables when it cannot be derived from the data.
 DEFAULT_BUCKETS = 64
+MAX_BUCKETS = 16384
+BUCKET_BYTES = 256 << 20
+
+
+def choose_buckets(spark: SparkSession, catalogue: DataFrame, target_bytes: int = BUCKET_BYTES) -> int:
+    """Bucket count for the isbn-keyed tables (one count for all of them, so joins co-locate).
+
+    From Spark's own size estimate of the catalogue input (the statistic that also drives
+    broadcast decisions): about ``target_bytes`` per bucket, at least one bucket per core,
+    at most ``MAX_BUCKETS``. The per-key rating summary has one row per key, so it is of
+    the same order as the catalogue.
+    """
+    try:
+        size = int(str(catalogue._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # noqa: SLF001
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no JVM handle (remote session): fall back
+        return DEFAULT_BUCKETS
+    return int(max(cores, min(MAX_BUCKETS, -(-size // target_bytes))))
 
 
 @dataclass
@@ -70,10 +87,13 @@ def _write(df: DataFrame, table: str, report: RunReport, name: str, partition_by
     report.counts[name] = int(obs.get.get("rows", 0))
 
 
-def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int = DEFAULT_BUCKETS,
+def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int | None = None,
                report: RunReport | None = None) -> RunReport:
     """Full rebuild of silver from bronze (bronze is never modified)."""
     report = report or RunReport()
+    if buckets is None:
+        buckets = choose_buckets(spark, spark.table(f"{bronze_db}.books"))
+    report.counts["buckets"] = buckets
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {silver_db}")
     t = lambda name: f"{silver_db}.{name}"
     has_lookup = spark.catalog.tableExists(f"{bronze_db}.open_library")
@@ -128,7 +148,7 @@ def register_views(spark: SparkSession, silver_db: str, gold_db: str, m: int = D
 
 
 def run_pipeline(spark: SparkSession, landing: str, checkpoints: str | None = None, prefix: str = "books",
-                 m: int = DEFAULT_M, buckets: int = DEFAULT_BUCKETS) -> RunReport:
+                 m: int = DEFAULT_M, buckets: int | None = None) -> RunReport:
     """Bronze -> silver -> gold, each stage reading only what the previous one wrote."""
     checkpoints = checkpoints or scratch_path(spark, "checkpoints", unique=False)
     bronze_db, silver_db, gold_db = f"{prefix}_bronze", f"{prefix}_silver", f"{prefix}_gold"

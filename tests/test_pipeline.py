@@ -111,3 +111,10 @@ def test_enrichment_round_is_resumable(spark):
     second = enrichment.run_round(spark, lay.raw_ratings, lay.raw_books, answers, out).collect()
     assert spark.read.option("recursiveFileLookup", "true").json(out).count() == targets.count()
     assert second == []
+
+
+def test_bucket_count_follows_data_size(spark, built):
+    report = built[3]
+    assert report.counts["buckets"] == 4          # explicit in the fixture
+    n = pipeline.choose_buckets(spark, spark.table("t1_bronze.books"))
+    assert n == spark.sparkContext.defaultParallelism   # tiny input: one bucket per core
