@@ -118,3 +118,13 @@ def test_bucket_count_follows_data_size(spark, built):
     assert report.counts["buckets"] == 4          # explicit in the fixture
     n = pipeline.choose_buckets(spark, spark.table("t1_bronze.books"))
     assert n == spark.sparkContext.defaultParallelism   # tiny input: one bucket per core
+
+
+def test_kpi_conservation(spark, built):
+    """Ratings on primary books + recovered + orphaned = all interactions (tables and lazy path)."""
+    for lay in (pipeline.silver_layers(spark, "t1_silver"), Layers(spark, SF)):
+        kpi = lay.v_kpi_summary().collect()[0]
+        primary_matches = (lay.ratings.join(lay.books.where("source = 'kaggle'").select("isbn"), "isbn").count())
+        assert primary_matches + kpi.ratings_recovered + kpi.ratings_orphaned == kpi.interactions_total
+        recovered_keys = lay.books.where("source = 'open_library'").select("isbn")
+        assert recovered_keys.join(lay.books.where("source = 'kaggle'"), "isbn").count() == 0
