@@ -94,3 +94,23 @@ _DS_SQL["ds_genre_options"] = f"SELECT DISTINCT genre FROM ({_DS_SQL['ds_genres'
 
 for _name, _sql in _DS_SQL.items():
     register(_name, O.with_ctes(_sql))((lambda n: lambda s, d: layers(s, d).dataset(n))(_name))
+
+
+# ------------------------------------------------------------------ serving through SQL with bound parameters
+def _serving_sql(name: str, **args):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from folio.operators.serving import run_serving_sql
+
+        lay = layers(spark, sf_dir)
+        # Views registered session-wide; spark.sql analyses eagerly, so the returned frame is
+        # bound to these definitions even if they are replaced later.
+        lay.v_books().createOrReplaceGlobalTempView("v_books")
+        lay.v_books_by_genre().createOrReplaceGlobalTempView("v_books_by_genre")
+        return run_serving_sql(spark, name, "global_temp", **args)
+    return run
+
+
+register("ds_top_by_period_sql", O.with_ctes(_DS_SQL["ds_top_by_period"].replace("1990", "1980")))(
+    _serving_sql("ds_top_by_period", year_min=1980, year_max=2004))
+register("ds_top_by_genre_sql", O.with_ctes(_DS_SQL["ds_top_by_genre"].replace("'Fiction'", "'Small'")))(
+    _serving_sql("ds_top_by_genre", genre="Small"))
