@@ -90,7 +90,7 @@ def main():
          "(partial SortAggregate map-side, one exchange on isbn, final): no anti join, one scan per feed.",
          silver.silver_books(raw["books"], raw["open_library"])),
         ("Gold view v_books over bucketed tables",
-         "Sort-merge join of rating_stats and books with no Exchange below it (same bucket count on isbn); "
+         "Sort-merge join of rating_stats and books with no Exchange and no Sort below it (same bucket count on isbn, one sorted file per bucket); "
          "one shuffle on (title, author); the prior C is a global partial aggregate over the same join.",
          spark.table("p_gold.v_books")),
         ("Gold view v_kpi_summary over bucketed tables",
