@@ -144,3 +144,36 @@ def test_priority_union_equals_anti_join_formulation(spark):
     assert got == expected
     assert sum(1 for r in got if r[0] is None) == 2           # one NULL key per source
     assert {r[0]: r[-1] for r in got if r[0]}["0000000011"] == "kaggle"
+
+
+_KEYS = st.sampled_from(["a", "b", "c", None])
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(_KEYS, st.integers(0, 5), st.integers(0, 3)), min_size=1, max_size=60))
+def test_dedup_first_equals_sorted_pick(spark, rows):
+    df = spark.createDataFrame(rows, "k string, o int, v int").repartition(3)
+    got = sorted((tuple(r) for r in silver.dedup_first(df, "k", ["o"]).collect()), key=repr)
+    best = {}
+    for k, o, v in rows:
+        if k not in best or (o, v) < best[k]:
+            best[k] = (o, v)
+    assert got == sorted(((k, o, v) for k, (o, v) in best.items()), key=repr)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(0, 30), min_size=1, max_size=300), st.integers(1, 6))
+def test_global_row_number_random(spark, vals, parts):
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "v int, i int").repartition(parts)
+    got = [(r.v, r.i) for r in ordering.global_row_number(df, [F.col("v").asc(), F.col("i").desc()]).orderBy("rn").collect()]
+    assert got == sorted(((v, i) for i, v in enumerate(vals)), key=lambda t: (t[0], -t[1]))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(1, 40), min_size=1, max_size=200))
+def test_exact_quantiles_random(spark, vals):
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    row = analysis.exact_quantiles(df, "v").collect()[0]
+    assert row.groups == len(vals)
+    assert math.isclose(row.q_p5, round(float(np.quantile(vals, 0.5)), 3), abs_tol=1e-9)
+    assert math.isclose(row.q_p99, round(float(np.quantile(vals, 0.99)), 3), abs_tol=1e-9)
