@@ -93,10 +93,12 @@ register("normalize_author", O.with_ctes(
 register("clean_year", O.with_ctes(
     f"SELECT DISTINCT {_Y} AS raw_year, {O.YEAR_CLEAN(_Y)} AS year_of_publication FROM b_books"))(
     lambda s, d: layers(s, d).raw_books.select(
-        F.col(f"`{_Y[1:-1]}`").alias("raw_year"), clean_year(F.col(f"`{_Y[1:-1]}`")).alias("year_of_publication"))
+        F.col("`Year-Of-Publication`").alias("raw_year"),
+        clean_year(F.col("`Year-Of-Publication`")).alias("year_of_publication"))
     .distinct())
 
-register("clean_age", O.with_ctes(f'SELECT DISTINCT "Age" AS raw_age, {O.AGE_CLEAN(chr(34) + "Age" + chr(34))} AS age FROM b_users'))(
+_AGE = '"Age"'
+register("clean_age", O.with_ctes(f"SELECT DISTINCT {_AGE} AS raw_age, {O.AGE_CLEAN(_AGE)} AS age FROM b_users"))(
     lambda s, d: layers(s, d).raw_users.select(F.col("Age").alias("raw_age"), clean_age("Age").alias("age")).distinct())
 
 register("parse_location", O.with_ctes(
