@@ -102,7 +102,6 @@ def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int
     lookup = spark.table(f"{bronze_db}.open_library") if has_lookup else None
 
     raw_books = spark.table(f"{bronze_db}.books")
-
     raw_ratings = spark.table(f"{bronze_db}.ratings")
 
     def ratings_split_and_views():

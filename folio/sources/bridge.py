@@ -5,6 +5,11 @@ secondary lookup records) are a deterministic re-shaping of the TPC-H-like table
 rules are arithmetic on keys (``%``, ``lpad``, ``CASE``), so they run fully distributed,
 grow with the input and are re-stated as SQL in ``folio.oracle`` for the DuckDB check.
 
+Every row of every input is used: each line item becomes a rating, each customer a user,
+and each part lands in the primary catalogue, in the secondary source or in neither (the
+orphans that stay orphaned). Modulo conditions assign those roles and inject the dirty
+variants; they never drop rows to save work.
+
 What each rule exercises:
 
 * ratings: ``User-ID`` from the order's customer; the key gets case/space noise on even
