@@ -29,8 +29,7 @@ def exact_quantiles(values: DataFrame, col: str, probs=SUPPORT_QUANTILES) -> Dat
     hist = values.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, 0)   # bounded: one row per value
     cum = hist.withColumn("_cum", F.sum("_n").over(upto))
-    total = hist.agg(F.sum("_n").alias("_total"))
-    framed = cum.crossJoin(F.broadcast(total))
+    framed = cum.withColumn("_total", hist.agg(F.sum("_n")).scalar())
     aggs = [F.first("_total").alias("n")]
     names = []
     for p in probs:
@@ -80,10 +79,12 @@ def top_user_share(ratings: DataFrame, percent: int = TOP_USER_PERCENT) -> DataF
     in integer arithmetic so no rounding of 0.01 can move k)."""
     per_user = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("cnt"))
     hist = per_user.groupBy("cnt").agg(F.count(F.lit(1)).alias("users"))
-    totals = hist.agg(F.sum("users").alias("n_users"), F.sum(F.col("cnt") * F.col("users")).alias("n_ratings"))
-    totals = totals.withColumn("k", F.expr(f"(n_users * {int(percent)} + 99) div 100"))
+    totals = hist.agg(F.struct(F.sum("users").alias("n_users"),
+                               F.sum(F.col("cnt") * F.col("users")).alias("n_ratings"))).scalar()
     upto = Window.orderBy(F.col("cnt").desc()).rowsBetween(Window.unboundedPreceding, 0)   # bounded histogram
-    cum = hist.withColumn("_cum", F.sum("users").over(upto)).crossJoin(F.broadcast(totals))
+    cum = (hist.withColumn("_cum", F.sum("users").over(upto))
+           .withColumn("n_users", totals.getField("n_users")).withColumn("n_ratings", totals.getField("n_ratings"))
+           .withColumn("k", F.expr(f"(n_users * {int(percent)} + 99) div 100")))
     take = F.greatest(F.lit(0), F.least(F.col("users"), F.col("k") - (F.col("_cum") - F.col("users"))))
     agg = cum.agg(F.first("n_users").alias("users"), F.first("k").alias("top_users"),
                   F.first("n_ratings").alias("ratings"), F.sum(take * F.col("cnt")).alias("top_users_ratings"))
@@ -114,9 +115,9 @@ def user_integrity(ratings: DataFrame, users: DataFrame) -> DataFrame:
     """Ratings whose user is missing from the users table (counted per user first)."""
     per_user = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     known = users.select("user_id").distinct()
-    missing = per_user.join(known, "user_id", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("missing"))
-    total = per_user.agg(F.sum("n").alias("ratings_total"))
-    return total.crossJoin(missing).select(
+    missing = per_user.join(known, "user_id", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    total = per_user.agg(F.sum("n").alias("ratings_total")).withColumn("missing", missing)
+    return total.select(
         "ratings_total", F.col("missing").alias("ratings_without_user"),
         F.round(F.lit(100) * (F.lit(1) - ratio("missing", "ratings_total")), 2).alias("integrity_pct"))
 

@@ -15,8 +15,8 @@ row per key -- meets the catalogue. Consequences at scale:
   grades are integers; it is a global partial aggregate over the join input, not a
   second grouping, and the join's exchanges are reused (or absent when bucketed).
 
-C is a one-row aggregate; it is joined with ``broadcast`` because its size is one row by
-construction. The catalogue side is never force-broadcast: AQE and
+C is a one-row aggregate attached as a scalar subquery (evaluated once, inlined as a value),
+never joined. The catalogue side is never force-broadcast: AQE and
 ``autoBroadcastJoinThreshold`` decide from measured sizes, with sort-merge join beyond.
 """
 
@@ -43,7 +43,8 @@ def _prior(frame: DataFrame, n: str, s: str) -> DataFrame:
 
 
 def _with_prior(frame: DataFrame, prior: DataFrame) -> DataFrame:
-    return frame.crossJoin(F.broadcast(prior))  # one row by construction
+    """Attach C as a scalar subquery: computed once, inlined as a value (no join)."""
+    return frame.withColumn("_c", prior.scalar())
 
 
 def v_books(ratings: DataFrame, books: DataFrame, m: int = DEFAULT_M, stats: DataFrame | None = None) -> DataFrame:
@@ -144,10 +145,12 @@ def v_kpi_summary(ratings: DataFrame, books: DataFrame, stats: DataFrame | None
         .alias("ratings_recovered"),
         F.sum(F.when(~has_book, F.col("n_all")).otherwise(0)).alias("ratings_orphaned"),
     )
-    catalog = books.agg(F.count(F.lit(1)).alias("books_in_catalog"),
-                        F.count_if(F.col("source") == "open_library").alias("books_recovered"))
-    return catalog.crossJoin(interactions).select(
-        "books_in_catalog", "books_recovered", "interactions_total", "ratings_explicit",
+    # Catalogue counts as one scalar subquery (a struct), like the reference's SELECT-list subqueries.
+    catalog = books.agg(F.struct(F.count(F.lit(1)).alias("n"),
+                                 F.count_if(F.col("source") == "open_library").alias("recovered"))).scalar()
+    return interactions.select(
+        catalog.getField("n").alias("books_in_catalog"), catalog.getField("recovered").alias("books_recovered"),
+        "interactions_total", "ratings_explicit",
         F.round(F.lit(100) * (F.lit(1) - ratio("ratings_explicit", "interactions_total")), 1).alias("implicit_pct"),
         F.round(ratio("_sum", "ratings_explicit"), 2).alias("avg_rating_explicit"),
         "ratings_recovered", "ratings_orphaned")

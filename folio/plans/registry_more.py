@@ -102,12 +102,7 @@ register("clean_age", O.with_ctes(f"SELECT DISTINCT {_AGE} AS raw_age, {O.AGE_CL
     lambda s, d: layers(s, d).raw_users.select(F.col("Age").alias("raw_age"), clean_age("Age").alias("age")).distinct())
 
 register("parse_location", O.with_ctes(
-    'SELECT DISTINCT "Location" AS raw_location, city, state, country FROM s_users_parts p '
-    "CROSS JOIN LATERAL (SELECT "
-    "CASE WHEN p.\"Location\" IS NULL THEN NULL WHEN len(p.parts) <= 2 THEN p.parts[1] "
-    "ELSE nullif(array_to_string(list_filter(p.parts[1:len(p.parts) - 2], lambda x: x IS NOT NULL), ', '), '') END AS city, "
-    "CASE WHEN len(p.parts) >= 3 THEN p.parts[len(p.parts) - 1] END AS state, "
-    "CASE WHEN len(p.parts) = 2 THEN p.parts[2] WHEN len(p.parts) >= 3 THEN p.parts[len(p.parts)] END AS country) c"))(
+    'SELECT DISTINCT "Location" AS raw_location, city, state, country FROM s_users_loc'))(
     lambda s, d: layers(s, d).raw_users.select(F.col("Location").alias("raw_location"),
                                                parse_location("Location").alias("loc"))
     .select("raw_location", "loc.city", "loc.state", "loc.country").distinct())
