@@ -44,6 +44,22 @@ def csv_schema(feed: str) -> T.StructType:
     return T.StructType(fields + [T.StructField(RESCUE, T.StringType())])
 
 
+def persisted_schema(spark: SparkSession, location: str, default: T.StructType) -> T.StructType:
+    """Schema snapshot per source: the first run stores ``default`` as JSON at ``location``;
+    later runs read the snapshot, so a stream keeps the schema its checkpoint was built with.
+
+    Stored through Spark (a one-line text file), so the location may be any shared store.
+    """
+    try:
+        stored = spark.read.text(location).collect()   # one short line, never data
+    except Exception:  # noqa: BLE001 - no snapshot yet
+        stored = []
+    if stored:
+        return T.StructType.fromJson(__import__("json").loads(stored[0][0]))
+    spark.createDataFrame([(default.json(),)], "value string").coalesce(1).write.mode("overwrite").text(location)
+    return default
+
+
 def _csv_options(reader, header: bool = True, escape: str | None = None):
     """Reference behaviour is Spark's default quoting (escape = backslash); ``escape='"'``
     reads RFC-4180 doubled quotes such as ``"He said ""hi"", ok"`` as one field."""
@@ -65,9 +81,10 @@ def read_csv_feed(spark: SparkSession, path: str, feed: str, header: bool = True
 
 
 def stream_csv_feed(spark: SparkSession, path: str, feed: str, max_files: int | None = None,
-                    escape: str | None = None, archive_dir: str | None = None) -> DataFrame:
+                    escape: str | None = None, archive_dir: str | None = None,
+                    schema: T.StructType | None = None) -> DataFrame:
     """Incremental read: the file source lists the path/glob and processes each file once."""
-    reader = _csv_options(spark.readStream.schema(csv_schema(feed)), escape=escape)
+    reader = _csv_options(spark.readStream.schema(schema or csv_schema(feed)), escape=escape)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive_dir:

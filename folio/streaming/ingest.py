@@ -71,7 +71,8 @@ def ingest_csv(spark: SparkSession, landing: str, feed: str, checkpoint_root: st
         source = os.path.join(landing, pattern or files.LANDING_GLOB[feed] + ".csv")
     else:
         source = os.path.join(landing, feed, pattern or "*.csv")
-    stream = files.stream_csv_feed(spark, source, feed, max_files=max_files, archive_dir=archive_dir)
+    schema = files.persisted_schema(spark, os.path.join(checkpoint_root, f"{feed}_schema"), files.csv_schema(feed))
+    stream = files.stream_csv_feed(spark, source, feed, max_files=max_files, archive_dir=archive_dir, schema=schema)
     return run_available_now(stream, os.path.join(checkpoint_root, feed), table, path, name=feed)
 
 

@@ -132,3 +132,13 @@ def test_flat_landing_globs_per_source(spark):
     r = ingest.ingest_csv(spark, landing, "ratings", os.path.join(root, "ckpt"), path=os.path.join(root, "r"), flat=True)
     u = ingest.ingest_csv(spark, landing, "users", os.path.join(root, "ckpt"), path=os.path.join(root, "u"), flat=True)
     assert (r.rows, u.rows) == (2, 1)
+
+
+def test_schema_snapshot_is_reused(spark):
+    from pyspark.sql import types as T
+
+    loc = os.path.join(_tmp(), "ratings_schema")
+    first = files.persisted_schema(spark, loc, files.csv_schema("ratings"))
+    other = T.StructType([T.StructField("x", T.StringType())])
+    again = files.persisted_schema(spark, loc, other)
+    assert first == again == files.csv_schema("ratings")
