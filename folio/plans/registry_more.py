@@ -217,3 +217,19 @@ register("attribute_null_rates", O.with_ctes(
     "SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE age IS NULL) AS nulled, "
     "COUNT(*) FILTER (WHERE country IS NULL) AS missing FROM s_users)"))(
     lambda s, d: analysis.attribute_null_rates(layers(s, d).users))
+
+
+def _round(s, d):
+    """A whole lookup round into a fresh folder under the shared checkpoint folder."""
+    from folio.session import scratch_path
+
+    lay = layers(s, d)
+    out = scratch_path(s, "enrichment", "lookup")
+    return enrichment.run_round(s, lay.raw_ratings, lay.raw_books, bridge.lookup_answers(s, d), out)
+
+
+register("enrich_round", O.with_ctes(
+    "SELECT t.target, COUNT(*) AS keys_total, COUNT(*) FILTER (WHERE a.isbn IS NOT NULL) AS keys_found, "
+    f"{R('100 * COUNT(*) FILTER (WHERE a.isbn IS NOT NULL) / COUNT(*)', 1)} AS found_pct "
+    "FROM e_targets t LEFT JOIN (SELECT DISTINCT CASE WHEN p % 20 = 10 THEN lower(k) ELSE k END AS isbn "
+    "FROM b_lookup_base WHERE p % 7 <> 0) a ON t.isbn = a.isbn GROUP BY t.target", O.ENRICH_CTES))(_round)
