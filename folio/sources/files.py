@@ -121,7 +121,8 @@ def read_json_feed(spark: SparkSession, path: str, schema: T.StructType = LOOKUP
 
 def stream_json_feed(spark: SparkSession, path: str, schema: T.StructType = LOOKUP_SCHEMA,
                      max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.format("text")
+    # Lookup rounds append into sub-folders of the landing folder (one per round).
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     lines = lineage(reader.load(path))

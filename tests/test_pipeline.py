@@ -128,3 +128,22 @@ def test_kpi_conservation(spark, built):
         assert primary_matches + kpi.ratings_recovered + kpi.ratings_orphaned == kpi.interactions_total
         recovered_keys = lay.books.where("source = 'open_library'").select("isbn")
         assert recovered_keys.join(lay.books.where("source = 'kaggle'"), "isbn").count() == 0
+
+
+def test_enrichment_feedback_loop_recovers_orphans(spark):
+    from folio.sources import bridge
+
+    root = tempfile.mkdtemp(prefix="folio-loop-")
+    landing, ckpt = os.path.join(root, "landing"), os.path.join(root, "ckpt")
+    pipeline.deliver_fixture(spark, SF, landing, include_lookup=False)
+    pipeline.run_pipeline(spark, landing, ckpt, prefix="loop", buckets=4)
+    before = spark.table("loop_gold.v_kpi_summary").collect()[0]
+    assert before.books_recovered == 0
+    coverage, report = pipeline.enrichment_feedback(spark, landing, bridge.lookup_answers(spark, SF), ckpt,
+                                                    prefix="loop", buckets=4)
+    assert {r.target for r in coverage} == {"orphan", "catalog"}
+    assert {r.name: r.rows for r in report.ingested}["open_library"] == sum(r.keys_total for r in coverage)
+    after = spark.table("loop_gold.v_kpi_summary").collect()[0]
+    assert after.books_recovered > 0 and after.ratings_recovered > 0
+    assert after.ratings_orphaned == before.ratings_orphaned - after.ratings_recovered
+    assert after.interactions_total == before.interactions_total
