@@ -37,19 +37,27 @@ MAX_BUCKETS = 16384
 BUCKET_BYTES = 256 << 20
 
 
-def choose_buckets(spark: SparkSession, catalogue: DataFrame, target_bytes: int = BUCKET_BYTES) -> int:
+def table_bytes(spark: SparkSession, table: str) -> int | None:
+    """Size of a table's files, from ``ANALYZE TABLE ... NOSCAN`` (a file listing, no data read)."""
+    try:
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS NOSCAN")
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'").collect()
+    except Exception:  # noqa: BLE001 - catalog without statistics support
+        return None
+    return int(rows[0].data_type.split()[0]) if rows else None
+
+
+def choose_buckets(spark: SparkSession, catalogue_table: str, target_bytes: int = BUCKET_BYTES) -> int:
     """Bucket count for the isbn-keyed tables (one count for all of them, so joins co-locate).
 
-    From Spark's own size estimate of the catalogue input (the statistic that also drives
-    broadcast decisions): about ``target_bytes`` per bucket, at least one bucket per core,
-    at most ``MAX_BUCKETS``. The per-key rating summary has one row per key, so it is of
-    the same order as the catalogue.
+    About ``target_bytes`` of catalogue input per bucket, at least one bucket per core, at
+    most ``MAX_BUCKETS``. The per-key rating summary has one row per key, so it is of the
+    same order as the catalogue.
     """
-    try:
-        size = int(str(catalogue._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # noqa: SLF001
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no JVM handle (remote session): fall back
-        return DEFAULT_BUCKETS
+    size = table_bytes(spark, catalogue_table)
+    cores = spark.sparkContext.defaultParallelism
+    if size is None:
+        return max(cores, DEFAULT_BUCKETS)
     return int(max(cores, min(MAX_BUCKETS, -(-size // target_bytes))))
 
 
@@ -98,7 +106,7 @@ def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int
     """Full rebuild of silver from bronze (bronze is never modified)."""
     report = report or RunReport()
     if buckets is None:
-        buckets = choose_buckets(spark, spark.table(f"{bronze_db}.books"))
+        buckets = choose_buckets(spark, f"{bronze_db}.books")
     report.counts["buckets"] = buckets
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {silver_db}")
     t = lambda name: f"{silver_db}.{name}"

@@ -111,10 +111,11 @@ def ingest_all(spark: SparkSession, landing: str, checkpoint_root: str, tables:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """Path check through Hadoop's FileSystem, so it works for any shared store."""
+    """Whether a landing path exists, on any store Spark can read."""
     if "://" not in path or path.startswith("file:"):
         return os.path.exists(path.replace("file://", "").replace("file:", ""))
-    jvm = spark._jvm  # noqa: SLF001 - Hadoop FS access has no Python API
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    return bool(fs.exists(hpath))
+    try:
+        spark.read.format("text").load(path).schema   # resolves (lists) the path, reads nothing
+        return True
+    except Exception:  # noqa: BLE001 - PATH_NOT_FOUND
+        return False

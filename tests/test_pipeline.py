@@ -116,8 +116,10 @@ def test_enrichment_round_is_resumable(spark):
 def test_bucket_count_follows_data_size(spark, built):
     report = built[3]
     assert report.counts["buckets"] == 4          # explicit in the fixture
-    n = pipeline.choose_buckets(spark, spark.table("t1_bronze.books"))
+    assert pipeline.table_bytes(spark, "t1_bronze.books") > 0
+    n = pipeline.choose_buckets(spark, "t1_bronze.books")
     assert n == spark.sparkContext.defaultParallelism   # tiny input: one bucket per core
+    assert pipeline.choose_buckets(spark, "t1_bronze.books", target_bytes=1000) > n
 
 
 def test_kpi_conservation(spark, built):
