@@ -48,14 +48,27 @@ def persisted_schema(spark: SparkSession, location: str, default: T.StructType)
     """Schema snapshot per source: the first run stores ``default`` as JSON at ``location``;
     later runs read the snapshot, so a stream keeps the schema its checkpoint was built with.
 
-    Stored through Spark (a one-line text file), so the location may be any shared store.
+    Local paths use plain file I/O; any other store goes through Spark (a one-line text file).
     """
+    import json
+    import os
+
+    local = "://" not in location or location.startswith("file:")
+    if local:
+        path = os.path.join(location.replace("file://", "").replace("file:", ""), "schema.json")
+        if os.path.exists(path):
+            with open(path, encoding="utf-8") as fh:
+                return T.StructType.fromJson(json.load(fh))
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w", encoding="utf-8") as fh:
+            fh.write(default.json())
+        return default
     try:
-        stored = spark.read.text(location).collect()   # one short line, never data
+        stored = spark.read.text(location).collect()   # one short line of metadata, never data
     except Exception:  # noqa: BLE001 - no snapshot yet
         stored = []
     if stored:
-        return T.StructType.fromJson(__import__("json").loads(stored[0][0]))
+        return T.StructType.fromJson(json.loads(stored[0][0]))
     spark.createDataFrame([(default.json(),)], "value string").coalesce(1).write.mode("overwrite").text(location)
     return default
 
