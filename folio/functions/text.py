@@ -97,6 +97,7 @@ def clean_age(c) -> Column:
 
 
 def clean_location_part(c) -> Column:
+    """One location part: junk characters removed, trimmed, lower case; placeholders -> NULL."""
     cleaned = F.lower(strip_ws(F.regexp_replace(_col(c), LOCATION_JUNK, "")))
     return F.when(~cleaned.isin(LOCATION_PLACEHOLDERS), cleaned)
 
@@ -140,5 +141,6 @@ def genre_label(c) -> Column:
 
 
 def is_genre_token(c) -> Column:
+    """A subject token that names a genre: not blank and not a stop word."""
     t = F.trim(_col(c))
     return (t != "") & ~F.lower(t).isin(GENRE_STOP_WORDS)

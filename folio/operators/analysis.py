@@ -93,6 +93,7 @@ def top_user_share(ratings: DataFrame, percent: int = TOP_USER_PERCENT) -> DataF
 
 
 def multi_edition_groups(books_view: DataFrame) -> DataFrame:
+    """Books (title x author) and how many of them merge more than one edition."""
     return books_view.agg(F.count(F.lit(1)).alias("books"),
                           F.count_if(F.col("editions") > 1).alias("multi_edition_groups"))
 
@@ -123,6 +124,7 @@ def user_integrity(ratings: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def attribute_null_rates(users: DataFrame) -> DataFrame:
+    """Users, nulled ages (count and percent) and missing countries."""
     agg = users.agg(F.count(F.lit(1)).alias("users_total"),
                     F.count_if(F.col("age").isNull()).alias("age_nulled"),
                     F.count_if(F.col("country").isNull()).alias("country_missing"))

@@ -66,6 +66,7 @@ def remaining_targets(targets: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def target_order():
+    """Order of the lookup list: orphans first, then by count descending, then key."""
     return [F.when(F.col("target") == "orphan", 0).otherwise(1).asc(), F.col("n").desc(), F.col("isbn").asc(),
             F.col("target").asc()]
 

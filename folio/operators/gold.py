@@ -114,6 +114,7 @@ def v_books_by_genre(ratings: DataFrame, books: DataFrame, enrichment: DataFrame
 
 
 def v_authors_by_year_publisher(ratings: DataFrame, books: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """Grain (author, year, publisher): explicit grades and their mean; NULL authors excluded."""
     joined = _explicit_stats(ratings, stats).join(
         books.where(F.col("author").isNotNull()).select("isbn", "author", "year_of_publication", "publisher"),
         "isbn")
@@ -123,6 +124,7 @@ def v_authors_by_year_publisher(ratings: DataFrame, books: DataFrame, stats: Dat
 
 
 def v_avg_rating_by_year(ratings: DataFrame, books: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """Grain publication year: rated editions, explicit grades and their mean."""
     joined = _explicit_stats(ratings, stats).join(
         books.where(F.col("year_of_publication").isNotNull()).select("isbn", "year_of_publication"), "isbn")
     return joined.groupBy("year_of_publication").agg(

@@ -50,6 +50,7 @@ def year_range(raw_books: DataFrame, as_of_year=None) -> DataFrame:
 
 
 def shifted_rows(raw_books: DataFrame) -> DataFrame:
+    """Catalogue rows whose year is not an integer (NULL years included)."""
     return raw_books.where(_c("Year-Of-Publication").try_cast("int").isNull())
 
 

@@ -30,26 +30,31 @@ def _asc(c: str):
 
 
 def ds_kpi(kpi: DataFrame) -> DataFrame:
+    """DS-1: the KPI row as is."""
     return kpi.select("*")
 
 
 def ds_top_books(books_view: DataFrame, n: int = TOP_N) -> DataFrame:
+    """DS-2: top books by weighted rating (no support threshold)."""
     return (books_view.select("title", "author", "ratings_cnt", "avg_rating", "weighted_rating")
             .orderBy(_desc("weighted_rating"), _asc("title"), _asc("author")).limit(n))
 
 
 def ds_popular(books_view: DataFrame, n: int = TOP_N) -> DataFrame:
+    """DS-3: most read books (all interactions, implicit included)."""
     return (books_view.select("title", "author", "readers_total", "ratings_cnt", "avg_rating")
             .orderBy(_desc("readers_total"), _asc("title"), _asc("author")).limit(n))
 
 
 def ds_top_authors(authors_view: DataFrame, n: int = TOP_N, min_ratings: int = AUTHOR_MIN_RATINGS) -> DataFrame:
+    """DS-4: top authors by weighted rating among those with enough grades."""
     return (authors_view.where(F.col("ratings_cnt") >= min_ratings)
             .select("author", "ratings_cnt", "avg_rating", "weighted_rating")
             .orderBy(_desc("weighted_rating"), _asc("author")).limit(n))
 
 
 def ds_trend(year_view: DataFrame, min_ratings: int = TREND_MIN_RATINGS, years: tuple = TREND_YEARS) -> DataFrame:
+    """DS-5: mean grade per publication year, well-supported years of the trend window."""
     return (year_view.where((F.col("ratings_cnt") >= min_ratings)
                             & F.col("year_of_publication").between(*years))
             .select("year_of_publication", "avg_rating", "ratings_cnt")
@@ -58,17 +63,20 @@ def ds_trend(year_view: DataFrame, min_ratings: int = TREND_MIN_RATINGS, years:
 
 def ds_top_by_period(books_view: DataFrame, year_min: int = DEFAULT_YEAR_RANGE[0],
                      year_max: int = DEFAULT_YEAR_RANGE[1], n: int = TOP_N) -> DataFrame:
+    """DS-6: top books published within a year range (parameters applied before the limit)."""
     return (books_view.where(F.col("year_of_publication").between(year_min, year_max))
             .select("title", "author", "year_of_publication", "ratings_cnt", "weighted_rating")
             .orderBy(_desc("weighted_rating"), _asc("title"), _asc("author")).limit(n))
 
 
 def ds_genres(genre_view: DataFrame, n: int = GENRE_TOP_N) -> DataFrame:
+    """DS-7: genres by total grades (the genre picker's options, top 100)."""
     return (genre_view.groupBy("genre").agg(F.sum("ratings_cnt").alias("cnt"))
             .orderBy(_desc("cnt"), _asc("genre")).limit(n))
 
 
 def ds_top_by_genre(genre_view: DataFrame, genre: str = DEFAULT_GENRE, n: int = TOP_N) -> DataFrame:
+    """DS-8: top books within one genre."""
     return (genre_view.where(F.col("genre") == F.lit(genre))
             .select("genre", "title", "author", "ratings_cnt", "weighted_rating")
             .orderBy(_desc("weighted_rating"), _asc("title"), _asc("author")).limit(n))
@@ -80,11 +88,13 @@ def for_display(top: DataFrame, column: str) -> DataFrame:
 
 
 def ds_year_bounds(trend: DataFrame) -> DataFrame:
+    """DS-9: bounds of the year-range control, over the trend dataset."""
     return trend.agg(F.min("year_of_publication").alias("min_year"),
                      F.max("year_of_publication").alias("max_year"))
 
 
 def ds_genre_options(genres: DataFrame) -> DataFrame:
+    """DS-10: distinct genres of the genre dataset."""
     return genres.select("genre").distinct()
 
 

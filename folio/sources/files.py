@@ -40,6 +40,7 @@ _CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrail
 
 
 def csv_schema(feed: str) -> T.StructType:
+    """All-string schema of a CSV feed plus the rescue column."""
     fields = [T.StructField(c, T.StringType()) for c in CSV_COLUMNS[feed]]
     return T.StructType(fields + [T.StructField(RESCUE, T.StringType())])
 
@@ -128,12 +129,14 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType = LOOKUP_SCHEMA, col
 
 
 def read_json_feed(spark: SparkSession, path: str, schema: T.StructType = LOOKUP_SCHEMA) -> DataFrame:
+    """Batch read of JSON-lines records with the rescue column."""
     lines = lineage(spark.read.text(path))
     return parse_json_lines(lines, schema)
 
 
 def stream_json_feed(spark: SparkSession, path: str, schema: T.StructType = LOOKUP_SCHEMA,
                      max_files: int | None = None) -> DataFrame:
+    """Incremental read of JSON-lines records (recursive: one sub-folder per lookup round)."""
     # Lookup rounds append into sub-folders of the landing folder (one per round).
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files:
