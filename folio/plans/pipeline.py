@@ -55,7 +55,10 @@ def choose_buckets(spark: SparkSession, catalogue_table: str, target_bytes: int
     same order as the catalogue.
     """
     size = table_bytes(spark, catalogue_table)
-    cores = spark.sparkContext.defaultParallelism
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     if size is None:
         return max(cores, DEFAULT_BUCKETS)
     return int(max(cores, min(MAX_BUCKETS, -(-size // target_bytes))))
