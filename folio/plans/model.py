@@ -19,6 +19,8 @@ from folio.sources import bridge
 
 
 class Layers:
+    """Raw feeds, silver frames and gold/serving builders of one data set."""
+
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, m: int = DEFAULT_M,
                  raw: dict[str, DataFrame] | None = None, clean: dict[str, DataFrame] | None = None):
         self.spark = spark
@@ -29,8 +31,13 @@ class Layers:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, clean: dict[str, DataFrame], m: int = DEFAULT_M) -> "Layers":
+        """Layers over materialised silver tables (gold and serving read them)."""
         return cls(spark, None, m=m, clean=clean)
 
+    def with_raw(self, raw: dict[str, DataFrame], sf_dir: str | None = None) -> "Layers":
+        """The same silver/gold frames, with raw feeds (e.g. bronze tables) for profiling."""
+        return Layers(self.spark, sf_dir or self.sf_dir, m=self.m, raw=raw, clean=self._clean)
+
     def _pick(self, name: str, build) -> DataFrame:
         return self._clean[name] if name in self._clean else build()
 
