@@ -12,11 +12,14 @@ Storage layout decisions for scale
 * Row counts come from ``Observation`` on the write itself, not from a second scan.
 * Gold views are SQL views over those tables (no stored data), created idempotently with
   column comments; superseded views are dropped.
+* Each silver run writes versioned tables and switches stable view names to them only
+  when every write has succeeded, so a failed rebuild never leaves gold half-updated.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -104,40 +107,39 @@ def _write(df: DataFrame, table: str, report: RunReport, name: str, partition_by
     report.counts[name] = 0 if empty else int(obs.get.get("rows", 0))
 
 
+SILVER_TABLES = ["ratings_all", "rating_stats", "quarantine_books", "books", "book_enrichment", "users"]
+
+
 def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int | None = None,
                report: RunReport | None = None) -> RunReport:
-    """Full rebuild of silver from bronze (bronze is never modified)."""
+    """Full rebuild of silver from bronze (bronze is never modified).
+
+    Every run writes a new version of each table (``<name>_<run id>``). Only after all
+    writes have succeeded do the stable names (views) switch to the new version and the
+    previous versions get dropped, so readers -- the gold views -- always see one complete
+    snapshot, even if a rebuild fails half way.
+    """
     report = report or RunReport()
     if buckets is None:
         buckets = choose_buckets(spark, f"{bronze_db}.books")
     report.counts["buckets"] = buckets
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {silver_db}")
-    t = lambda name: f"{silver_db}.{name}"
+    run_id = uuid.uuid4().hex[:10]
+    t = lambda name: f"{silver_db}.{name}_{run_id}"  # noqa: E731 - versioned physical table
     has_lookup = spark.catalog.tableExists(f"{bronze_db}.open_library")
     lookup = spark.table(f"{bronze_db}.open_library") if has_lookup else None
-
     raw_books = spark.table(f"{bronze_db}.books")
     raw_ratings = spark.table(f"{bronze_db}.ratings")
 
-    def ratings_split_and_views():
-        _write(silver.ratings_split(raw_ratings), t("ratings_all"), report, "ratings_all",
-               partition_by="_quarantined")
-        spark.sql(f"CREATE OR REPLACE VIEW {t('ratings')} AS SELECT user_id, isbn, rating, _source_file, "
-                  f"_ingested_at, is_explicit, _transformed_at FROM {t('ratings_all')} WHERE NOT _quarantined")
-        spark.sql(f"CREATE OR REPLACE VIEW {t('quarantine_ratings')} AS SELECT user_id, isbn, rating, "
-                  f"_source_file, _ingested_at, reason FROM {t('ratings_all')} WHERE _quarantined")
-
     # The key summary reads the same three bronze columns the split reads, so computing it
     # from bronze in parallel costs the same scan as re-reading silver, without waiting.
-    def rating_summary():
-        _write(gold.rating_stats(silver.silver_ratings(raw_ratings)), t("rating_stats"), report, "rating_stats",
-               bucket_by="isbn", buckets=buckets)
-
     # Independent outputs are separate Spark jobs submitted from parallel threads, so small
     # tables do not wait behind the ratings write and the executors stay busy.
     jobs = [
-        ratings_split_and_views,
-        rating_summary,
+        lambda: _write(silver.ratings_split(raw_ratings), t("ratings_all"), report, "ratings_all",
+                       partition_by="_quarantined"),
+        lambda: _write(gold.rating_stats(silver.silver_ratings(raw_ratings)), t("rating_stats"), report,
+                       "rating_stats", bucket_by="isbn", buckets=buckets),
         lambda: _write(silver.quarantine_books(raw_books), t("quarantine_books"), report, "quarantine_books"),
         lambda: _write(silver.silver_books(raw_books, lookup), t("books"), report, "books",
                        bucket_by="isbn", buckets=buckets),
@@ -157,9 +159,31 @@ def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int
                 fut.result()
     finally:
         spark.conf.set(key, previous)
+    _publish(spark, silver_db, run_id)
+    report.counts["run_id"] = run_id
     return report
 
 
+def _publish(spark: SparkSession, silver_db: str, run_id: str) -> None:
+    """Point the stable names at this run's tables, then drop older versions."""
+    v = lambda name: f"{silver_db}.{name}_{run_id}"
+    views = {
+        "ratings": f"SELECT user_id, isbn, rating, _source_file, _ingested_at, is_explicit, _transformed_at "
+                   f"FROM {v('ratings_all')} WHERE NOT _quarantined",
+        "quarantine_ratings": f"SELECT user_id, isbn, rating, _source_file, _ingested_at, reason "
+                              f"FROM {v('ratings_all')} WHERE _quarantined",
+    }
+    views.update({name: f"SELECT * FROM {v(name)}" for name in SILVER_TABLES if name != "ratings_all"})
+    views["ratings_all"] = f"SELECT * FROM {v('ratings_all')}"
+    for name, sql in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {silver_db}.{name} AS {sql}")
+    current = {f"{name}_{run_id}" for name in SILVER_TABLES}
+    versioned = tuple(f"{name}_" for name in SILVER_TABLES)
+    for tbl in spark.catalog.listTables(silver_db):
+        if tbl.tableType != "VIEW" and tbl.name.startswith(versioned) and tbl.name not in current:
+            spark.sql(f"DROP TABLE IF EXISTS {silver_db}.{tbl.name}")
+
+
 def silver_layers(spark: SparkSession, silver_db: str, m: int = DEFAULT_M) -> Layers:
     """Gold/serving DataFrames over the materialised silver tables."""
     names = ["ratings", "quarantine_ratings", "books", "quarantine_books", "book_enrichment", "users",

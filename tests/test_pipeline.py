@@ -149,3 +149,29 @@ def test_enrichment_feedback_loop_recovers_orphans(spark):
     assert after.books_recovered > 0 and after.ratings_recovered > 0
     assert after.ratings_orphaned == before.ratings_orphaned - after.ratings_recovered
     assert after.interactions_total == before.interactions_total
+
+
+def test_failed_rebuild_keeps_previous_snapshot(spark, built, monkeypatch):
+    from folio.operators import silver as silver_ops
+
+    before_books = spark.table("t1_silver.books").count()
+    before_kpi = spark.table("t1_gold.v_kpi_summary").collect()[0]
+    view_sql = lambda: spark.sql("SHOW CREATE TABLE t1_silver.books").collect()[0][0]
+    published = view_sql()
+
+    def boom(*_a, **_k):
+        raise RuntimeError("simulated failure half way through the rebuild")
+
+    monkeypatch.setattr(silver_ops, "silver_users", boom)
+    with pytest.raises(RuntimeError):
+        pipeline.run_silver(spark, "t1_bronze", "t1_silver", buckets=4)
+    monkeypatch.undo()
+    assert view_sql() == published                        # stable names still point at the old run
+    assert spark.table("t1_silver.books").count() == before_books
+    assert spark.table("t1_gold.v_kpi_summary").collect()[0] == before_kpi
+
+    report = pipeline.run_silver(spark, "t1_bronze", "t1_silver", buckets=4)
+    assert report.counts["run_id"] in view_sql()
+    tables = [t.name for t in spark.catalog.listTables("t1_silver") if t.tableType != "VIEW"]
+    books_versions = [t for t in tables if t.startswith("books_")]
+    assert books_versions == [f"books_{report.counts['run_id']}"]   # older versions dropped
