@@ -19,6 +19,7 @@ Storage layout decisions for scale
 from __future__ import annotations
 
 import os
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -124,7 +125,8 @@ def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int
         buckets = choose_buckets(spark, f"{bronze_db}.books")
     report.counts["buckets"] = buckets
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {silver_db}")
-    run_id = uuid.uuid4().hex[:10]
+    # Time-ordered run id (milliseconds, hex) plus a random suffix: versions sort by age.
+    run_id = f"{time.time_ns() // 1_000_000:012x}{uuid.uuid4().hex[:4]}"
     t = lambda name: f"{silver_db}.{name}_{run_id}"  # noqa: E731 - versioned physical table
     has_lookup = spark.catalog.tableExists(f"{bronze_db}.open_library")
     lookup = spark.table(f"{bronze_db}.open_library") if has_lookup else None
@@ -164,8 +166,19 @@ def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int
     return report
 
 
+def _published_run(spark: SparkSession, silver_db: str) -> str | None:
+    """Run id the stable names currently point at (None before the first run)."""
+    if not spark.catalog.tableExists(f"{silver_db}._published"):
+        return None
+    rows = spark.table(f"{silver_db}._published").collect()   # one row of metadata
+    return rows[0].run_id if rows else None
+
+
 def _publish(spark: SparkSession, silver_db: str, run_id: str) -> None:
-    """Point the stable names at this run's tables, then drop older versions."""
+    """Point the stable names at this run's tables, then drop every other version except
+    the previously published one, so queries already running on it can finish. Leftovers
+    of failed runs are dropped here too."""
+    previous = _published_run(spark, silver_db)
     v = lambda name: f"{silver_db}.{name}_{run_id}"
     views = {
         "ratings": f"SELECT user_id, isbn, rating, _source_file, _ingested_at, is_explicit, _transformed_at "
@@ -173,15 +186,17 @@ def _publish(spark: SparkSession, silver_db: str, run_id: str) -> None:
         "quarantine_ratings": f"SELECT user_id, isbn, rating, _source_file, _ingested_at, reason "
                               f"FROM {v('ratings_all')} WHERE _quarantined",
     }
-    views.update({name: f"SELECT * FROM {v(name)}" for name in SILVER_TABLES if name != "ratings_all"})
-    views["ratings_all"] = f"SELECT * FROM {v('ratings_all')}"
+    views.update({name: f"SELECT * FROM {v(name)}" for name in SILVER_TABLES})
     for name, sql in views.items():
         spark.sql(f"CREATE OR REPLACE VIEW {silver_db}.{name} AS {sql}")
-    current = {f"{name}_{run_id}" for name in SILVER_TABLES}
-    versioned = tuple(f"{name}_" for name in SILVER_TABLES)
-    for tbl in spark.catalog.listTables(silver_db):
-        if tbl.tableType != "VIEW" and tbl.name.startswith(versioned) and tbl.name not in current:
-            spark.sql(f"DROP TABLE IF EXISTS {silver_db}.{tbl.name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {silver_db}._published AS SELECT '{run_id}' AS run_id")
+    keep = {run_id, previous}
+    physical = [t.name for t in spark.catalog.listTables(silver_db) if t.tableType != "VIEW"]
+    for name in SILVER_TABLES:
+        for tbl in physical:
+            suffix = tbl[len(name) + 1:]
+            if tbl.startswith(f"{name}_") and len(suffix) == len(run_id) and suffix.isalnum() and suffix not in keep:
+                spark.sql(f"DROP TABLE IF EXISTS {silver_db}.{tbl}")
 
 
 def silver_layers(spark: SparkSession, silver_db: str, m: int = DEFAULT_M) -> Layers:

@@ -57,7 +57,7 @@ def write_plans(events: str, app: str) -> list[str]:
             details = desc.split("Execute InsertIntoHadoopFsRelationCommand")[-1]
             target = next(ln for ln in details.splitlines() if ln.startswith("Arguments:"))
             table = target.split(".db/")[1].split(",")[0] if ".db/" in target else "?"
-            table = re.sub(r"_[0-9a-f]{10}$", "", table)   # versioned physical table -> stable name
+            table = re.sub(r"_[0-9a-f]{16}$", "", table)   # versioned physical table -> stable name
             lines.append(f"| {table} | `{tree[i + 1].strip().split('(')[0].strip('+- *')}` |")
     return ["## Silver writes (from the event log)", "",
             "The operator directly under `WriteFiles`. The partitioned ratings write has no Sort (concurrent "

@@ -5,6 +5,7 @@ over the bridge, and a second run without new files must ingest nothing.
 """
 
 import os
+import re
 import tempfile
 
 import pytest
@@ -170,8 +171,11 @@ def test_failed_rebuild_keeps_previous_snapshot(spark, built, monkeypatch):
     assert spark.table("t1_silver.books").count() == before_books
     assert spark.table("t1_gold.v_kpi_summary").collect()[0] == before_kpi
 
-    report = pipeline.run_silver(spark, "t1_bronze", "t1_silver", buckets=4)
-    assert report.counts["run_id"] in view_sql()
+    published = re.search(r"books_([0-9a-f]{16})", view_sql()).group(1)
+    runs = [pipeline.run_silver(spark, "t1_bronze", "t1_silver", buckets=4).counts["run_id"] for _ in range(2)]
+    assert runs[-1] in view_sql()
     tables = [t.name for t in spark.catalog.listTables("t1_silver") if t.tableType != "VIEW"]
-    books_versions = [t for t in tables if t.startswith("books_")]
-    assert books_versions == [f"books_{report.counts['run_id']}"]   # older versions dropped
+    books_versions = sorted(t for t in tables if t.startswith("books_"))
+    # current + the previously published one; older versions and the failed run's leftovers are gone
+    assert books_versions == sorted(f"books_{r}" for r in runs)
+    assert f"books_{published}" not in books_versions
