@@ -24,7 +24,7 @@ PUBLISH_YEAR_TEXT = "regexp_extract(publish_date, '(\\d{4})', 1)"
 # ------------------------------------------------------------------ profiles
 register("prof_rating_distribution", O.with_ctes(
     f'SELECT "Book-Rating" AS rating, CAST(COUNT(*) AS BIGINT) AS cnt, '
-    f'{R("100 * COUNT(*) / SUM(COUNT(*)) OVER ()", 2)} AS pct FROM b_ratings GROUP BY "Book-Rating"'))(
+    f'{R("100 * COUNT(*) / (SELECT COUNT(*) FROM b_ratings)", 2)} AS pct FROM b_ratings GROUP BY "Book-Rating"'))(
     lambda s, d: profiling.rating_distribution(layers(s, d).raw_ratings))
 
 register("prof_orphans", O.with_ctes(
@@ -198,9 +198,9 @@ register("multi_edition_groups", O.with_ctes(
 register("orphan_recovery", O.with_ctes(
     "SELECT before AS orphans_before, after AS orphans_after, unrec AS unrecoverable_format, "
     f"{R('100 * ((before - after) / before)', 1)} AS rescued_pct FROM ("
-    "SELECT CAST(SUM(CASE WHEN b.isbn IS NULL OR b.source = 'open_library' THEN 1 ELSE 0 END) AS BIGINT) AS before, "
-    "CAST(SUM(CASE WHEN b.isbn IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS after, "
-    f"CAST(SUM(CASE WHEN b.isbn IS NULL AND NOT {O.KEY_OK.format(x='r.isbn')} THEN 1 ELSE 0 END) AS BIGINT) AS unrec "
+    "SELECT COUNT(*) FILTER (WHERE b.isbn IS NULL OR b.source = 'open_library') AS before, "
+    "COUNT(*) FILTER (WHERE b.isbn IS NULL) AS after, "
+    f"COUNT(*) FILTER (WHERE b.isbn IS NULL AND NOT {O.KEY_OK.format(x='r.isbn')}) AS unrec "
     "FROM s_ratings r LEFT JOIN s_books b ON r.isbn = b.isbn)"))(
     lambda s, d: analysis.orphan_recovery(layers(s, d).ratings, layers(s, d).books, stats=layers(s, d).stats))
 
