@@ -20,9 +20,13 @@ LOCATION_PLACEHOLDERS = ["", "n/a", "-", "unknown"]   # a location part meaning
 LOCATION_JUNK = r'[\\")(]'               # characters deleted from a location part: \ " ) (
 KEY_FORMAT = r"^[0-9X]{10}$"             # lookup key: ten characters, each a digit or X
 GENRE_STOP_WORDS = ["general", "etc", "etc."]   # subject tokens that are not genres
+PUBLISH_YEAR_PATTERN = r"(\d{4})"        # first run of four digits in a free-text date
+# Author spelling rules, applied in this order (Java regex; (?U) = Unicode classes like Python's re):
+AUTHOR_DOTS = (r"(?U)\s*\.\s*", ". ")   # any spacing around a dot becomes ". "
+AUTHOR_LONE_INITIAL = (r"(?<![\p{L}\p{N}_])([A-Za-z])(?![\p{L}\p{N}_])(?![.'])", "$1.")   # lone letter gets a dot
+AUTHOR_SPACES = (r"(?U)\s+", " ")        # whitespace runs collapse to one space
 
 _WS_EDGES = r"(?U)^\s+|\s+$"             # Unicode whitespace at either end (Python str.strip)
-_WORD = r"[\p{L}\p{N}_]"                 # Python's Unicode \w, used for \b emulation
 
 
 def _col(c) -> Column:
@@ -71,10 +75,10 @@ def title_case(c) -> Column:
 def normalize_author(c) -> Column:
     """Unify author spellings: dots and spaces around initials, lone initials, case."""
     name = fix_mojibake(_col(c))
-    name = F.regexp_replace(name, r"(?U)\s*\.\s*", ". ")
+    name = F.regexp_replace(name, *AUTHOR_DOTS)
     # A lone ASCII letter gets a dot unless a dot or apostrophe follows (Unicode word edges).
-    name = F.regexp_replace(name, rf"(?<!{_WORD})([A-Za-z])(?!{_WORD})(?![.'])", "$1.")
-    name = F.trim(F.regexp_replace(name, r"(?U)\s+", " "))
+    name = F.regexp_replace(name, *AUTHOR_LONE_INITIAL)
+    name = F.trim(F.regexp_replace(name, *AUTHOR_SPACES))
     return F.nullif(title_case(name), F.lit(""))
 
 
@@ -120,7 +124,7 @@ def parse_location(c) -> Column:
 
 def publish_year(c) -> Column:
     """First run of four digits in a free-text date, then the year rule."""
-    return clean_year(F.regexp_extract(_col(c), r"(\d{4})", 1))
+    return clean_year(F.regexp_extract(_col(c), PUBLISH_YEAR_PATTERN, 1))
 
 
 def valid_key(c) -> Column:
