@@ -176,9 +176,9 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
     na = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     rg = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    # nation and region are fixed 25 / 5 row dimensions, so broadcasting them is bounded.
-    j = cu.join(F.broadcast(na), cu.c_nationkey == na.n_nationkey) \
-          .join(F.broadcast(rg), F.col("n_regionkey") == rg.r_regionkey)
+    # nation and region are tiny dimensions; Spark's size-checked automatic broadcast picks
+    # them up from their measured size, no hint needed.
+    j = cu.join(na, cu.c_nationkey == na.n_nationkey).join(rg, F.col("n_regionkey") == rg.r_regionkey)
     c = F.col("c_custkey")
     seg, nat, reg = F.col("c_mktsegment"), F.col("n_name"), F.col("r_name")
     lseg, lnat, lreg = F.lower(seg), F.lower(nat), F.lower(reg)
