@@ -1,0 +1 @@
+"""Operators: silver, gold, serving, profiling, enrichment, analyses and ordering helpers."""

@@ -1,3 +1,5 @@
+"""Shared pytest fixtures: one local Spark session for the whole run."""
+
 import os
 import sys
 import tempfile
