@@ -47,6 +47,18 @@ def _with_prior(frame: DataFrame, prior: DataFrame) -> DataFrame:
     return frame.withColumn("_c", prior.scalar())
 
 
+def priors(stats: DataFrame, books: DataFrame) -> DataFrame:
+    """One row with the population means C of the views, from one pass over the join:
+    ``c_books`` (explicit grades of catalogued books: v_books, v_books_by_genre) and
+    ``c_authors`` (explicit grades of books with an author: v_authors)."""
+    joined = stats.join(books.select("isbn", "author"), "isbn")
+    authored = F.col("author").isNotNull()
+    return joined.agg(
+        ratio(F.sum("sum_explicit"), F.sum("n_explicit")).alias("c_books"),
+        ratio(F.sum(F.when(authored, F.col("sum_explicit"))), F.sum(F.when(authored, F.col("n_explicit"))))
+        .alias("c_authors"))
+
+
 def v_books(ratings: DataFrame, books: DataFrame, m: int = DEFAULT_M, stats: DataFrame | None = None) -> DataFrame:
     """Grain (title, author): editions merged on text identity, year = MIN over editions."""
     stats = rating_stats(ratings) if stats is None else stats

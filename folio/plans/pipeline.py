@@ -108,7 +108,7 @@ def _write(df: DataFrame, table: str, report: RunReport, name: str, partition_by
     report.counts[name] = 0 if empty else int(obs.get.get("rows", 0))
 
 
-SILVER_TABLES = ["ratings_all", "rating_stats", "quarantine_books", "books", "book_enrichment", "users"]
+SILVER_TABLES = ["ratings_all", "rating_stats", "quarantine_books", "books", "book_enrichment", "users", "priors"]
 
 
 def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int | None = None,
@@ -161,6 +161,9 @@ def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int
                 fut.result()
     finally:
         spark.conf.set(key, previous)
+    # The views' population means, once per rebuild from this run's tables (one row), so
+    # view queries read C instead of joining the key summary with the catalogue again.
+    _write(gold.priors(spark.table(t("rating_stats")), spark.table(t("books"))), t("priors"), report, "priors")
     _publish(spark, silver_db, run_id)
     report.counts["run_id"] = run_id
     return report

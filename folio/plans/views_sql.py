@@ -2,8 +2,9 @@
 
 The views compute the same results as ``folio.operators.gold`` and start from the
 materialised per-key summary ``rating_stats`` (bucketed with the catalogue on ``isbn``).
-``try_divide`` keeps an empty population from raising under ANSI mode; the prior C and the
-catalogue counts are scalar subqueries (computed once, inlined), never joins.
+``try_divide`` keeps an empty population from raising under ANSI mode. The prior C of each
+view comes from the one-row ``priors`` table that the silver rebuild writes with the same
+snapshot, read as a scalar subquery; the catalogue counts are scalar subqueries too.
 """
 
 from __future__ import annotations
@@ -42,10 +43,7 @@ WITH per_book AS (
          MAX(b.image_url) AS image_url
   FROM {s}.rating_stats r JOIN {s}.books b ON r.isbn = b.isbn
   GROUP BY b.title, b.author
-), g AS (
-  SELECT try_divide(SUM(r.sum_explicit), SUM(r.n_explicit)) AS c
-  FROM {s}.rating_stats r JOIN {s}.books b ON r.isbn = b.isbn
-)
+), g AS (SELECT c_books AS c FROM {s}.priors)
 SELECT title, author, year_of_publication, editions, readers_total, ratings_cnt,
        ROUND(try_divide(sum_rating, ratings_cnt), 2) AS avg_rating, {_weighted(m)} AS weighted_rating, image_url
 FROM per_book""",
@@ -62,11 +60,7 @@ WITH per_author AS (
   FROM {s}.rating_stats r JOIN {s}.books b ON r.isbn = b.isbn
   WHERE r.n_explicit > 0 AND b.author IS NOT NULL
   GROUP BY b.author
-), g AS (
-  SELECT try_divide(SUM(r.sum_explicit), SUM(r.n_explicit)) AS c
-  FROM {s}.rating_stats r JOIN {s}.books b ON r.isbn = b.isbn
-  WHERE r.n_explicit > 0 AND b.author IS NOT NULL
-)
+), g AS (SELECT c_authors AS c FROM {s}.priors)
 SELECT author, ratings_cnt, ROUND(try_divide(sum_rating, ratings_cnt), 2) AS avg_rating,
        {_weighted(m)} AS weighted_rating
 FROM per_author""",
@@ -84,7 +78,7 @@ WITH explicit AS (
   SELECT r.isbn, r.n_explicit, r.sum_explicit, b.title, b.author
   FROM {s}.rating_stats r JOIN {s}.books b ON r.isbn = b.isbn
   WHERE r.n_explicit > 0
-), g AS (SELECT try_divide(SUM(sum_explicit), SUM(n_explicit)) AS c FROM explicit),
+), g AS (SELECT c_books AS c FROM {s}.priors),
 tagged AS (
   -- subject headings -> comma tokens -> genre labels, one generator per enriched key
   SELECT e.title, e.author, e.n_explicit, e.sum_explicit,

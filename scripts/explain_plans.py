@@ -92,7 +92,7 @@ def main():
          silver.silver_books(raw["books"], raw["open_library"])),
         ("Gold view v_books over bucketed tables",
          "Sort-merge join of rating_stats and books with no Exchange and no Sort below it (same bucket count on isbn, one sorted file per bucket); "
-         "one shuffle on (title, author); the prior C is a scalar subquery: a global partial aggregate over the same bucketed join.",
+         "one shuffle on (title, author); the prior C is a scalar subquery reading the one-row priors table written with the snapshot.",
          spark.table("p_gold.v_books")),
         ("Gold view v_kpi_summary over bucketed tables",
          "Left join of the key summary with the catalogue, shuffle-free; two one-row aggregates.",
