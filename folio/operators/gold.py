@@ -59,8 +59,10 @@ def priors(stats: DataFrame, books: DataFrame) -> DataFrame:
         .alias("c_authors"))
 
 
-def v_books(ratings: DataFrame, books: DataFrame, m: int = DEFAULT_M, stats: DataFrame | None = None) -> DataFrame:
-    """Grain (title, author): editions merged on text identity, year = MIN over editions."""
+def v_books(ratings: DataFrame, books: DataFrame, m: int = DEFAULT_M, stats: DataFrame | None = None,
+            prior: DataFrame | None = None) -> DataFrame:
+    """Grain (title, author): editions merged on text identity, year = MIN over editions.
+    ``prior``: a one-row frame holding C (e.g. from the ``priors`` table); computed if absent."""
     stats = rating_stats(ratings) if stats is None else stats
     joined = stats.join(books.select("isbn", "title", "author", "year_of_publication", "image_url"), "isbn")
     per_book = joined.groupBy("title", "author").agg(
@@ -73,7 +75,8 @@ def v_books(ratings: DataFrame, books: DataFrame, m: int = DEFAULT_M, stats: Dat
     )
     avg = ratio("_sum", "ratings_cnt")
     # C straight from the joined key summary: a global partial aggregate, no regrouping.
-    return _with_prior(per_book, _prior(joined, "n_explicit", "sum_explicit")).select(
+    prior = prior if prior is not None else _prior(joined, "n_explicit", "sum_explicit")
+    return _with_prior(per_book, prior).select(
         "title", "author", "year_of_publication", "editions", "readers_total", "ratings_cnt",
         F.round(avg, 2).alias("avg_rating"),
         weighted_rating("ratings_cnt", avg, "_c", m).alias("weighted_rating"),
@@ -86,14 +89,16 @@ def _explicit_stats(ratings: DataFrame, stats: DataFrame | None) -> DataFrame:
     return stats.where(F.col("n_explicit") > 0)
 
 
-def v_authors(ratings: DataFrame, books: DataFrame, m: int = DEFAULT_M, stats: DataFrame | None = None) -> DataFrame:
+def v_authors(ratings: DataFrame, books: DataFrame, m: int = DEFAULT_M, stats: DataFrame | None = None,
+              prior: DataFrame | None = None) -> DataFrame:
     """Grain author (NULL authors excluded); C over explicit grades of authored books."""
     joined = _explicit_stats(ratings, stats).join(
         books.where(F.col("author").isNotNull()).select("isbn", "author"), "isbn")
     per_author = joined.groupBy("author").agg(
         F.sum("n_explicit").alias("ratings_cnt"), F.sum("sum_explicit").alias("_sum"))
     avg = ratio("_sum", "ratings_cnt")
-    return _with_prior(per_author, _prior(joined, "n_explicit", "sum_explicit")).select(
+    prior = prior if prior is not None else _prior(joined, "n_explicit", "sum_explicit")
+    return _with_prior(per_author, prior).select(
         "author", "ratings_cnt", F.round(avg, 2).alias("avg_rating"),
         weighted_rating("ratings_cnt", avg, "_c", m).alias("weighted_rating"))
 
@@ -110,10 +115,11 @@ def genre_tokens(subjects_col: str = "subjects", distinct: bool = False):
 
 
 def v_books_by_genre(ratings: DataFrame, books: DataFrame, enrichment: DataFrame, m: int = DEFAULT_M,
-                     distinct_tokens: bool = False, stats: DataFrame | None = None) -> DataFrame:
+                     distinct_tokens: bool = False, stats: DataFrame | None = None,
+                     prior: DataFrame | None = None) -> DataFrame:
     """Grain (genre, title, author). C covers all explicit grades of catalogued books."""
     explicit = _explicit_stats(ratings, stats).join(books.select("isbn", "title", "author"), "isbn")
-    prior = _prior(explicit, "n_explicit", "sum_explicit")
+    prior = prior if prior is not None else _prior(explicit, "n_explicit", "sum_explicit")
     tagged = (explicit.join(enrichment.select("isbn", "subjects"), "isbn")
               .select("title", "author", "n_explicit", "sum_explicit",
                       F.explode(genre_tokens(distinct=distinct_tokens)).alias("genre")))

@@ -205,7 +205,7 @@ def _publish(spark: SparkSession, silver_db: str, run_id: str) -> None:
 def silver_layers(spark: SparkSession, silver_db: str, m: int = DEFAULT_M) -> Layers:
     """Gold/serving DataFrames over the materialised silver tables."""
     names = ["ratings", "quarantine_ratings", "books", "quarantine_books", "book_enrichment", "users",
-             "rating_stats"]
+             "rating_stats", "priors"]
     return Layers.from_tables(spark, {n: spark.table(f"{silver_db}.{n}") for n in names}, m=m)
 
 
