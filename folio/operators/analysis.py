@@ -57,11 +57,11 @@ def support_quantiles(books_view: DataFrame) -> DataFrame:
 
 
 def m_sensitivity(ratings: DataFrame, books: DataFrame, ms=SENSITIVITY_M, k: int = 10,
-                  stats: DataFrame | None = None) -> DataFrame:
+                  stats: DataFrame | None = None, prior: DataFrame | None = None) -> DataFrame:
     """Top-k books under several shrinkage values m; one bounded top-k per m."""
     tops = []
     for m in ms:
-        view = gold.v_books(ratings, books, m, stats=stats)
+        view = gold.v_books(ratings, books, m, stats=stats, prior=prior)
         top = (view.orderBy(F.col("weighted_rating").desc_nulls_last(), F.col("title").asc_nulls_last(),
                             F.col("author").asc_nulls_last()).limit(k)
                .select(F.lit(m).alias("m"), "title", "author", "ratings_cnt", "weighted_rating"))

@@ -94,23 +94,23 @@ class Layers:
     def stats(self) -> DataFrame:
         return self._pick("rating_stats", lambda: gold.rating_stats(self.ratings))
 
-    def _prior(self, column: str) -> DataFrame | None:
+    def prior(self, column: str) -> DataFrame | None:
         """C from the materialised ``priors`` table when it exists (tables), else None."""
         if "priors" not in self._clean:
             return None
         return self._clean["priors"].select(F.col(column).alias("_c"))
 
     def v_books(self, m: int | None = None) -> DataFrame:
-        return gold.v_books(self.ratings, self.books, m or self.m, stats=self.stats, prior=self._prior("c_books"))
+        return gold.v_books(self.ratings, self.books, m or self.m, stats=self.stats, prior=self.prior("c_books"))
 
     def v_authors(self, m: int | None = None) -> DataFrame:
         return gold.v_authors(self.ratings, self.books, m or self.m, stats=self.stats,
-                              prior=self._prior("c_authors"))
+                              prior=self.prior("c_authors"))
 
     def v_books_by_genre(self, m: int | None = None, distinct_tokens: bool = False) -> DataFrame:
         return gold.v_books_by_genre(self.ratings, self.books, self.enrichment, m or self.m,
                                      distinct_tokens=distinct_tokens, stats=self.stats,
-                                     prior=self._prior("c_books"))
+                                     prior=self.prior("c_books"))
 
     def v_authors_by_year_publisher(self) -> DataFrame:
         return gold.v_authors_by_year_publisher(self.ratings, self.books, stats=self.stats)
