@@ -25,11 +25,21 @@ from folio.session import build_session  # noqa: E402
 def final_plan(df) -> str:
     df.collect()   # executes this DataFrame's own QueryExecution, so the adaptive plan is final
     text = df._jdf.queryExecution().executedPlan().toString()
-    text = text.split("== Initial Plan ==")[0]
     text = re.sub(r"#\d+L?", "", text)
     text = re.sub(r"Location: [^,]*\[[^\]]*\]", "Location: ...", text)
-    lines = [ln[:220] for ln in text.splitlines() if ln.strip() and "== Final Plan ==" not in ln]
-    return "\n".join(lines)
+    kept, skip_indent = [], None
+    for ln in text.splitlines():
+        indent = len(ln) - len(ln.lstrip(" :+-"))
+        if skip_indent is not None:
+            if ln.strip() and indent >= skip_indent:
+                continue          # inside an "Initial Plan" section (top level or a subquery's)
+            skip_indent = None
+        if "== Initial Plan ==" in ln:
+            skip_indent = indent
+            continue
+        if ln.strip() and "== Final Plan ==" not in ln and ln.strip() != "+-":
+            kept.append(ln[:220])
+    return "\n".join(kept)
 
 
 def write_plans(events: str, app: str) -> list[str]:
