@@ -25,6 +25,9 @@ DEFAULT_CONF = {
     # Bucketed tables are written with exactly one sorted file per bucket, so scans may
     # report that order and the sort-merge joins of the gold views need no Sort per read.
     "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+    # Reliable checkpoints (the global numbering's frozen sort) are removed once their
+    # DataFrame is garbage-collected, so repeated runs do not pile files up in the shared folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
