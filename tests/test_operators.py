@@ -108,7 +108,7 @@ def test_display_resort_keeps_rows(spark):
 _TEXT = st.text(alphabet=st.characters(codec="utf-8", exclude_categories=("Cs",)), max_size=20)
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=25, deadline=None, derandomize=True)
 @given(st.lists(_TEXT, min_size=1, max_size=15))
 def test_rule_invariants(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], T.StructType([T.StructField("t", T.StringType())]))
@@ -149,7 +149,7 @@ def test_priority_union_equals_anti_join_formulation(spark):
 _KEYS = st.sampled_from(["a", "b", "c", None])
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=15, deadline=None, derandomize=True)
 @given(st.lists(st.tuples(_KEYS, st.integers(0, 5), st.integers(0, 3)), min_size=1, max_size=60))
 def test_dedup_first_equals_sorted_pick(spark, rows):
     df = spark.createDataFrame(rows, "k string, o int, v int").repartition(3)
@@ -161,7 +161,7 @@ def test_dedup_first_equals_sorted_pick(spark, rows):
     assert got == sorted(((k, o, v) for k, (o, v) in best.items()), key=repr)
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=10, deadline=None, derandomize=True)
 @given(st.lists(st.integers(0, 30), min_size=1, max_size=300), st.integers(1, 6))
 def test_global_row_number_random(spark, vals, parts):
     df = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "v int, i int").repartition(parts)
@@ -169,7 +169,7 @@ def test_global_row_number_random(spark, vals, parts):
     assert got == sorted(((v, i) for i, v in enumerate(vals)), key=lambda t: (t[0], -t[1]))
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=10, deadline=None, derandomize=True)
 @given(st.lists(st.integers(1, 40), min_size=1, max_size=200))
 def test_exact_quantiles_random(spark, vals):
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
