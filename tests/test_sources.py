@@ -142,3 +142,19 @@ def test_schema_snapshot_is_reused(spark):
     other = T.StructType([T.StructField("x", T.StringType())])
     again = files.persisted_schema(spark, loc, other)
     assert first == again == files.csv_schema("ratings")
+
+
+def test_json_stream_rescues_and_reads_rounds_recursively(spark):
+    root = _tmp()
+    landing = os.path.join(root, "landing")
+    feed = os.path.join(landing, "open_library")
+    _write_lines(feed, "part-0.jsonl", ['{"isbn": "1", "target": "orphan", "found": false}',
+                                        '{"isbn": "2", "target": "orphan", "found": true, "surprise": 1}'])
+    _write_lines(os.path.join(feed, "round-a"), "part-0.jsonl", ['{"isbn": "3", "target": "catalog", "found": true}',
+                                                               '{"isbn": "4"'])
+    out = os.path.join(root, "bronze")
+    res = ingest.ingest_json(spark, landing, os.path.join(root, "ckpt"), path=out, max_files=1)
+    assert res.rows == 4 and res.batches == 2
+    got = {r.isbn: r._rescued_data for r in spark.read.parquet(out).collect()}
+    assert got["1"] is None and got["3"] is None
+    assert '"surprise"' in got["2"] and got[None] == '{"isbn": "4"'
