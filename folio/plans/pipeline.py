@@ -173,8 +173,9 @@ def _published_run(spark: SparkSession, silver_db: str) -> str | None:
     """Run id the stable names currently point at (None before the first run)."""
     if not spark.catalog.tableExists(f"{silver_db}._published"):
         return None
-    rows = spark.table(f"{silver_db}._published").collect()   # one row of metadata
-    return rows[0].run_id if rows else None
+    # A table property: a catalogue lookup, no job.
+    rows = spark.sql(f"SHOW TBLPROPERTIES {silver_db}._published ('folio.run_id')").collect()
+    return rows[0].value if rows else None
 
 
 def _publish(spark: SparkSession, silver_db: str, run_id: str) -> None:
@@ -192,7 +193,8 @@ def _publish(spark: SparkSession, silver_db: str, run_id: str) -> None:
     views.update({name: f"SELECT * FROM {v(name)}" for name in SILVER_TABLES})
     for name, sql in views.items():
         spark.sql(f"CREATE OR REPLACE VIEW {silver_db}.{name} AS {sql}")
-    spark.sql(f"CREATE OR REPLACE VIEW {silver_db}._published AS SELECT '{run_id}' AS run_id")
+    spark.sql(f"CREATE OR REPLACE VIEW {silver_db}._published TBLPROPERTIES ('folio.run_id' = '{run_id}') "
+              f"AS SELECT '{run_id}' AS run_id")
     keep = {run_id, previous}
     physical = [t.name for t in spark.catalog.listTables(silver_db) if t.tableType != "VIEW"]
     for name in SILVER_TABLES:
