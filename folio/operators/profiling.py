@@ -91,3 +91,8 @@ def location_parts(raw_users: DataFrame) -> DataFrame:
     parts = F.when(loc.isNotNull(), F.size(F.split(loc, ",", -1)))
     return (raw_users.groupBy(parts.alias("parts")).agg(F.count(F.lit(1)).alias("cnt"))
             .orderBy(F.col("parts").asc_nulls_first()))
+
+
+def key_detail(raw_books: DataFrame, isbn: str) -> DataFrame:
+    """All raw catalogue rows of one key, as delivered (to inspect a duplicate found above)."""
+    return raw_books.where(_c("ISBN") == F.lit(isbn))

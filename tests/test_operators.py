@@ -177,3 +177,12 @@ def test_exact_quantiles_random(spark, vals):
     assert row.groups == len(vals)
     assert math.isclose(row.q_p5, round(float(np.quantile(vals, 0.5)), 3), abs_tol=1e-9)
     assert math.isclose(row.q_p99, round(float(np.quantile(vals, 0.99)), 3), abs_tol=1e-9)
+
+
+def test_key_detail_lists_each_copy(spark):
+    from folio.operators import profiling
+    from folio.plans.model import Layers
+
+    raw = Layers(spark, "/root/testdata/sf0.001").raw_books
+    dup = profiling.duplicate_keys(raw).first()
+    assert profiling.key_detail(raw, dup.ISBN).count() == dup.cnt
