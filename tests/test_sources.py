@@ -158,3 +158,21 @@ def test_json_stream_rescues_and_reads_rounds_recursively(spark):
     got = {r.isbn: r._rescued_data for r in spark.read.parquet(out).collect()}
     assert got["1"] is None and got["3"] is None
     assert '"surprise"' in got["2"] and got[None] == '{"isbn": "4"'
+
+
+def test_recommended_conf_is_accepted_by_spark(spark):
+    from folio.plans.model import Layers
+    from folio.session import recommended_conf
+
+    conf = recommended_conf(100 << 40, total_cores=8000)
+    previous = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        assert Layers(spark, "/root/testdata/sf0.001").dataset("ds_kpi").count() == 1
+    finally:
+        for key, value in previous.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
