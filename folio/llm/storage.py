@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,20 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{ensure_checkpoint_dir(spark)}/folio-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of finished steps, which nothing refers to any more.
+
+    Without it they stay until the driver happens to collect garbage, and disks hold the sum of all
+    steps in place of the largest one.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, crc, text): only the two columns used, so further columns of any name can't clash.
 

@@ -26,7 +26,7 @@ from folio.llm import arrays as A
 from folio.llm import repeats as R
 from folio.llm.storage import keyed, written
 
-WINDOW, GRAM = 13, 3
+WINDOW, GRAM = 13, 5
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, factors array<struct<start:int,end:int,source:long>>"
 
 
@@ -40,33 +40,34 @@ def relative_lz_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_i
                 .agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"),
                      F.min("block").alias("b0"), F.max("block").alias("b1"))
                 .filter("source < last").select("anchor", "source", (F.col("b0") != F.col("b1")).alias("mixed")))
-    hits = blocks.join(repeated, "anchor").filter("mixed or source < doc_id")
-    hits = written(spark, R.per_document(hits, "a", "b", "anchor", "mixed", "source"), "op1-hits")
+    hits = written(spark, blocks.join(repeated, "anchor").filter("mixed or source < doc_id"), "op1-hits")
     texts = R.compressed(docs)
 
-    mixed = hits.filter(F.exists("hits", lambda h: h["mixed"]))
-    windows = written(spark, R.with_hits(texts, mixed, "inner")
+    # Of equal blocks under a mixed anchor only the first document's are looked into; the others are factors as they are.
+    mixed = hits.filter("mixed").drop("source")
+    firsts = mixed.groupBy("anchor", "block").agg(F.min("doc_id").alias("source"))
+    mixed = written(spark, mixed.join(firsts, ["anchor", "block"]).select("doc_id", "crc", "anchor", "a", "b", "source"), "op1-mixed")
+    edges = R.per_document(mixed.filter("source = doc_id"), "a", "b", "anchor")
+    windows = written(spark, R.with_hits(texts, edges, "inner")
                       .mapInArrow(_window_mapper(window), "anchor long, content long, doc_id long, crc long, a int"), "op1-windows")
     sources = (windows.groupBy("anchor", "content").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
                .filter("source < last").drop("last"))
     boundary = (windows.join(sources, ["anchor", "content"]).filter("source < doc_id")
                 .select("doc_id", "crc", "a", F.col("a").alias("b"), "source"))
-    whole = (hits.select("doc_id", "crc", F.explode(F.filter("hits", lambda h: ~h["mixed"])).alias("h"))
-             .select("doc_id", "crc", "h.a", "h.b", "h.source"))
+    whole = hits.filter("not mixed").unionByName(mixed.filter("source < doc_id"), allowMissingColumns=True).select("doc_id", "crc", "a", "b", "source")
     spans = R.per_document(whole.unionByName(boundary), "a", "b", "source")
     out = RESULT + (", kept_text string" if with_text else "")
     return R.with_hits(texts, spans, "left").mapInArrow(_parser(window, with_text), out)
 
 
 def _window_mapper(window: int):
-    """Rows of documents with mixed blocks to one row per window of those blocks."""
+    """Documents and blocks of theirs to one row per window of those blocks."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in R.unpacked(batches):
             values, first, _ = R.word_units(batch)
             row, h = R.nested(batch.column("hits"), batch.num_rows)
-            keep = h["mixed"].astype(bool)
-            row, a, b, anchor = row[keep], h["a"][keep], h["b"][keep], h["anchor"][keep]
+            a, b, anchor = h["a"], h["b"], h["anchor"]
             counts = (b - a + 1).astype(np.int64)
             if not counts.sum():
                 continue
