@@ -36,22 +36,23 @@ def relative_lz_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_i
     docs = keyed(docs, id_col, text_col)
     known = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     blocks = known.mapInArrow(R.block_mapper(R.word_anchors, window, gram), R.BLOCKS)
-    repeated = (blocks.groupBy("anchor")
-                .agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"),
-                     F.min("block").alias("b0"), F.max("block").alias("b1"))
-                .filter("source < last").select("anchor", "source", (F.col("b0") != F.col("b1")).alias("mixed")))
+    # Aggregates are written before they are joined back, so that Spark can split the skewed side of the join.
+    repeated = written(spark, blocks.groupBy("anchor")
+                       .agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"),
+                            F.min("block").alias("b0"), F.max("block").alias("b1"))
+                       .filter("source < last").select("anchor", "source", (F.col("b0") != F.col("b1")).alias("mixed")), "op1-anchors")
     hits = written(spark, blocks.join(repeated, "anchor").filter("mixed or source < doc_id"), "op1-hits")
     texts = R.compressed(docs)
 
     # Of equal blocks under a mixed anchor only the first document's are looked into; the others are factors as they are.
     mixed = hits.filter("mixed").drop("source")
-    firsts = mixed.groupBy("anchor", "block").agg(F.min("doc_id").alias("source"))
+    firsts = written(spark, mixed.groupBy("anchor", "block").agg(F.min("doc_id").alias("source")), "op1-firsts")
     mixed = written(spark, mixed.join(firsts, ["anchor", "block"]).select("doc_id", "crc", "anchor", "a", "b", "source"), "op1-mixed")
     edges = R.per_document(mixed.filter("source = doc_id"), "a", "b", "anchor")
     windows = written(spark, R.with_hits(texts, edges, "inner")
                       .mapInArrow(_window_mapper(window), "anchor long, content long, doc_id long, crc long, a int"), "op1-windows")
-    sources = (windows.groupBy("anchor", "content").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
-               .filter("source < last").drop("last"))
+    sources = written(spark, windows.groupBy("anchor", "content").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
+                      .filter("source < last").drop("last"), "op1-sources")
     boundary = (windows.join(sources, ["anchor", "content"]).filter("source < doc_id")
                 .select("doc_id", "crc", "a", F.col("a").alias("b"), "source"))
     whole = hits.filter("not mixed").unionByName(mixed.filter("source < doc_id"), allowMissingColumns=True).select("doc_id", "crc", "a", "b", "source")

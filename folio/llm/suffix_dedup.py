@@ -42,11 +42,12 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     docs = keyed(docs, id_col, text_col)
     known = docs.filter(F.length("text") > 0)
     blocks = known.mapInArrow(R.block_mapper(R.byte_anchors, length, gram), R.BLOCKS)
-    repeated = (blocks.groupBy("anchor").agg(F.count("*").alias("n"), F.min("block").alias("b0"), F.max("block").alias("b1"))
-                .filter("n > 1").select("anchor", (F.col("b0") != F.col("b1")).alias("mixed")))
+    # Aggregates are written before they are joined back, so that Spark can split the skewed side of the join.
+    repeated = written(spark, blocks.groupBy("anchor").agg(F.count("*").alias("n"), F.min("block").alias("b0"), F.max("block").alias("b1"))
+                       .filter("n > 1").select("anchor", (F.col("b0") != F.col("b1")).alias("mixed")), "op4-anchors")
     hits = written(spark, blocks.join(repeated, "anchor"), "op4-hits")
     mixed = hits.filter("mixed")
-    copies = mixed.groupBy("anchor", "block").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "crc", "a")).alias("one"))
+    copies = written(spark, mixed.groupBy("anchor", "block").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "crc", "a")).alias("one")), "op4-copies")
     marked = mixed.join(copies, ["anchor", "block"])
     whole = (hits.filter("not mixed").select("doc_id", "crc", "a", "b")
              .unionByName(marked.filter("copies > 1").select("doc_id", "crc", "a", "b")))
@@ -56,13 +57,13 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     texts = R.compressed(docs)
     pieces = written(spark, R.with_hits(texts, R.per_document(search, "a", "b", "anchor"), "inner")
                      .mapInArrow(_piece_mapper(length, gram), PIECES), "op4-pieces")
-    groups = pieces.groupBy("side", "meet").agg(F.count("*").alias("blocks")).filter("blocks > 1")
+    groups = written(spark, pieces.groupBy("side", "meet").agg(F.count("*").alias("blocks")).filter("blocks > 1"), "op4-groups")
     met = pieces.join(groups, ["side", "meet"])
     sorted_spans = (met.filter(F.col("blocks") <= group_limit).drop("blocks").repartition("side", "meet")
                     .sortWithinPartitions("side", "meet").mapInArrow(_suffix_sorter(length), "doc_id long, crc long, a int, b int"))
     large = (met.filter(F.col("blocks") > group_limit).dropDuplicates(["anchor", "doc_id", "crc", "a"])
              .mapInArrow(_window_mapper(length), "anchor long, content long, doc_id long, crc long, a int"))
-    often = large.groupBy("anchor", "content").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    often = written(spark, large.groupBy("anchor", "content").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "op4-often")
     counted = large.join(often, ["anchor", "content"]).select("doc_id", "crc", "a", F.col("a").alias("b"))
     spans = R.per_document(whole.unionByName(sorted_spans).unionByName(counted), "a", "b")
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
