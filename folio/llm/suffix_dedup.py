@@ -57,11 +57,10 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     texts = R.compressed(docs)
     pieces = written(spark, R.with_hits(texts, R.per_document(search, "a", "b", "anchor"), "inner")
                      .mapInArrow(_piece_mapper(length, gram), PIECES), "op4-pieces")
-    groups = written(spark, pieces.groupBy("side", "meet").agg(F.count("*").alias("blocks")).filter("blocks > 1"), "op4-groups")
-    met = pieces.join(groups, ["side", "meet"])
-    sorted_spans = (met.filter(F.col("blocks") <= group_limit).drop("blocks").repartition("side", "meet")
+    crowded = written(spark, pieces.groupBy("side", "meet").agg(F.count("*").alias("blocks")).filter(F.col("blocks") > group_limit), "op4-crowded")
+    sorted_spans = (pieces.join(crowded, ["side", "meet"], "left_anti").repartition("side", "meet")
                     .sortWithinPartitions("side", "meet").mapInArrow(_suffix_sorter(length), "doc_id long, crc long, a int, b int"))
-    large = (met.filter(F.col("blocks") > group_limit).dropDuplicates(["anchor", "doc_id", "crc", "a"])
+    large = (pieces.join(crowded, ["side", "meet"]).dropDuplicates(["anchor", "doc_id", "crc", "a"])
              .mapInArrow(_window_mapper(length), "anchor long, content long, doc_id long, crc long, a int"))
     often = written(spark, large.groupBy("anchor", "content").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "op4-often")
     counted = large.join(often, ["anchor", "content"]).select("doc_id", "crc", "a", F.col("a").alias("b"))
@@ -107,7 +106,7 @@ def _anchor_places(grams: np.ndarray, lead: np.ndarray, tail: np.ndarray, anchor
 
 
 def two_stage_sort(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffix array of ``text`` (unsigned 16-bit codes) by its first ``depth`` codes at least.
+    """Suffix array of ``text`` (codes 0 to 256) by its first ``depth`` codes at least.
 
     In each doubling step only suffixes smaller than their successors are sorted; a larger suffix
     follows from the place of its successor when the buckets of first codes are scanned upwards.
@@ -121,19 +120,25 @@ def two_stage_sort(text: np.ndarray, depth: int) -> np.ndarray:
     smaller = step[known[np.searchsorted(known, np.arange(n))]] > 0
     direct = np.flatnonzero(smaller)
     codes = np.unique(text)
-    rank = np.searchsorted(codes, text).astype(np.int64)
-    h, order = 1, np.argsort(rank, kind="stable")
+    h, rank, order = 0, None, None
     while h < depth:
-        ahead = np.zeros(n, np.int64)
-        ahead[:n - h] = rank[h:] + 1
-        key = (rank[direct].astype(np.uint64) << np.uint64(32)) | ahead[direct].astype(np.uint64)
+        if h == 0:  # the first seven codes (1..256, 0 past the end) fit one number
+            padded = np.zeros(n + 7, np.uint64)
+            padded[:n] = text + np.uint64(1)
+            key = padded[direct]
+            for j in range(1, 7):
+                key = (key << np.uint64(9)) | padded[direct + j]
+        else:
+            ahead = np.zeros(n, np.int64)
+            ahead[:n - h] = rank[h:] + 1
+            key = (rank[direct].astype(np.uint64) << np.uint64(32)) | ahead[direct].astype(np.uint64)
         sort = np.argsort(key, kind="stable")
         mine, key = direct[sort], key[sort]
         fresh = np.empty(len(mine), bool)
         fresh[:1] = True
         fresh[1:] = key[1:] != key[:-1]
         order, rank = _induce(text, smaller, mine, fresh, codes)
-        h *= 2
+        h = h * 2 or 7
         if rank[order[-1]] == n - 1:
             break
     return order
@@ -216,19 +221,36 @@ def _suffix_sorter(length: int):
     return emit
 
 
-def _sorted_spans(rows: list[dict], length: int) -> Iterator[pa.RecordBatch]:
+def _joined(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The blocks' bytes plus 1 with a 0 after each; start of each block; block and place of each code; starts of each block."""
     sizes = np.array([len(r["body"]) + 1 for r in rows])
     text = np.frombuffer(b"\0".join(r["body"] for r in rows) + b"\0", np.uint8).astype(np.uint16) + np.uint16(1)
     first = np.cumsum(sizes) - sizes
-    text[first + sizes - 1] = 0  # between blocks, below every byte
+    text[first + sizes - 1] = 0
+    own = np.repeat(np.arange(len(rows)), sizes)
+    return text, first, own, np.arange(len(text)) - first[own], np.array([r["starts"] for r in rows])
+
+
+def _holding_repeats(rows: list[dict], length: int) -> list[dict]:
+    """The blocks that share the hash of some window with another place; only these are worth sorting."""
+    text, _, own, place, starts = _joined(rows)
+    at = np.flatnonzero(place < starts[own])
+    h = A.RunHash(A.mix(text.astype(np.uint64) + np.uint64(1)))(at, at + length, np.zeros(len(at), np.int64))
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    return [rows[i] for i in np.unique(own[at[np.concatenate((order[1:][same], order[:-1][same]))]])]
+
+
+def _sorted_spans(rows: list[dict], length: int) -> Iterator[pa.RecordBatch]:
+    rows = _holding_repeats(rows, length)
+    if not rows:
+        return
+    text, _, own, place, starts = _joined(rows)
     order = two_stage_sort(text, length)
     shared = adjacent_common_prefixes(text, order, length) >= length
     repeat = np.zeros(len(text), bool)
     repeat[order[1:][shared[1:]]] = True
     repeat[order[:-1][shared[1:]]] = True
-    starts = np.array([r["starts"] for r in rows])
-    own = np.repeat(np.arange(len(rows)), sizes)
-    place = np.arange(len(text)) - first[own]
     hit = np.flatnonzero(repeat & (place < starts[own]))
     if not len(hit):
         return
