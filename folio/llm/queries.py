@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folio.llm.jaccard_join import grouped_prefix_join
+from folio.llm.line_dedup import line_dedup
+from folio.llm.packing import best_fit_packing
 from folio.llm.substring_dedup import relative_lz_dedup
 from folio.llm.suffix_dedup import suffix_array_dedup
 
@@ -18,12 +21,27 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relative_lz_dedup(spark, _table(spark, sf_dir, "documents")).drop("factors")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(spark, _table(spark, sf_dir, "documents")).drop("certified")
+
+
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouped_prefix_join(spark, _table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup(spark, _table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(spark, _table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLE: dict[str, str] = {}
