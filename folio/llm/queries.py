@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
+from folio.llm.ann import multiprobe_search
+from folio.llm.decontaminate import template_leaks
+from folio.llm.html_extract import consensus_extraction
 from folio.llm.jaccard_join import grouped_prefix_join
 from folio.llm.line_dedup import line_dedup
 from folio.llm.packing import best_fit_packing
+from folio.llm.quality import co_trained_quality
 from folio.llm.substring_dedup import relative_lz_dedup
 from folio.llm.suffix_dedup import suffix_array_dedup
+from folio.llm.toxicity import compression_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +40,26 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup(spark, _table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return consensus_extraction(spark, _table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op6_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiprobe_search(spark, _table(spark, sf_dir, "embeddings"))
+
+
+def op7_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return co_trained_quality(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("crc")
+
+
+def op8_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_toxicity(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_leaks(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("crc")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(spark, _table(spark, sf_dir, "documents"))
 
@@ -42,6 +69,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_multiprobe_neighbours": op6_multiprobe_neighbours,
+    "op7_co_trained_quality": op7_co_trained_quality,
+    "op8_compression_toxicity": op8_compression_toxicity,
+    "op9_template_decontamination": op9_template_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLE: dict[str, str] = {}
+QUERIES["pipeline"] = corpus_pipeline.run
+
+SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLE: dict[str, str] = {
+    "op10_line_dedup": f"""
+        WITH lines AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS place
+            FROM documents),
+        keyed AS (SELECT *, {LOWER.format(f"trim(line, {SPACE})")} AS key FROM lines),
+        frequent AS (
+            SELECT key, max(doc_id) AS last FROM (SELECT DISTINCT key, doc_id FROM keyed WHERE length(key) >= 40)
+            GROUP BY key HAVING count(*) >= 5),
+        judged AS (SELECT k.*, f.key IS NOT NULL AND k.doc_id < f.last AS gone FROM keyed k LEFT JOIN frequent f ON k.key = f.key)
+        SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id""",
+    "op1_substring_dedup": """
+        WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        windows AS (
+            SELECT doc_id, place, hash(list_slice(w, place, place + 12)) AS h
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS place FROM words)),
+        firsts AS (SELECT h, min(doc_id) AS first FROM windows GROUP BY h),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(place, place + 13)) AS place FROM windows JOIN firsts USING (h) WHERE first < doc_id),
+        each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM words),
+        kept AS (
+            SELECT e.doc_id, count(*) FILTER (WHERE g.place IS NOT NULL) AS n_removed,
+                   string_agg(word, ' ' ORDER BY e.place) FILTER (WHERE g.place IS NULL) AS text
+            FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.place = g.place GROUP BY e.doc_id)
+        SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM words d LEFT JOIN kept k USING (doc_id)""",
+}
