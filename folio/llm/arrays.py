@@ -203,5 +203,11 @@ def cover(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def taken(batch: pa.RecordBatch, row: np.ndarray, *names: str) -> list[pa.Array]:
+    """The named columns' values at the given rows, nulls included."""
+    at = pa.array(row, pa.int64())
+    return [batch.column(n).take(at) for n in names]
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)

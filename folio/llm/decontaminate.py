@@ -109,7 +109,6 @@ def _window_mapper(size: int, wanted=None, whole: bool = False):
         for batch in A.chunks(batches):
             hashes, kind, own, first = template(*A.buffers(batch.column("text")))
             count = np.diff(first)
-            ids, crcs = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "crc"))
             sizes = [(size, None)] if whole else [(k, w) for k, w in (wanted.value if wanted is not None else {size: None}).items()]
             if whole:
                 sizes += [(k, count == k) for k in range(1, size)]
@@ -136,7 +135,7 @@ def _window_mapper(size: int, wanted=None, whole: bool = False):
                 values = np.where(kinds == ORDINARY, np.uint64(0), own[grid])
                 edges = pa.array(np.arange(0, len(h) * k + 1, k, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[row]), pa.array(crcs[row]), pa.array(A.signed(h)), pa.array((at - first[row]).astype(np.int32)),
+                    *A.taken(batch, row, "doc_id", "crc"), pa.array(A.signed(h)), pa.array((at - first[row]).astype(np.int32)),
                     pa.ListArray.from_arrays(edges, pa.array(kinds.ravel().astype(np.int32))),
                     pa.ListArray.from_arrays(edges, pa.array(A.signed(values.ravel())))], names=["doc_id", "crc", "hash", "pos", "kinds", "vals"])
 

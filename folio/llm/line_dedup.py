@@ -146,8 +146,7 @@ def _line_mapper(least: int, filters=None, shards: int = 0, each_once: bool = Fa
                 keep = order[np.append(True, (r[1:] != r[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1]))]
                 row, line, h1, h2 = row[keep], line[keep], h1[keep], h2[keep]
             if len(row):
-                ids, crcs = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "crc"))
-                yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(ids[row]), pa.array(crcs[row]), pa.array(line.astype(np.int32))],
+                yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), *A.taken(batch, row, "doc_id", "crc"), pa.array(line.astype(np.int32))],
                                                  names=["h1", "h2", "doc_id", "crc", "line"])
 
     return emit

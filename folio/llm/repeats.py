@@ -57,10 +57,9 @@ def block_mapper(anchors: Callable, window: int, k: int) -> Callable:
             if not len(at):
                 continue
             run = A.RunHash(values)
-            ids, crcs = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "crc"))
             yield pa.RecordBatch.from_arrays([
                 pa.array(A.signed(hashes)), pa.array(A.signed(run(lead, tail + window, at - lead))),
-                pa.array(ids[row]), pa.array(crcs[row]),
+                *A.taken(batch, row, "doc_id", "crc"),
                 pa.array((lead - first[row]).astype(np.int32)), pa.array((tail - first[row]).astype(np.int32)),
             ], names=["anchor", "block", "doc_id", "crc", "a", "b"])
 

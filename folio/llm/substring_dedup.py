@@ -75,9 +75,8 @@ def _window_mapper(window: int):
             each = np.repeat(np.arange(len(a)), counts)
             start = a[each] + np.arange(len(each)) - np.repeat(np.cumsum(counts) - counts, counts)
             content = A.grams(values, window)[start + first[row[each]]]
-            ids, crcs = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "crc"))
             yield pa.RecordBatch.from_arrays([
-                pa.array(anchor[each]), pa.array(A.signed(content)), pa.array(ids[row[each]]), pa.array(crcs[row[each]]),
+                pa.array(anchor[each]), pa.array(A.signed(content)), *A.taken(batch, row[each], "doc_id", "crc"),
                 pa.array(start.astype(np.int32))], names=["anchor", "content", "doc_id", "crc", "a"])
 
     return emit

@@ -82,7 +82,7 @@ def _piece_mapper(length: int, gram: int):
             lead, tail = h["a"] + offsets[row], h["b"] + offsets[row]
             grams = A.byte_grams(data, gram.bit_length() - 1)
             at = _anchor_places(grams, lead, tail, h["anchor"], length, gram)
-            run, ids, crcs = A.RunHash(A.byte_values(data)), *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "crc"))
+            run = A.RunHash(A.byte_values(data))
             raw = data.tobytes()
             for name, start, stop in (("L", at - side, at + gram), ("R", at, at + gram + side)):
                 ok = np.flatnonzero((start >= lead) & (stop <= tail + length))
@@ -91,8 +91,8 @@ def _piece_mapper(length: int, gram: int):
                 meet = run(start[ok], stop[ok], np.zeros(len(ok), np.int64))
                 bodies = [raw[x:y] for x, y in zip(lead[ok].tolist(), (tail[ok] + length).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([name] * len(ok)), pa.array(A.signed(meet)), pa.array(h["anchor"][ok]), pa.array(ids[row[ok]]),
-                    pa.array(crcs[row[ok]]), pa.array(h["a"][ok].astype(np.int32)),
+                    pa.array([name] * len(ok)), pa.array(A.signed(meet)), pa.array(h["anchor"][ok]),
+                    *A.taken(batch, row[ok], "doc_id", "crc"), pa.array(h["a"][ok].astype(np.int32)),
                     pa.array((h["b"] - h["a"] + 1)[ok].astype(np.int32)), pa.array(bodies, pa.binary())],
                     names=["side", "meet", "anchor", "doc_id", "crc", "a", "starts", "body"])
 
@@ -273,9 +273,9 @@ def _window_mapper(length: int):
             place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
             at = offsets[row] + place
             content = A.RunHash(A.byte_values(data))(at, at + length, np.zeros(len(at), np.int64))
-            take = lambda c: batch.column(c).to_numpy(zero_copy_only=False)[row]
-            yield pa.RecordBatch.from_arrays([pa.array(take("anchor")), pa.array(A.signed(content)), pa.array(take("doc_id")), pa.array(take("crc")),
-                                              pa.array((take("a") + place).astype(np.int32))], names=["anchor", "content", "doc_id", "crc", "a"])
+            a = batch.column("a").to_numpy()[row] + place
+            anchor, *ids = A.taken(batch, row, "anchor", "doc_id", "crc")
+            yield pa.RecordBatch.from_arrays([anchor, pa.array(A.signed(content)), *ids, pa.array(a.astype(np.int32))], names=["anchor", "content", "doc_id", "crc", "a"])
 
     return emit
 
