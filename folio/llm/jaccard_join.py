@@ -9,7 +9,7 @@ remains is expanded to the groups' members and verified on the whole texts.
 Links are only needed up to reachability, so a crowd of similar documents isn't compared all with
 all: in a few star rounds each class meets one pivot per shared shingle, and classes found to be
 connected need no further comparison with each other. After that every pair that shares a prefix shingle,
-passes the filters and lies in different components is verified, so no link between components is lost.
+passes the filters (size, place, and a sketch of counters that can't lose a link) and lies in different components is verified, so no link between components is lost.
 
 The order of shingles only steers the work. It counts shingles over all documents, keeps those that
 repeat within a task's stretch of text, and sends at most ``most_frequent`` of them to the tasks.
@@ -33,7 +33,8 @@ from folio.llm import arrays as A
 from folio.llm import repeats as R
 from folio.llm.storage import keyed, written
 
-SIZE, PERCENT, MOST_FREQUENT, STAR_ROUNDS = 3, 90, 1 << 20, 3
+SIZE, PERCENT, MOST_FREQUENT, STAR_ROUNDS = 3, 90, 1 << 20, 2
+SKETCH = 64  # counters
 STRETCH = 4 << 20  # shingles counted at once in a task
 STRETCH_REPEATS, FREQUENT = 4, 32
 
@@ -45,9 +46,9 @@ def grouped_prefix_join(spark: SparkSession, docs: DataFrame, id_col: str = "doc
     known = docs.filter("doc_id is not null and text is not null")
     late = spark.sparkContext.broadcast(_frequent(known, size, most_frequent))
 
-    signatures = written(spark, known.mapInArrow(_signature_mapper(size, percent, late), "doc_id long, crc long, n long, cls long, grp long"), "op3-signatures")
+    signatures = written(spark, known.mapInArrow(_signature_mapper(size, percent, late), "doc_id long, crc long, n long, cls long, grp long, sketch array<smallint>"), "op3-signatures")
     classes = written(spark, signatures.filter("n > 0").groupBy("cls")
-                      .agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "crc")).alias("one"), F.first("n").alias("n"), F.first("grp").alias("grp")), "op3-classes")
+                      .agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "crc")).alias("one"), F.first("n").alias("n"), F.first("grp").alias("grp"), F.first("sketch").alias("sketch")), "op3-classes")
     prefixes = known.mapInArrow(_prefix_mapper(size, percent, late), "token long, grp long, n long, pos int")
     shared = written(spark, prefixes.groupBy("token").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).filter("g0 < g1").select("token"), "op3-tokens")
     buckets = prefixes.join(shared, "token").distinct()
@@ -58,6 +59,7 @@ def grouped_prefix_join(spark: SparkSession, docs: DataFrame, id_col: str = "doc
     meeting = buckets.select("grp").distinct().join(classes.select("grp", "cls", "one.*"), "grp").select("cls", "doc_id", "crc")
     texts = written(spark, R.compressed(known).join(meeting, ["doc_id", "crc"]).dropDuplicates(["cls"]).select("cls", "blob"), "op3-texts")
     members = classes.select("grp", "cls")
+    sketches = classes.select("cls", "n", "sketch")
     label = classes.select("cls", F.col("rep").alias("comp"))
     links = None
     tried = spark.createDataFrame([], "a long, b long")
@@ -65,8 +67,9 @@ def grouped_prefix_join(spark: SparkSession, docs: DataFrame, id_col: str = "doc
         rows = written(spark, buckets.join(members, "grp").join(label, "cls").select("token", "cls", "grp", "n", "pos", "comp"), f"op3-rows{turn}")
         mixed = rows.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").select("token")
         rows = rows.join(written(spark, mixed, f"op3-mixed{turn}"), "token")
-        pairs = _star(spark, rows, turn, percent) if turn < star_rounds else _across(spark, rows, members, percent)
-        pairs = written(spark, pairs.join(tried, ["a", "b"], "left_anti"), f"op3-pairs{turn}")
+        pairs = _star(spark, rows, turn, percent) if turn < star_rounds else _across(spark, rows, sketches, percent)
+        pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = written(spark, _near(pairs, sketches, percent) if turn < star_rounds else pairs, f"op3-pairs{turn}")
         tried = tried.unionByName(pairs.select("a", "b"))
         found = written(spark, _verified(pairs, texts, size, percent), f"op3-links{turn}")
         links = found if links is None else links.unionByName(found)
@@ -103,6 +106,18 @@ def _passes(n1, n2, p1, p2, percent: int):
     return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * most >= percent * (n1 + n2))
 
 
+def _may_link(n1, n2, s1, s2, percent: int):
+    """Counters of shingles by hash: sets differ in at least as many shingles as their counters do, so this loses no link."""
+    apart = F.aggregate(F.zip_with(s1, s2, lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda t, x: t + x)
+    return (100 + percent) * apart <= (100 - percent) * (n1 + n2)
+
+
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    one = sketches.select(F.col("cls").alias("a"), F.col("n").alias("n1"), F.col("sketch").alias("s1"))
+    two = sketches.select(F.col("cls").alias("b"), F.col("n").alias("n2"), F.col("sketch").alias("s2"))
+    return pairs.join(one, "a").join(two, "b").filter(_may_link(F.col("n1"), F.col("n2"), F.col("s1"), F.col("s2"), percent)).select("a", "b")
+
+
 def _star(spark: SparkSession, rows: DataFrame, turn: int, percent: int) -> DataFrame:
     """Each class with one pivot of every bucket it is in, another pivot in each turn."""
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent) + F.lit(turn / STAR_ROUNDS))
@@ -112,10 +127,10 @@ def _star(spark: SparkSession, rows: DataFrame, turn: int, percent: int) -> Data
     return met.select(F.least("cls", "p.cls").alias("a"), F.greatest("cls", "p.cls").alias("b")).distinct()
 
 
-def _across(spark: SparkSession, rows: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _across(spark: SparkSession, rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """All pairs left that lie in different components: in each bucket, those outside its main component with all others.
 
-    Pairs are formed between groups (of one component) and expanded to the members afterwards.
+    Pairs are formed between groups (of one component) and expanded to the members afterwards, where the sketches pass.
     """
     groups = written(spark, rows.groupBy("token", "grp", "n", "pos", "comp").agg(F.count("*").alias("k")), "op3-groups")
     weight = groups.groupBy("token", "comp").agg(F.sum("k").alias("k"))
@@ -124,10 +139,11 @@ def _across(spark: SparkSession, rows: DataFrame, members: DataFrame, percent: i
                     .select("token", F.col("grp").alias("g1"), F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("comp").alias("c1")), "op3-minor")
     on = (minor.token == groups.token) & (minor.c1 != groups.comp) & _passes(F.col("n1"), F.col("n"), F.col("p1"), F.col("pos"), percent)
     pairs = minor.join(groups, on).select("g1", "c1", F.col("grp").alias("g2"), F.col("comp").alias("c2")).distinct()
-    held = rows.select("grp", "comp", "cls").distinct()
-    one = held.select(F.col("grp").alias("g1"), F.col("comp").alias("c1"), F.col("cls").alias("x"))
-    two = held.select(F.col("grp").alias("g2"), F.col("comp").alias("c2"), F.col("cls").alias("y"))
-    return pairs.join(one, ["g1", "c1"]).join(two, ["g2", "c2"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    held = written(spark, rows.select("grp", "comp", "cls").distinct().join(sketches, "cls"), "op3-held")
+    one = held.select(F.col("grp").alias("g1"), F.col("comp").alias("c1"), F.col("cls").alias("x"), F.col("n").alias("n1"), F.col("sketch").alias("s1"))
+    two = held.select(F.col("grp").alias("g2_"), F.col("comp").alias("c2_"), F.col("cls").alias("y"), F.col("n").alias("n2"), F.col("sketch").alias("s2"))
+    near = _may_link(F.col("n1"), F.col("n2"), F.col("s1"), F.col("s2"), percent)
+    return pairs.join(one, ["g1", "c1"]).join(two, (F.col("g2") == F.col("g2_")) & (F.col("c2") == F.col("c2_")) & near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _shingles(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -208,8 +224,11 @@ def _signature_mapper(size: int, percent: int, late):
         for batch in A.chunks(batches):
             hashes, edges, n, _, _, _, group = _prefix(batch, size, percent, late)
             whole = A.RunHash(hashes)(edges[:-1], edges[1:], np.zeros(len(n), np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("crc"), pa.array(n, pa.int64()), pa.array(A.signed(whole)), pa.array(A.signed(group))],
-                                             names=["doc_id", "crc", "n", "cls", "grp"])
+            row = np.repeat(np.arange(len(n)), n)
+            counters = np.bincount(row * SKETCH + (hashes % np.uint64(SKETCH)).astype(np.int64), minlength=len(n) * SKETCH)
+            sketch = pa.ListArray.from_arrays(np.arange(0, len(counters) + 1, SKETCH, dtype=np.int32), pa.array(np.minimum(counters, 32767).astype(np.int16)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("crc"), pa.array(n, pa.int64()), pa.array(A.signed(whole)), pa.array(A.signed(group)), sketch],
+                                             names=["doc_id", "crc", "n", "cls", "grp", "sketch"])
 
     return emit
 
