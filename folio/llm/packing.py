@@ -13,8 +13,10 @@ stand; an empty table gives an empty result; other columns are ignored; a null d
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from folio.llm import arrays as A
 from folio.llm.storage import written
 
-CAPACITY, GROUP_ROWS, ROUNDS, CACHED_WORDS = 2048, 20_000, 4, 400_000
+CAPACITY, GROUP_ROWS, ROUNDS, CACHED_WORDS = 2048, 20_000, 4, 800_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -66,6 +68,7 @@ class WordIds:
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cached = Tokenizer.from_file(path), cached
@@ -77,7 +80,10 @@ class WordIds:
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All rows' ids in a row, and the offsets of the rows in it."""
-        starts, ends, first = A.word_spans(data, offsets)
+        if b"<|" not in data.tobytes():  # the case of a special token's string counts
+            data = A.ascii_lower(data)
+        starts, ends = _units(data, *A.word_spans(data, offsets)[:2])
+        first = np.searchsorted(starts, offsets)
         codes, unique = pd.factorize(A.span_hashes(data, starts, ends))
         if len(self.known) > self.cached:
             self._clear()
@@ -87,13 +93,13 @@ class WordIds:
             _, where = np.unique(codes, return_index=True)
             raw = data.tobytes()
             words = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[where[fresh]].tolist(), ends[where[fresh]].tolist(), strict=True)]
-            ids = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-            size = np.array([len(x) for x in ids], np.int64)
+            ids = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
             for i in fresh:
                 self.known[keys[i]] = len(self.known)
             self.first = np.append(self.first, len(self.flat) + np.cumsum(size) - size)
             self.size = np.append(self.size, size)
-            self.flat = np.concatenate([self.flat, *ids])
+            self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum())))
         at = np.array([self.known[k] for k in keys], np.int64)[codes] if keys else np.zeros(0, np.int64)
         size = self.size[at]
         edge = np.concatenate(([0], np.cumsum(size)))
@@ -101,6 +107,24 @@ class WordIds:
         return self.flat[place], edge[first]
 
 
+_LETTER, _TRAIL = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_TRAIL[[ord(c) for c in ".,!?;:"]] = True
+
+
+def _units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words with the signs at their end cut off as units of their own: the vocabulary's rule parts a letter from the signs after it."""
+    if not len(starts):
+        return starts, ends
+    place = np.flatnonzero(~_TRAIL[data])
+    at = np.searchsorted(place, ends)
+    cut = np.where(at > 0, place[np.maximum(at - 1, 0)] + 1 if len(place) else 0, 0)
+    split = (cut > starts) & (cut < ends)
+    split[split] = _LETTER[data[cut[split] - 1]]
+    inner = cut[split]
+    return np.sort(np.concatenate((starts, inner))), np.sort(np.concatenate((ends, inner)))
+
+
 def _piece_mapper(path: str, capacity: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = WordIds(path)
