@@ -29,6 +29,7 @@ from folio.llm.storage import written
 ROUNDS, NEWTON, CONFIDENT, PSEUDO_WEIGHT, RIDGE = 2, 4, 0.95, 0.2, 1.0
 HOLDS = 0.9  # share of a view's confident judgements that must hold on labelled rows before the other view takes them
 SOURCES, LANGS = 32, 8
+FAR = 8.0  # views' logits beyond this count as this
 TEXT = 18
 META = SOURCES + LANGS + 2
 
@@ -106,7 +107,7 @@ def co_trained_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame,
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, z, _ = _views(batch, scale)
-            t, m = x @ weights[0], z @ weights[1]
+            t, m = (np.clip(v, -FAR, FAR) for v in (x @ weights[0], z @ weights[1]))
             p = _sigmoid(np.stack([t, m, np.ones(len(t))], axis=1) @ blend)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("crc"), pa.array(p), pa.array(_sigmoid(t)), pa.array(_sigmoid(m)),
                                               pa.array((p >= 0.5).astype(np.int32))], names=["doc_id", "crc", "score", "text_score", "meta_score", "predicted"])
@@ -156,7 +157,8 @@ def _step(total: np.ndarray, old: np.ndarray) -> np.ndarray:
 
 def _sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, weights: np.ndarray) -> np.ndarray:
     p = _sigmoid(x @ weights)
-    return np.concatenate([(x.T * (w * p * (1 - p))) @ x, (x.T @ (w * (p - y)))[None]], axis=0).ravel()
+    # a curvature kept from vanishing: a full step can't overshoot where the classes separate
+    return np.concatenate([(x.T * (w * np.maximum(p * (1 - p), 0.1))) @ x, (x.T @ (w * (p - y)))[None]], axis=0).ravel()
 
 
 def _newton(spark: SparkSession, table: DataFrame, scale, weights: list, taken: list[bool]) -> list[np.ndarray]:
@@ -191,7 +193,7 @@ def _held(table: DataFrame, scale, weights: list) -> list[bool]:
 def _blend(spark: SparkSession, table: DataFrame, scale, weights: list, blend: np.ndarray) -> np.ndarray:
     def parts(batch: pa.RecordBatch):
         x, z, y = _views(batch, scale)
-        both = np.stack([x @ weights[0], z @ weights[1], np.ones(len(y))], axis=1)
+        both = np.stack([np.clip(x @ weights[0], -FAR, FAR), np.clip(z @ weights[1], -FAR, FAR), np.ones(len(y))], axis=1)
         yield 0, _sums(both, np.nan_to_num(y), (~np.isnan(y)).astype(float), blend)
 
     return _step(_summed(table, parts)[0], blend)
