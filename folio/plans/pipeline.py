@@ -83,10 +83,10 @@ def deliver_fixture(spark: SparkSession, sf_dir: str, landing: str, include_look
         files.write_json_feed(bridge.raw_lookup_records(spark, sf_dir), os.path.join(landing, "open_library"))
 
 
-def run_bronze(spark: SparkSession, landing: str, checkpoints: str, db: str) -> list:
+def run_bronze(spark: SparkSession, landing: str, checkpoints: str, db: str, flat: bool = False) -> list:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     tables = {f: f"{db}.{f}" for f in ("books", "ratings", "users", "open_library")}
-    return ingest.ingest_all(spark, landing, checkpoints, tables=tables)
+    return ingest.ingest_all(spark, landing, checkpoints, tables=tables, flat=flat)
 
 
 def _write(df: DataFrame, table: str, report: RunReport, name: str, partition_by=None, bucket_by=None,
@@ -237,12 +237,12 @@ def enrichment_feedback(spark: SparkSession, landing: str, answers: DataFrame, c
 
 
 def run_pipeline(spark: SparkSession, landing: str, checkpoints: str | None = None, prefix: str = "books",
-                 m: int = DEFAULT_M, buckets: int | None = None) -> RunReport:
+                 m: int = DEFAULT_M, buckets: int | None = None, flat: bool = False) -> RunReport:
     """Bronze -> silver -> gold, each stage reading only what the previous one wrote."""
     checkpoints = checkpoints or scratch_path(spark, "checkpoints", unique=False)
     bronze_db, silver_db, gold_db = f"{prefix}_bronze", f"{prefix}_silver", f"{prefix}_gold"
     report = RunReport()
-    report.ingested = run_bronze(spark, landing, checkpoints, bronze_db)
+    report.ingested = run_bronze(spark, landing, checkpoints, bronze_db, flat)
     run_silver(spark, bronze_db, silver_db, buckets=buckets, report=report)
     register_views(spark, silver_db, gold_db, m)
     return report

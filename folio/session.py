@@ -60,6 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="folio-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is None:

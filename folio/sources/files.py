@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folio.sources import storage
+
 RESCUE = "_rescued_data"
 
 # The raw feed layouts (header names as delivered).
@@ -21,6 +23,7 @@ CSV_COLUMNS = {
     "ratings": ["User-ID", "ISBN", "Book-Rating"],
     "users": ["User-ID", "Age", "Location"],
 }
+KEY_COLUMNS = {"books": ["ISBN"], "ratings": ["User-ID", "ISBN", "Book-Rating"], "users": ["User-ID"]}
 LANDING_GLOB = {"books": "Books*", "ratings": "Ratings*", "users": "Users*"}
 
 LOOKUP_SCHEMA = T.StructType([
@@ -39,46 +42,48 @@ LOOKUP_SCHEMA = T.StructType([
 _CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def csv_schema(feed: str) -> T.StructType:
-    """All-string schema of a CSV feed plus the rescue column."""
-    fields = [T.StructField(c, T.StringType()) for c in CSV_COLUMNS[feed]]
+def csv_schema(feed: str, names: list[str] | None = None) -> T.StructType:
+    """All-string schema of a CSV feed plus the rescue column; ``names`` in the order of a file's header."""
+    fields = [T.StructField(c, T.StringType()) for c in names or CSV_COLUMNS[feed]]
     return T.StructType(fields + [T.StructField(RESCUE, T.StringType())])
 
 
+def landing_schema(spark: SparkSession, path: str, feed: str, escape: str | None = None) -> T.StructType:
+    """The feed's schema in the order of the header that its landing files carry (one line is read).
+
+    Without files it is the documented layout. A header without a key column is an error.
+    """
+    pattern = path if any(c in path for c in "*?[{") else path.rstrip("/") + "/*"
+    if not storage.has_match(spark, pattern):
+        return csv_schema(feed)
+    reader = spark.read.option("header", "true")
+    names = (reader.option("escape", escape) if escape else reader).csv(path).columns
+    missing = [c for c in KEY_COLUMNS[feed] if c not in names]
+    if missing:
+        raise ValueError(f"feed {feed}: the header of {path} lacks {missing}; it holds {names}")
+    return csv_schema(feed, names)
+
+
 def persisted_schema(spark: SparkSession, location: str, default: T.StructType) -> T.StructType:
     """Schema snapshot per source: the first run stores ``default`` as JSON at ``location``;
     later runs read the snapshot, so a stream keeps the schema its checkpoint was built with.
-
-    Local paths use plain file I/O; any other store goes through Spark (a one-line text file).
     """
     import json
-    import os
-
-    local = "://" not in location or location.startswith("file:")
-    if local:
-        path = os.path.join(location.replace("file://", "").replace("file:", ""), "schema.json")
-        if os.path.exists(path):
-            with open(path, encoding="utf-8") as fh:
-                return T.StructType.fromJson(json.load(fh))
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(path, "w", encoding="utf-8") as fh:
-            fh.write(default.json())
-        return default
-    try:
-        stored = spark.read.text(location).collect()   # one short line of metadata, never data
-    except Exception:  # noqa: BLE001 - no snapshot yet
-        stored = []
-    if stored:
+
+    path = f"{location.rstrip('/')}/schema.json"
+    if storage.path_exists(spark, path):
+        stored = spark.read.text(path, wholetext=True).collect()   # one short line of metadata, never data
         return T.StructType.fromJson(json.loads(stored[0][0]))
-    spark.createDataFrame([(default.json(),)], "value string").coalesce(1).write.mode("overwrite").text(location)
+    storage.write_new(spark, path, default.json())
     return default
 
 
 def _csv_options(reader, header: bool = True, escape: str | None = None):
     """Reference behaviour is Spark's default quoting (escape = backslash); ``escape='"'``
-    reads RFC-4180 doubled quotes such as ``"He said ""hi"", ok"`` as one field."""
+    reads RFC-4180 doubled quotes such as ``"He said ""hi"", ok"`` as one field. Each file's
+    header is held against the schema: a file whose columns stand otherwise fails the read."""
     reader = (reader.option("header", str(header).lower()).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", RESCUE).option("enforceSchema", "true"))
+              .option("columnNameOfCorruptRecord", RESCUE).option("enforceSchema", str(not header).lower()))
     return reader.option("escape", escape) if escape else reader
 
 
@@ -88,22 +93,32 @@ def lineage(df: DataFrame) -> DataFrame:
             .withColumn("_ingested_at", F.current_timestamp()))
 
 
+def _by_name(df: DataFrame, feed: str) -> DataFrame:
+    """The feed's columns by name (NULL where the files lack one), then further columns of the header."""
+    known, have = CSV_COLUMNS[feed], [f.name for f in df.schema.fields]
+    tail = [RESCUE, "_source_file", "_ingested_at"]
+    more = [c for c in have if c not in known and c not in tail]
+    return df.select(*[F.col(f"`{c}`") if c in have else F.lit(None).cast("string").alias(c) for c in known],
+                     *[F.col(f"`{c}`") for c in more + tail])
+
+
 def read_csv_feed(spark: SparkSession, path: str, feed: str, header: bool = True,
                   escape: str | None = None) -> DataFrame:
-    """Batch read of a CSV feed with the rescue column."""
-    return lineage(_csv_options(spark.read.schema(csv_schema(feed)), header, escape).csv(path))
+    """Batch read of a CSV feed with the rescue column; columns by header name, by place without a header."""
+    schema = landing_schema(spark, path, feed, escape) if header else csv_schema(feed)
+    return _by_name(lineage(_csv_options(spark.read.schema(schema), header, escape).csv(path)), feed)
 
 
 def stream_csv_feed(spark: SparkSession, path: str, feed: str, max_files: int | None = None,
                     escape: str | None = None, archive_dir: str | None = None,
                     schema: T.StructType | None = None) -> DataFrame:
     """Incremental read: the file source lists the path/glob and processes each file once."""
-    reader = _csv_options(spark.readStream.schema(schema or csv_schema(feed)), escape=escape)
+    reader = _csv_options(spark.readStream.schema(schema or landing_schema(spark, path, feed, escape)), escape=escape)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return lineage(reader.csv(path))
+    return _by_name(lineage(reader.csv(path)), feed)
 
 
 def write_csv_feed(df: DataFrame, feed: str, path: str, mode: str = "append") -> None:
@@ -112,10 +127,25 @@ def write_csv_feed(df: DataFrame, feed: str, path: str, mode: str = "append") ->
 
 
 def _json_rescue(value: Column, parsed: Column, schema: T.StructType) -> Column:
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
+    """The raw line where it does not parse, or where the typed columns would lose something of it:
+    an unknown key (also inside an array of objects), or a value that does not fit its type."""
     keys = F.json_object_keys(value)
-    unknown = F.size(F.array_except(F.coalesce(keys, F.array().cast("array<string>")), known)) > 0
-    return F.when(keys.isNull() | unknown, value)
+
+    def beyond(found: Column, fields) -> Column:
+        return F.size(F.array_except(F.coalesce(found, F.array().cast("array<string>")),
+                                     F.array(*[F.lit(f.name) for f in fields]))) > 0
+
+    def unfit(items: Column, fields) -> Column:
+        return F.exists(items, lambda item: item.isNull() | beyond(F.map_keys(item), fields))
+
+    lost = beyond(keys, schema.fields)
+    for field in schema.fields:
+        raw, typed = F.get_json_object(value, f"$.{field.name}"), parsed.getField(field.name)
+        lost = lost | (raw.isNotNull() & typed.isNull())
+        if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StructType):
+            items = F.from_json(raw, "array<map<string,string>>")
+            lost = lost | (raw.isNotNull() & F.coalesce(unfit(items, field.dataType.elementType.fields), F.lit(True)))
+    return F.when(keys.isNull() | F.coalesce(lost, F.lit(True)), value)
 
 
 def parse_json_lines(lines: DataFrame, schema: T.StructType = LOOKUP_SCHEMA, column: str = "value") -> DataFrame:

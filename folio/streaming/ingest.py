@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from folio.sources import files
+from folio.sources import files, storage
 
 
 DEFAULT_MAX_FILES = 1000   # files per micro-batch when draining a backlog
@@ -44,16 +44,45 @@ def _sink(df: DataFrame, checkpoint: str, table: str | None, path: str | None, m
 
 def run_available_now(df: DataFrame, checkpoint: str, table: str | None = None, path: str | None = None,
                       name: str = "ingest", merge_schema: bool = False) -> IngestResult:
-    """Drain everything new into the sink, then stop; returns rows/batches processed."""
+    """Drain everything new into the sink, then stop; returns rows/batches processed.
+
+    Rows are counted in the sink (Parquet footers) and batches in the checkpoint, before and
+    after: a query's progress reports keep only the last batches.
+    """
+    held, last = _sink_rows(df.sparkSession, table, path), _last_batch(df.sparkSession, checkpoint)
+    if last < 0 and _has_stream_log(df.sparkSession, table, path):
+        raise RuntimeError(f"stream {name}: the sink was written under another checkpoint than {checkpoint}; "
+                           "it would skip the batches it already holds. Replay into a new table.")
     query: StreamingQuery = _sink(df, checkpoint, table, path, merge_schema)
     query.awaitTermination()
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(f"stream {name} failed: {exc}")
-    progress = [p for p in query.recentProgress if p]
-    rows = sum(int(p["numInputRows"]) for p in progress)
-    batches = len([p for p in progress if int(p["numInputRows"]) > 0])
-    return IngestResult(name, rows, batches)
+    return IngestResult(name, _sink_rows(df.sparkSession, table, path) - held,
+                        _last_batch(df.sparkSession, checkpoint) - last)
+
+
+def _sink_rows(spark: SparkSession, table: str | None, path: str | None) -> int:
+    if table:
+        if not spark.catalog.tableExists(table):
+            return 0
+        spark.catalog.refreshTable(table)
+        return spark.table(table).count()
+    return spark.read.parquet(path).count() if storage.file_names(spark, f"{path}/_spark_metadata") else 0
+
+
+def _last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The last committed batch, -1 if there is none."""
+    return max((int(n) for n in storage.file_names(spark, f"{checkpoint}/commits") if n.isdigit()), default=-1)
+
+
+def _has_stream_log(spark: SparkSession, table: str | None, path: str | None) -> bool:
+    if table:
+        if not spark.catalog.tableExists(table):
+            return False
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+        path = rows[0].data_type if rows else None
+    return bool(path and storage.file_names(spark, f"{path}/_spark_metadata"))
 
 
 def ingest_csv(spark: SparkSession, landing: str, feed: str, checkpoint_root: str,
@@ -71,7 +100,8 @@ def ingest_csv(spark: SparkSession, landing: str, feed: str, checkpoint_root: st
         source = os.path.join(landing, pattern or files.LANDING_GLOB[feed] + ".csv")
     else:
         source = os.path.join(landing, feed, pattern or "*.csv")
-    schema = files.persisted_schema(spark, os.path.join(checkpoint_root, f"{feed}_schema"), files.csv_schema(feed))
+    schema = files.persisted_schema(spark, os.path.join(checkpoint_root, f"{feed}_schema"),
+                                    files.landing_schema(spark, source, feed))
     stream = files.stream_csv_feed(spark, source, feed, max_files=max_files, archive_dir=archive_dir, schema=schema)
     return run_available_now(stream, os.path.join(checkpoint_root, feed), table, path, name=feed)
 
@@ -80,7 +110,7 @@ def ingest_json(spark: SparkSession, landing: str, checkpoint_root: str, feed: s
                 table: str | None = None, path: str | None = None, max_files: int | None = None) -> IngestResult | None:
     """The JSON-lines lookup feed; skipped (None) while its landing folder does not exist."""
     source = os.path.join(landing, feed)
-    if not _exists(spark, source):
+    if not storage.path_exists(spark, source):
         return None
     stream = files.stream_json_feed(spark, source, max_files=max_files)
     return run_available_now(stream, os.path.join(checkpoint_root, feed), table, path, name=feed,
@@ -89,16 +119,17 @@ def ingest_json(spark: SparkSession, landing: str, checkpoint_root: str, feed: s
 
 def ingest_all(spark: SparkSession, landing: str, checkpoint_root: str, tables: dict[str, str] | None = None,
                paths: dict[str, str] | None = None, concurrent: bool = True,
-               max_files: int | None = DEFAULT_MAX_FILES) -> list[IngestResult]:
+               max_files: int | None = DEFAULT_MAX_FILES, flat: bool = False) -> list[IngestResult]:
     """Run the four independent streams (CSV feeds and the lookup feed).
 
     Each stream has its own checkpoint and sink, so they can run at the same time; with
     ``concurrent=False`` they run one after another as in the reference. ``max_files``
     bounds every micro-batch, so a large backlog drains in several commits instead of one.
+    With ``flat`` the CSV files lie directly in the landing folder (``Books*.csv``, ...).
     """
     tables, paths = tables or {}, paths or {}
     jobs = [lambda f=feed: ingest_csv(spark, landing, f, checkpoint_root, table=tables.get(f), path=paths.get(f),
-                                      max_files=max_files)
+                                      max_files=max_files, flat=flat)
             for feed in ("books", "ratings", "users")]
     jobs.append(lambda: ingest_json(spark, landing, checkpoint_root, table=tables.get("open_library"),
                                     path=paths.get("open_library"), max_files=max_files))
@@ -108,14 +139,3 @@ def ingest_all(spark: SparkSession, landing: str, checkpoint_root: str, tables:
     else:
         results = [j() for j in jobs]
     return [r for r in results if r is not None]
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a landing path exists, on any store Spark can read."""
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.replace("file://", "").replace("file:", ""))
-    try:
-        spark.read.format("text").load(path).schema   # resolves (lists) the path, reads nothing
-        return True
-    except Exception:  # noqa: BLE001 - PATH_NOT_FOUND
-        return False

@@ -4,6 +4,8 @@ exactly-once, replay and the optional secondary source."""
 import os
 import tempfile
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -176,3 +178,101 @@ def test_recommended_conf_is_accepted_by_spark(spark):
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def test_csv_columns_are_taken_by_header_name(spark):
+    root = _tmp()
+    landing, ckpt, out = (os.path.join(root, d) for d in ("landing", "ckpt", "users"))
+    _write_lines(os.path.join(landing, "users"), "a.csv", ["User-ID,Location,Age,Joined", '7,"nyc, new york, usa",25.0,2001'])
+    assert ingest.ingest_csv(spark, landing, "users", ckpt, path=out).rows == 1
+    row = spark.read.parquet(out).collect()[0]
+    assert (row["User-ID"], row["Age"], row["Location"], row["Joined"]) == ("7", "25.0", "nyc, new york, usa", "2001")
+    assert row["_rescued_data"] is None
+
+
+def test_csv_missing_column_is_null_and_missing_key_fails(spark):
+    d = _tmp()
+    _write_lines(d, "a.csv", ["Age,User-ID", "30,1"])
+    row = files.read_csv_feed(spark, d, "users").collect()[0]
+    assert (row["User-ID"], row["Age"], row["Location"]) == ("1", "30", None)
+    other = _tmp()
+    _write_lines(other, "a.csv", ["Age,Location", "30,x"])
+    with pytest.raises(ValueError, match="User-ID"):
+        files.read_csv_feed(spark, other, "users")
+
+
+def test_csv_file_with_another_layout_fails_loudly(spark):
+    root = _tmp()
+    landing, ckpt, out = (os.path.join(root, d) for d in ("landing", "ckpt", "ratings"))
+    _write_lines(os.path.join(landing, "ratings"), "a.csv", ["User-ID,ISBN,Book-Rating", "1,A,5"])
+    ingest.ingest_csv(spark, landing, "ratings", ckpt, path=out)
+    _write_lines(os.path.join(landing, "ratings"), "b.csv", ["ISBN,User-ID,Book-Rating", "B,2,6"])
+    with pytest.raises(StreamingQueryException):
+        ingest.ingest_csv(spark, landing, "ratings", ckpt, path=out)
+    assert spark.read.parquet(out).count() == 1
+
+
+def test_counts_do_not_depend_on_the_progress_buffer(spark):
+    root = _tmp()
+    landing = os.path.join(root, "landing")
+    for i in range(5):
+        _write_lines(os.path.join(landing, "ratings"), f"r{i}.csv", ["User-ID,ISBN,Book-Rating", f"{i},K,1", f"{i},L,2"])
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        res = ingest.ingest_csv(spark, landing, "ratings", os.path.join(root, "ckpt"), path=os.path.join(root, "out"), max_files=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert (res.rows, res.batches) == (10, 5)
+
+
+def test_new_checkpoint_over_an_old_sink_is_refused(spark):
+    root = _tmp()
+    landing, out = os.path.join(root, "landing"), os.path.join(root, "out")
+    _write_lines(os.path.join(landing, "ratings"), "a.csv", ["User-ID,ISBN,Book-Rating", "1,A,1"])
+    ingest.ingest_csv(spark, landing, "ratings", os.path.join(root, "c1"), path=out)
+    with pytest.raises(RuntimeError, match="another checkpoint"):
+        ingest.ingest_csv(spark, landing, "ratings", os.path.join(root, "c2"), path=out)
+
+
+def test_json_rescue_keeps_values_that_do_not_fit(spark):
+    bad = ['{"isbn": "1", "number_of_pages": "320 p."}', '{"isbn": "2", "authors": [{"name": "a", "born": 1900}]}',
+           '{"isbn": "3", "authors": ["plain"]}', '{"isbn": "4", "found": "perhaps"}']
+    good = ['{"isbn": "5", "authors": [{"name": "a", "key": "k"}], "subjects": ["s"], "number_of_pages": 3}',
+            '{"isbn": "6", "authors": [], "title": null}']
+    lines = spark.createDataFrame([Row(value=v) for v in bad + good])
+    got = {r.isbn: r._rescued_data for r in files.parse_json_lines(lines).collect()}
+    assert got == {**{str(i + 1): v for i, v in enumerate(bad)}, "5": None, "6": None}
+
+
+def test_existence_uses_the_path_s_own_file_system(spark):
+    from folio.sources import storage
+
+    root = _tmp()
+    assert storage.path_exists(spark, root) and storage.path_exists(spark, "file://" + root)
+    assert not storage.path_exists(spark, os.path.join(root, "none"))
+    with pytest.raises(Exception, match="nosuchscheme"):
+        storage.path_exists(spark, "nosuchscheme://host/x")
+
+
+def test_failed_lookups_stay_open(spark):
+    requests = spark.createDataFrame([Row(isbn=k, target="orphan", batch_id=b) for k, b in
+                                      (("A", 0), ("B", 0), ("C", 1), ("D", 2))])
+    answers = spark.createDataFrame([Row(batch_id=0, body='{"ISBN:A": {"url": "u"}, "ISBN:B": {}}'),
+                                     Row(batch_id=1, body='{"ISBN:C": {"ti')])
+    answered = enrichment.answered_requests(requests, answers)
+    got = {r.isbn: r.found for r in enrichment.shape_records(answered, answers).collect()}
+    assert got == {"A": True, "B": False}   # C's body is broken, D's batch has no answer
+
+
+def test_cli_types_parameters_as_declared():
+    from folio.__main__ import _params
+
+    assert _params("ds_top_by_genre", ["genre=1984"]) == {"genre": "1984"}
+    assert _params("ds_top_by_period", ["year_min=1984"]) == {"year_min": 1984}
+
+
+def test_key_format_refuses_a_trailing_newline(spark):
+    from folio.functions import valid_key
+
+    rows = spark.createDataFrame([Row(k="000000001X"), Row(k="000000001X\n")])
+    assert [r.ok for r in rows.select(valid_key("k").alias("ok")).collect()] == [True, False]
