@@ -24,14 +24,14 @@ BATCH_SIZE = 50         # keys per lookup request
 SUBJECT_LIMIT = 25      # subjects kept per record
 KEY_PREFIX = "ISBN:"    # request/answer key prefix
 
-ANSWER_SCHEMA = T.MapType(T.StringType(), T.StructType([
+ANSWER_SCHEMA = T.StructType([
     T.StructField("title", T.StringType()),
     T.StructField("authors", T.ArrayType(T.StructType([
         T.StructField("name", T.StringType()), T.StructField("url", T.StringType())]))),
     T.StructField("subjects", T.ArrayType(T.StructType([T.StructField("name", T.StringType())]))),
     T.StructField("number_of_pages", T.LongType()),
     T.StructField("publish_date", T.StringType()),
-]))
+])
 
 
 def _c(name: str):
@@ -41,15 +41,17 @@ def _c(name: str):
 def target_keys(raw_ratings: DataFrame, raw_books: DataFrame, top_catalog: int = TOP_CATALOG) -> DataFrame:
     """Orphan keys of valid format, plus the ``top_catalog`` most-rated catalogue keys
     (the limit is taken before the format filter, as in the reference)."""
-    well_formed = raw_ratings.where(_c("_rescued_data").isNull())   # rows of the expected width
-    counts = well_formed.groupBy(normalize_key(_c("ISBN")).alias("isbn")).agg(F.count(F.lit(1)).alias("n"))
-    catalog = raw_books.select(normalize_key(_c("ISBN")).alias("isbn")).distinct().withColumn("_in", F.lit(True))
-    classified = counts.join(catalog, "isbn", "left")
-    orphans = (classified.where(F.col("_in").isNull() & valid_key("isbn"))
-               .select("isbn", F.lit("orphan").alias("target"), "n"))
-    top = (classified.where(F.col("_in").isNotNull())
-           .orderBy(F.col("n").desc(), F.col("isbn").asc()).limit(top_catalog))
-    catalog_targets = top.where(valid_key("isbn")).select("isbn", F.lit("catalog").alias("target"), "n")
+    rated = raw_ratings.where(_c("_rescued_data").isNull()).select(   # rows of the expected width
+        normalize_key(_c("ISBN")).alias("isbn"), F.lit(1).cast("long").alias("n"), F.lit(False).alias("listed"))
+    listed = raw_books.where(_c("ISBN").isNotNull()).select(
+        normalize_key(_c("ISBN")).alias("isbn"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("listed"))
+    # One shuffle serves both branches; the format flag is an aggregate, so neither branch's filter moves below it.
+    keys = (rated.unionByName(listed).groupBy("isbn")
+            .agg(F.sum("n").alias("n"), F.max("listed").alias("listed"), F.max(valid_key("isbn")).alias("valid"))
+            .where("n > 0"))
+    orphans = keys.where(~F.col("listed") & F.col("valid")).select("isbn", F.lit("orphan").alias("target"), "n")
+    top = keys.where("listed").orderBy(F.col("n").desc(), F.col("isbn").asc()).limit(top_catalog)
+    catalog_targets = top.where("valid").select("isbn", F.lit("catalog").alias("target"), "n")
     return orphans.unionByName(catalog_targets)
 
 
@@ -71,10 +73,15 @@ def target_order():
             F.col("target").asc()]
 
 
+def numbered_targets(targets: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """Targets in lookup order with their place (``rn``, from 1) and request batch (``batch_id``, from 0)."""
+    numbered = global_row_number(targets, target_order(), "rn")
+    return numbered.withColumn("batch_id", F.floor((F.col("rn") - 1) / batch_size).cast("long"))
+
+
 def request_batches(targets: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     """Pack targets, in target order, into batches of ``batch_size`` with the request string."""
-    numbered = global_row_number(targets, target_order(), "rn")
-    batched = numbered.withColumn("batch_id", F.floor((F.col("rn") - 1) / batch_size).cast("long"))
+    batched = numbered_targets(targets, batch_size)
     grouped = batched.groupBy("batch_id").agg(   # each group holds at most batch_size keys
         F.count(F.lit(1)).alias("n_keys"),
         F.array_sort(F.collect_list(F.struct("rn", "isbn"))).alias("_keys"))
@@ -84,16 +91,31 @@ def request_batches(targets: DataFrame, batch_size: int = BATCH_SIZE) -> DataFra
         .alias("bibkeys"))
 
 
+def _answered(body: str):
+    """An answer document as a map of its keys to their raw JSON; NULL where the document is broken."""
+    return F.from_json(F.col(body), "map<string,string>")
+
+
+def answered_requests(requests: DataFrame, answers: DataFrame, body: str = "body") -> DataFrame:
+    """Requests whose batch has a readable answer; the others stay open for a later round.
+
+    Needs ``batch_id`` on both sides. Answers without that column are one complete harvest:
+    every request counts as answered.
+    """
+    if "batch_id" not in answers.columns:
+        return requests
+    return requests.join(answers.where(_answered(body).isNotNull()).select("batch_id"), "batch_id", "left_semi")
+
+
 def shape_records(requests: DataFrame, answers: DataFrame, body: str = "body") -> DataFrame:
     """Answer documents (one JSON object per request, keyed ``ISBN:<key>``) -> one record
-    per requested key; a key without an answer gives ``found = false``."""
-    entries = answers.select(F.explode(F.from_json(F.col(body), ANSWER_SCHEMA)).alias("k", "data"))
-    found = entries.select(F.substring(F.col("k"), len(KEY_PREFIX) + 1, 1 << 30).alias("isbn"), "data") \
-        .where(F.col("k").startswith(KEY_PREFIX))
-    d = F.col("data")
-    has = d.isNotNull() & (d.getField("title").isNotNull() | d.getField("authors").isNotNull()
-                           | d.getField("subjects").isNotNull() | d.getField("number_of_pages").isNotNull()
-                           | d.getField("publish_date").isNotNull())
+    per requested key; a key without an answer, or with an empty one, gives ``found = false``."""
+    entries = answers.select(F.explode(_answered(body)).alias("k", "raw"))
+    found = entries.where(F.col("k").startswith(KEY_PREFIX)).select(
+        F.substring(F.col("k"), len(KEY_PREFIX) + 1, 1 << 30).alias("isbn"),
+        (F.col("raw").startswith("{") & (F.col("raw") != "{}")).alias("_has"),
+        F.from_json(F.col("raw"), ANSWER_SCHEMA).alias("data"))
+    d, has = F.col("data"), F.coalesce("_has", F.lit(False))
     authors = F.transform(F.coalesce(d.getField("authors"), F.array()),
                           lambda a: F.struct(a.getField("name").alias("name"),
                                              author_key_from_url(a.getField("url")).alias("key")))
@@ -108,11 +130,6 @@ def shape_records(requests: DataFrame, answers: DataFrame, body: str = "body") -
         F.when(has, d.getField("publish_date")).alias("publish_date"))
 
 
-def records_as_json(records: DataFrame) -> DataFrame:
-    """Records as JSON lines (the append format of the lookup output)."""
-    return records.select(F.to_json(F.struct(*records.columns)).alias("value"))
-
-
 def coverage(records: DataFrame) -> DataFrame:
     """Found share per target tag."""
     return records.groupBy("target").agg(
@@ -128,27 +145,19 @@ def run_round(spark, raw_ratings: DataFrame, raw_books: DataFrame, answers: Data
     targets -> minus keys already under ``output_path`` (tolerant JSON-lines read of all
     earlier rounds) -> request batches -> records shaped from ``answers`` -> appended as
     JSON lines in a new round folder (found or not, so a rerun skips them) -> coverage of
-    this round. A rerun with no new targets appends an empty round.
+    this round. Batches whose answer is missing or broken are not recorded and are asked for
+    again (``answered_requests``). A rerun with no new targets appends an empty round.
     """
     import os
     import uuid
 
-    from folio.sources import files  # local import keeps operators free of I/O at import time
+    from folio.sources import files, storage  # local import keeps operators free of I/O at import time
 
     targets = target_keys(raw_ratings, raw_books, top_catalog)
     earlier = spark.read.option("recursiveFileLookup", "true").text(output_path) \
-        if _path_exists(spark, output_path) else None
+        if storage.path_exists(spark, output_path) else None
     remaining = targets if earlier is None else remaining_targets(targets, done_keys(earlier))
-    batches = request_batches(remaining, batch_size)
-    requested = batches.select(F.explode(F.split("bibkeys", ",")).alias("k")).select(
-        F.substring("k", len(KEY_PREFIX) + 1, 1 << 30).alias("isbn"))
-    requests = requested.join(remaining.select("isbn", "target"), "isbn")
+    requests = answered_requests(numbered_targets(remaining, batch_size), answers)
     round_path = os.path.join(output_path, f"round-{uuid.uuid4().hex[:12]}")
     files.write_json_feed(shape_records(requests, answers), round_path)
     return coverage(files.read_json_tolerant(spark, round_path))
-
-
-def _path_exists(spark, path: str) -> bool:
-    from folio.streaming.ingest import _exists
-
-    return _exists(spark, path)
