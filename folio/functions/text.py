@@ -18,7 +18,7 @@ YEAR_MIN, YEAR_MAX = 1450, 2004          # valid publication years, inclusive
 AGE_MIN, AGE_MAX = 5, 100                # valid ages, inclusive
 LOCATION_PLACEHOLDERS = ["", "n/a", "-", "unknown"]   # a location part meaning "not filled in"
 LOCATION_JUNK = r'[\\")(]'               # characters deleted from a location part: \ " ) (
-KEY_FORMAT = r"^[0-9X]{10}$"             # lookup key: ten characters, each a digit or X
+KEY_FORMAT = r"\A[0-9X]{10}\z"           # lookup key: ten characters, each a digit or X
 GENRE_STOP_WORDS = ["general", "etc", "etc."]   # subject tokens that are not genres
 PUBLISH_YEAR_PATTERN = r"(\d{4})"        # first run of four digits in a free-text date
 # Author spelling rules, applied in this order (Java regex; (?U) = Unicode classes like Python's re):
@@ -92,10 +92,19 @@ def clean_year(c) -> Column:
 _FLOAT_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
+def _age_number(c) -> Column:
+    t = strip_ws(_col(c))
+    return F.when(t.rlike(_FLOAT_TEXT), t.try_cast("double"))
+
+
+def parse_age(c) -> Column:
+    """Parse as a float and truncate toward zero, without the bounds of ``clean_age``."""
+    return _age_number(c).try_cast("int")
+
+
 def clean_age(c) -> Column:
     """Parse as a float, truncate toward zero, keep [5, 100], else NULL."""
-    t = strip_ws(_col(c))
-    num = F.when(t.rlike(_FLOAT_TEXT), t.try_cast("double"))
+    num = _age_number(c)
     # trunc(num) in [5, 100]  <=>  5 <= num < 101 ; NaN and infinities fall outside.
     return F.when((num >= AGE_MIN) & (num < AGE_MAX + 1), num.cast("int"))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.functions import normalize_key
+from folio.functions import normalize_key, parse_age
 
 # Fixed values of the profiling questions.
 AGE_PROFILE_BOUNDS = (5, 110)
@@ -82,7 +82,7 @@ def age_range(raw_users: DataFrame) -> DataFrame:
 
 def age_range_fixed(raw_users: DataFrame) -> DataFrame:
     """Same profile with the age parsed as a number first, then truncated."""
-    return raw_users.agg(*_age_profile(_c("Age").try_cast("double").try_cast("int")))
+    return raw_users.agg(*_age_profile(parse_age(_c("Age"))))
 
 
 def location_parts(raw_users: DataFrame) -> DataFrame:
