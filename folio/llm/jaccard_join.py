@@ -7,7 +7,7 @@ group. Groups that share a prefix shingle are compared by size and by place of t
 remains is expanded to the groups' members and verified on the whole texts.
 
 Links are only needed up to reachability, so a crowd of similar documents isn't compared all with
-all: in a few star rounds each class meets one pivot per shared shingle, and classes found to be
+all: first each class meets a few pivots per shared shingle, and classes found to be
 connected need no further comparison with each other. After that every pair that shares a prefix shingle,
 passes the filters (size, place, and a sketch of counters that can't lose a link) and lies in different components is verified, so no link between components is lost.
 
@@ -23,6 +23,7 @@ result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,47 +34,43 @@ from folio.llm import arrays as A
 from folio.llm import repeats as R
 from folio.llm.storage import keyed, written
 
-SIZE, PERCENT, MOST_FREQUENT, STAR_ROUNDS = 3, 90, 1 << 20, 2
+SIZE, PERCENT, MOST_FREQUENT, PIVOTS = 3, 90, 1 << 20, 2
 SKETCH = 64  # counters
 STRETCH = 4 << 20  # shingles counted at once in a task
 STRETCH_REPEATS, FREQUENT = 4, 32
 
 
 def grouped_prefix_join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
-                        percent: int = PERCENT, most_frequent: int = MOST_FREQUENT, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+                        percent: int = PERCENT, most_frequent: int = MOST_FREQUENT, pivots: int = PIVOTS) -> DataFrame:
     """One row per document: doc_id, crc, n_shingles, class_id, component_id."""
     docs = keyed(docs, id_col, text_col)
     known = docs.filter("doc_id is not null and text is not null")
     late = spark.sparkContext.broadcast(_frequent(known, size, most_frequent))
 
-    signatures = written(spark, known.mapInArrow(_signature_mapper(size, percent, late), "doc_id long, crc long, n long, cls long, grp long, sketch array<smallint>"), "op3-signatures")
+    signatures = written(spark, known.mapInArrow(_signature_mapper(size, percent, late),
+                                                 "doc_id long, crc long, n long, cls long, grp long, sketch array<smallint>, prefix array<long>"), "op3-signatures")
     classes = written(spark, signatures.filter("n > 0").groupBy("cls")
-                      .agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "crc")).alias("one"), F.first("n").alias("n"), F.first("grp").alias("grp"), F.first("sketch").alias("sketch")), "op3-classes")
-    prefixes = known.mapInArrow(_prefix_mapper(size, percent, late), "token long, grp long, n long, pos int")
+                      .agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "crc")).alias("one"),
+                           *[F.first(c).alias(c) for c in ("n", "grp", "sketch", "prefix")]), "op3-classes")
+    # Prefixes are looked at once for each group, not once for each document.
+    grouped = classes.groupBy("grp", "n").agg(F.first("prefix").alias("prefix"), F.count("*").alias("k"))
+    prefixes = grouped.select(F.posexplode("prefix").alias("pos", "token"), "grp", "n")
     shared = written(spark, prefixes.groupBy("token").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).filter("g0 < g1").select("token"), "op3-tokens")
-    buckets = prefixes.join(shared, "token").distinct()
-    crowded = classes.groupBy("grp", "n").agg(F.count("*").alias("k")).filter("k > 1").select(F.col("grp").alias("token"), "grp", "n", F.lit(0).alias("pos"))
-    buckets = written(spark, buckets.unionByName(crowded), "op3-buckets")
+    buckets = prefixes.join(shared, "token").select("token", "grp", "n", "pos")
+    buckets = buckets.unionByName(grouped.filter("k > 1").select(F.col("grp").alias("token"), "grp", "n", F.lit(0).alias("pos")))
+    rows = written(spark, buckets.join(classes.select("grp", "cls"), "grp").select("token", "cls", "grp", "n", "pos"), "op3-rows")
 
     # Texts of the classes that meet another one, once each.
-    meeting = buckets.select("grp").distinct().join(classes.select("grp", "cls", "one.*"), "grp").select("cls", "doc_id", "crc")
+    meeting = rows.select("cls").distinct().join(classes.select("cls", "one.*"), "cls")
     texts = written(spark, R.compressed(known).join(meeting, ["doc_id", "crc"]).dropDuplicates(["cls"]).select("cls", "blob"), "op3-texts")
-    members = classes.select("grp", "cls")
     sketches = classes.select("cls", "n", "sketch")
-    label = classes.select("cls", F.col("rep").alias("comp"))
-    links = None
-    tried = spark.createDataFrame([], "a long, b long")
-    for turn in range(star_rounds + 1):
-        rows = written(spark, buckets.join(members, "grp").join(label, "cls").select("token", "cls", "grp", "n", "pos", "comp"), f"op3-rows{turn}")
-        mixed = rows.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").select("token")
-        rows = rows.join(written(spark, mixed, f"op3-mixed{turn}"), "token")
-        pairs = _star(spark, rows, turn, percent) if turn < star_rounds else _across(spark, rows, sketches, percent)
-        pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(spark, _near(pairs, sketches, percent) if turn < star_rounds else pairs, f"op3-pairs{turn}")
-        tried = tried.unionByName(pairs.select("a", "b"))
-        found = written(spark, _verified(pairs, texts, size, percent), f"op3-links{turn}")
-        links = found if links is None else links.unionByName(found)
-        label = components(spark, classes.select(F.col("cls").alias("node"), F.col("rep").alias("label")), links).select(F.col("node").alias("cls"), F.col("label").alias("comp"))
+    starred = written(spark, _near(_star(spark, rows, pivots, percent), sketches, percent), "op3-starred")
+    links = written(spark, _verified(starred, texts, size, percent), "op3-links")
+    label = components(spark, classes.select(F.col("cls").alias("node"), F.col("rep").alias("label")), links)
+    pairs = _across(spark, rows, classes.join(label, F.col("cls") == F.col("node")).select("grp", "cls", F.col("label").alias("comp"), "n", "sketch"), percent)
+    pairs = written(spark, pairs.join(starred, ["a", "b"], "left_anti"), "op3-pairs")
+    more = written(spark, _verified(pairs, texts, size, percent), "op3-more-links")
+    label = components(spark, label, links.unionByName(more)).select(F.col("node").alias("cls"), F.col("label").alias("comp"))
     linked = signatures.join(label, "cls", "left")
     result = linked.select("doc_id", "crc", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("cls")).alias("class_id"),
                            F.coalesce("comp", "doc_id").alias("component_id"))
@@ -118,28 +115,32 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").filter(_may_link(F.col("n1"), F.col("n2"), F.col("s1"), F.col("s2"), percent)).select("a", "b")
 
 
-def _star(spark: SparkSession, rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each class with one pivot of every bucket it is in, another pivot in each turn."""
-    band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent) + F.lit(turn / STAR_ROUNDS))
-    rows = rows.withColumn("band", band).withColumn("order", F.xxhash64("cls", F.lit(turn)))
-    pivot = written(spark, rows.groupBy("token", "band").agg(F.min(F.struct("order", "cls", "n", "pos", "comp")).alias("p")), f"op3-pivots{turn}")
-    met = rows.join(pivot, ["token", "band"]).filter("comp <> p.comp").filter(_passes(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos"), percent))
-    return met.select(F.least("cls", "p.cls").alias("a"), F.greatest("cls", "p.cls").alias("b")).distinct()
+def _star(spark: SparkSession, rows: DataFrame, pivots: int, percent: int) -> DataFrame:
+    """Each class with ``pivots`` other classes of every bucket it is in, which all of the bucket's classes meet."""
+    met = []
+    for turn in range(pivots):
+        band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent) + F.lit(turn / pivots))
+        banded = rows.withColumn("band", band).withColumn("order", F.xxhash64("cls", F.lit(turn)))
+        pivot = written(spark, banded.groupBy("token", "band").agg(F.min(F.struct("order", "cls", "n", "pos")).alias("p")), f"op3-pivots{turn}")
+        near = banded.join(pivot, ["token", "band"]).filter("cls <> p.cls").filter(_passes(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos"), percent))
+        met.append(near.select(F.least("cls", "p.cls").alias("a"), F.greatest("cls", "p.cls").alias("b")))
+    return reduce(DataFrame.unionByName, met).distinct()
 
 
-def _across(spark: SparkSession, rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def _across(spark: SparkSession, rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """All pairs left that lie in different components: in each bucket, those outside its main component with all others.
 
     Pairs are formed between groups (of one component) and expanded to the members afterwards, where the sketches pass.
     """
-    groups = written(spark, rows.groupBy("token", "grp", "n", "pos", "comp").agg(F.count("*").alias("k")), "op3-groups")
+    held = written(spark, classes, "op3-held")
+    groups = written(spark, rows.join(held.select("cls", "comp"), "cls").groupBy("token", "grp", "n", "pos", "comp").agg(F.count("*").alias("k")), "op3-groups")
     weight = groups.groupBy("token", "comp").agg(F.sum("k").alias("k"))
-    main = written(spark, weight.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("m")).select("token", F.col("m.comp").alias("main")), "op3-main")
+    main = written(spark, weight.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("m"), F.count("*").alias("comps")).filter("comps > 1")
+                   .select("token", F.col("m.comp").alias("main")), "op3-main")
     minor = written(spark, groups.join(main, "token").filter("comp <> main")
                     .select("token", F.col("grp").alias("g1"), F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("comp").alias("c1")), "op3-minor")
     on = (minor.token == groups.token) & (minor.c1 != groups.comp) & _passes(F.col("n1"), F.col("n"), F.col("p1"), F.col("pos"), percent)
     pairs = minor.join(groups, on).select("g1", "c1", F.col("grp").alias("g2"), F.col("comp").alias("c2")).distinct()
-    held = written(spark, rows.select("grp", "comp", "cls").distinct().join(sketches, "cls"), "op3-held")
     one = held.select(F.col("grp").alias("g1"), F.col("comp").alias("c1"), F.col("cls").alias("x"), F.col("n").alias("n1"), F.col("sketch").alias("s1"))
     two = held.select(F.col("grp").alias("g2_"), F.col("comp").alias("c2_"), F.col("cls").alias("y"), F.col("n").alias("n2"), F.col("sketch").alias("s2"))
     near = _may_link(F.col("n1"), F.col("n2"), F.col("s1"), F.col("s2"), percent)
@@ -222,23 +223,15 @@ def _prefix(batch, size, percent, late):
 def _signature_mapper(size: int, percent: int, late):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in A.chunks(batches):
-            hashes, edges, n, _, _, _, group = _prefix(batch, size, percent, late)
+            hashes, edges, n, _, _, inside, group = _prefix(batch, size, percent, late)
             whole = A.RunHash(hashes)(edges[:-1], edges[1:], np.zeros(len(n), np.int64))
             row = np.repeat(np.arange(len(n)), n)
             counters = np.bincount(row * SKETCH + (hashes % np.uint64(SKETCH)).astype(np.int64), minlength=len(n) * SKETCH)
             sketch = pa.ListArray.from_arrays(np.arange(0, len(counters) + 1, SKETCH, dtype=np.int32), pa.array(np.minimum(counters, 32767).astype(np.int16)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("crc"), pa.array(n, pa.int64()), pa.array(A.signed(whole)), pa.array(A.signed(group)), sketch],
-                                             names=["doc_id", "crc", "n", "cls", "grp", "sketch"])
-
-    return emit
-
-
-def _prefix_mapper(size: int, percent: int, late):
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in A.chunks(batches):
-            hashes, _, n, row, pos, inside, group = _prefix(batch, size, percent, late)
-            yield pa.RecordBatch.from_arrays([pa.array(A.signed(hashes[inside])), pa.array(A.signed(group[row[inside]])), pa.array(n[row[inside]], pa.int64()),
-                                              pa.array(pos[inside].astype(np.int32))], names=["token", "grp", "n", "pos"])
+            ends = np.concatenate(([0], np.cumsum(inside)))[edges].astype(np.int32)
+            prefix = pa.ListArray.from_arrays(ends, pa.array(A.signed(hashes[inside])))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("crc"), pa.array(n, pa.int64()), pa.array(A.signed(whole)), pa.array(A.signed(group)), sketch, prefix],
+                                             names=["doc_id", "crc", "n", "cls", "grp", "sketch", "prefix"])
 
     return emit
 
