@@ -60,16 +60,13 @@ def grouped_prefix_join(spark: SparkSession, docs: DataFrame, id_col: str = "doc
     buckets = buckets.unionByName(grouped.filter("k > 1").select(F.col("grp").alias("token"), "grp", "n", F.lit(0).alias("pos")))
     rows = written(spark, buckets.join(classes.select("grp", "cls"), "grp").select("token", "cls", "grp", "n", "pos"), "op3-rows")
 
-    # Texts of the classes that meet another one, once each.
-    meeting = rows.select("cls").distinct().join(classes.select("cls", "one.*"), "cls")
-    texts = written(spark, R.compressed(known).join(meeting, ["doc_id", "crc"]).dropDuplicates(["cls"]).select("cls", "blob"), "op3-texts")
     sketches = classes.select("cls", "n", "sketch")
     starred = written(spark, _near(_star(spark, rows, pivots, percent), sketches, percent), "op3-starred")
-    links = written(spark, _verified(starred, texts, size, percent), "op3-links")
+    links = written(spark, _verified(starred, _texts(spark, known, classes, starred), size, percent), "op3-links")
     label = components(spark, classes.select(F.col("cls").alias("node"), F.col("rep").alias("label")), links)
     pairs = _across(spark, rows, classes.join(label, F.col("cls") == F.col("node")).select("grp", "cls", F.col("label").alias("comp"), "n", "sketch"), percent)
     pairs = written(spark, pairs.join(starred, ["a", "b"], "left_anti"), "op3-pairs")
-    more = written(spark, _verified(pairs, texts, size, percent), "op3-more-links")
+    more = written(spark, _verified(pairs, _texts(spark, known, classes, pairs), size, percent), "op3-more-links")
     label = components(spark, label, links.unionByName(more)).select(F.col("node").alias("cls"), F.col("label").alias("comp"))
     linked = signatures.join(label, "cls", "left")
     result = linked.select("doc_id", "crc", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("cls")).alias("class_id"),
@@ -236,6 +233,14 @@ def _signature_mapper(size: int, percent: int, late):
     return emit
 
 
+def _texts(spark: SparkSession, known: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(cls, blob): one text of each class that is in a pair; no other text moves."""
+    needed = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    needed = written(spark, needed.join(classes.select("cls", "one.*"), "cls"), "op3-needed")
+    picked = known.join(needed, ["doc_id", "crc"]).dropDuplicates(["doc_id", "crc", "cls"])
+    return written(spark, R.compressed(picked, "cls").select("cls", "blob"), "op3-texts")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
 

@@ -66,17 +66,17 @@ def block_mapper(anchors: Callable, window: int, k: int) -> Callable:
     return emit
 
 
-def compressed(docs: DataFrame) -> DataFrame:
-    """(doc_id, crc, blob): the text as a zstandard frame, so that a shuffle by document moves less."""
+def compressed(docs: DataFrame, *further: str) -> DataFrame:
+    """(doc_id, crc, further long columns, blob): the text as a zstandard frame, so that a shuffle by document moves less."""
+    names = ["doc_id", "crc", *further]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in A.chunks(batches):
             blobs = [packer.compress(t.as_buffer()) if t.is_valid else None for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("crc"), pa.array(blobs, pa.binary())],
-                                             names=["doc_id", "crc", "blob"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(blobs, pa.binary())], names=[*names, "blob"])
 
-    return docs.mapInArrow(pack, "doc_id long, crc long, blob binary")
+    return docs.mapInArrow(pack, ", ".join(f"{c} long" for c in names) + ", blob binary")
 
 
 def unpacked(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
