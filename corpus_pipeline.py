@@ -18,6 +18,7 @@ from folio.llm.packing import best_fit_packing
 from folio.llm.quality import co_trained_quality
 from folio.llm.storage import written
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80  # shingles and similarity of the near-duplicate stage
 ORACLE_SQL = None  # a classifier, similarity components and a tokenizer are beyond SQL; see tests/llm
 
 
@@ -50,8 +51,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: of each group of linked documents the one with the smallest id stays."""
-    joined = grouped_prefix_join(spark, docs)
+    """Operator 3 on shingles of five words from a similarity of 0.8: of each group of linked documents the one with the smallest id stays.
+
+    Three words and 0.9 is the contract of op3's query alone.
+    """
+    joined = grouped_prefix_join(spark, docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
     gone = written(spark, joined.filter("component_id <> doc_id").select("doc_id", "crc").distinct(), "stage-near")
     return _keep(docs, gone, "left_anti")
 
