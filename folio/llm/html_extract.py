@@ -5,6 +5,10 @@ one votes for its generalised path of tags and classes. Spark sums the votes by
 every page of a host is extracted again along the host's winning path. A page without that path uses its
 own best container.
 
+A class or id word, a role or a form only makes an element suspect. Its text is kept until the page is read, then the
+element is judged: html, body and main are never boilerplate by a word, an article only beside a larger one or within another, and any
+other element not where it holds main or most of the page's unlinked text (unless the article plainly stands outside of it).
+
 Defined results: a null or empty page, and one without any text, gives the empty string; a null or odd url
 has the empty host; repeated rows are extracted alike; markup that breaks off counts as markup;
 an empty table gives an empty result; other columns are ignored.
@@ -15,6 +19,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +33,9 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 BLOCK = set("address article aside blockquote body dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav "
             "ol p pre section summary table tbody td tfoot th thead tr ul".split())
 HOLDER = {"article", "main", "section", "div", "td", "body"}
-BOILER_TAGS = {"nav", "header", "footer", "aside", "form", "button", "select", "textarea", "menu", "dialog", "label"}
+BOILER_TAGS = {"nav", "header", "footer", "aside", "button", "select", "textarea", "menu", "dialog", "label"}
+NEVER_BY_WORD = {"html", "body", "main"}
+MARKS = {"h1", "article", "main"}  # where an article plainly stands
 BOILER_WORDS = set("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies footer header menu modal nav navbar "
                    "navigation newsletter notice popup promo promoted related share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
 BOILER_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu"}
@@ -40,36 +47,65 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"(
 DIGITS = re.compile(r"\d+")
 
 
+class Part(NamedTuple):
+    """A stretch of text."""
+
+    text: str
+    linked: bool
+    under: tuple[int, ...]  # suspects around it
+    article: int  # outermost article around it, or -1
+
+
+class Suspect(NamedTuple):
+    """An element that may be boilerplate by its names."""
+
+    article: int  # its number if it is an outermost article, or -1
+    begins: bool  # a name begins with the boilerplate word
+    open_marks: frozenset[int]  # marks around it
+
+
+class Mark(NamedTuple):
+    tag: str
+    under: tuple[int, ...]  # suspects around it, itself included
+    doubted: bool
+
+
 class Page:
     """Blocks of a page in order, each with the containers it stands in."""
 
     def __init__(self, markup: str):
         self.paths: list[str] = []  # of each container
         self.blocks: list[tuple[tuple[int, ...], str, int]] = []  # containers from the outside in, text, characters in links
-        stack: list[tuple[str, bool, int]] = []  # tag, boilerplate, container or -1
-        text: list[str] = []
-        linked, boiler, links = 0, 0, 0
+        drafts: list[tuple[tuple[int, ...], list[Part]]] = []
+        stack: list[tuple[str, bool, int, bool]] = []  # tag, boilerplate, container or -1, suspect
+        text: list[Part] = []
+        suspects: list[Suspect] = []
+        marks: list[Mark] = []
+        under: tuple[int, ...] = ()  # suspects around this place
+        open_marks: list[int] = []
+        article, articles = -1, 0  # the outermost one around this place, and those opened
+        boiler, links = 0, 0
 
         def flush() -> None:
-            nonlocal linked
             if text:
-                words = " ".join(entities.unescape("".join(text)).split())
-                if words:
-                    self.blocks.append((tuple(c for _, _, c in stack if c >= 0), words, linked))
+                drafts.append((tuple(c for _, _, c, _ in stack if c >= 0), text.copy()))
                 text.clear()
-            linked = 0
 
         def pop() -> None:
-            nonlocal boiler, links
-            tag, bad, _ = stack.pop()
+            nonlocal boiler, links, under, article
+            tag, bad, _, doubted = stack.pop()
             boiler -= bad
             links -= tag == "a"
+            if doubted:
+                under = under[:-1]
+            if tag in MARKS:
+                open_marks.pop()
+                if tag == "article" and not any(marks[k].tag == "article" for k in open_marks):
+                    article = -1
 
         def put(part: str) -> None:
-            nonlocal linked
             if part and not boiler:
-                text.append(part)
-                linked += len(part) if links else 0
+                text.append(Part(part, links > 0, under, article))
 
         place = 0
         for m in TOKEN.finditer(markup):
@@ -80,7 +116,7 @@ class Page:
                 continue
             tag = tag.lower()
             if m.group(2):
-                if any(t == tag for t, _, _ in stack):
+                if any(e[0] == tag for e in stack):
                     if tag in BLOCK:
                         flush()
                     while stack[-1][0] != tag:
@@ -94,8 +130,8 @@ class Page:
                 continue
             if tag in BLOCK:
                 flush()
-                if stack and stack[-1][0] != "p" and any(t == "p" for t, _, _ in stack) or stack and stack[-1][0] == "p":
-                    while any(t == "p" for t, _, _ in stack):
+                if stack and stack[-1][0] != "p" and any(e[0] == "p" for e in stack) or stack and stack[-1][0] == "p":
+                    while any(e[0] == "p" for e in stack):
                         pop()
             for other in CLOSES_ITSELF.get(tag, ()):
                 if stack and stack[-1][0] == other:
@@ -103,28 +139,79 @@ class Page:
             if tag in VOID or m.group(4).endswith("/"):
                 continue
             named = self._named(m.group(4)) if m.group(4) else {}
-            bad = tag in HIDDEN or tag in BOILER_TAGS or self._bad(named)
+            bad = tag in HIDDEN or tag in BOILER_TAGS or "hidden" in named or named.get("aria-hidden") == "true"
             container = -1
             if tag in HOLDER and not bad and not boiler:
-                above = next((self.paths[c] for _, _, c in reversed(stack) if c >= 0), "")
+                above = next((self.paths[e[2]] for e in reversed(stack) if e[2] >= 0), "")
                 container = len(self.paths)
                 own = ".".join([tag, *sorted(DIGITS.sub("#", w.lower()) for w in named.get("class", "").split())])
                 self.paths.append(f"{above}/{own}")
-            stack.append((tag, bad, container))
+            begins, within = self._words(named)
+            doubted = not bad and not boiler and tag not in NEVER_BY_WORD and (begins or within or tag == "form")
+            if tag == "article" and article < 0:
+                article, articles = articles, articles + 1
+            if doubted:
+                nested = tag == "article" and any(marks[k].tag == "article" for k in open_marks)
+                suspects.append(Suspect(article if tag == "article" and not nested else -1, begins, frozenset(open_marks)))
+                under = (*under, len(suspects) - 1)
+            if tag in MARKS:
+                open_marks.append(len(marks))
+                marks.append(Mark(tag if not boiler and not bad else "", under, doubted))
+            stack.append((tag, bad, container, doubted))
             boiler += bad
             links += tag == "a"
         put(markup[place:])
         flush()
+        condemned = self._condemned(suspects, marks, [p for _, parts in drafts for p in parts]) if suspects else set()
+        for containers, parts in drafts:
+            parts = [p for p in parts if condemned.isdisjoint(p.under)]
+            words = " ".join(entities.unescape("".join(p.text for p in parts)).split())
+            if words:
+                self.blocks.append((containers, words, sum(len(p.text) for p in parts if p.linked)))
 
     @staticmethod
     def _named(attributes: str) -> dict[str, str]:
         return {m.group(1).lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in ATTRIBUTE.finditer(attributes)}
 
     @staticmethod
-    def _bad(named: dict[str, str]) -> bool:
-        words = re.split(r"[^a-z]+", f"{named.get('class', '')} {named.get('id', '')}".lower())
-        return ("hidden" in named or named.get("aria-hidden") == "true" or named.get("role", "").lower() in BOILER_ROLES
-                or any(w in BOILER_WORDS for w in words))
+    def _words(named: dict[str, str]) -> tuple[bool, bool]:
+        """Whether a class or id begins with a boilerplate word (or the role is one), and whether it holds one."""
+        if not named:
+            return False, False
+        names = [[w for w in re.split(r"[^a-z]+", n) if w] for n in f"{named.get('class', '')} {named.get('id', '')}".lower().split()]
+        return (named.get("role", "").lower() in BOILER_ROLES or any(n and n[0] in BOILER_WORDS for n in names),
+                any(w in BOILER_WORDS for n in names for w in n))
+
+    @staticmethod
+    def _condemned(suspects: list[Suspect], marks: list[Mark], parts: list[Part]) -> set[int]:
+        """The suspects that are boilerplate, judged from the outside in by their share of the unlinked text."""
+        weights = [(0 if p.linked else len(p.text.strip()), p.under, p.article) for p in parts]
+        total = sum(w for w, _, _ in weights)
+        inside = [0] * len(suspects)
+        for w, under, _ in weights:
+            for k in under:
+                inside[k] += w
+        holds_main = {k for m in marks if m.tag == "main" for k in m.under}
+        headed = {k for m in marks if m.tag in ("h1", "article") and not m.doubted for k in m.under}
+        spared = set(holds_main)
+        top = {k for k, s in enumerate(suspects) if s.article >= 0}  # articles are judged last
+        for k, s in enumerate(suspects):
+            if k in top or k in spared or 2 * inside[k] <= total:
+                continue
+            apart = {m.tag for j, m in enumerate(marks) if j not in s.open_marks and k not in m.under and all(d in top or d in spared for d in m.under)}
+            if inside[k] == total and not apart or k in headed:
+                spared.add(k)
+            elif not apart & {"article", "main"}:
+                rival = sum(w for w, under, _ in weights if k not in under and all(d in top or d in spared for d in under))
+                if not (s.begins or "h1" in apart) or 10 * rival <= inside[k]:
+                    spared.add(k)
+        sizes: dict[int, int] = {}
+        for w, under, article in weights:
+            if article >= 0 and all(d in top or d in spared for d in under):
+                sizes[article] = sizes.get(article, 0) + w
+        largest = max(sizes.values(), default=0)
+        spared |= {k for k in top if 2 * sizes.get(suspects[k].article, 0) >= largest}
+        return set(range(len(suspects))) - spared
 
     def votes(self) -> dict[str, float]:
         """Score of each path: the text outside links in its blocks, shared with the containers further out by halves."""
