@@ -2,11 +2,13 @@
 
 Every page scores its containers by the text that stands in them outside links and boilerplate; its best
 one votes for its generalised path of tags and classes. Spark sums the votes by host, and
-every page of a host is extracted again along the host's winning path. A page without that path uses its
-own best container.
+every page of a host is extracted again along the host's winning path. A page on which that path doesn't cover most
+of the score of its own best container uses the latter. From there the page climbs to the whole article: to the
+article or main around it, else to the outermost container whose further blocks are mostly unlinked text (for body,
+mostly headings, paragraphs and text that stands in body itself).
 
 A class or id word, a role or a form only makes an element suspect. Its text is kept until the page is read, then the
-element is judged: html, body and main are never boilerplate by a word, an article only beside a larger one or within another, and any
+element is judged: html, body and main are never boilerplate by a word, an article only beside a larger one (or a larger text under a title) or within another, and any
 other element not where it holds main or most of the page's unlinked text (unless the article plainly stands outside of it).
 
 Defined results: a null or empty page, and one without any text, gives the empty string; a null or odd url
@@ -35,6 +37,8 @@ BLOCK = set("address article aside blockquote body dd details div dl dt fieldset
 HOLDER = {"article", "main", "section", "div", "td", "body"}
 BOILER_TAGS = {"nav", "header", "footer", "aside", "button", "select", "textarea", "menu", "dialog", "label"}
 NEVER_BY_WORD = {"html", "body", "main"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+PROSE = HEADINGS | {"p", "li", "blockquote", "pre", "dd", "dt", "figcaption", "table"}
 MARKS = {"h1", "article", "main"}  # where an article plainly stands
 BOILER_WORDS = set("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies footer header menu modal nav navbar "
                    "navigation newsletter notice popup promo promoted related share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
@@ -47,6 +51,9 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"(
 DIGITS = re.compile(r"\d+")
 
 
+ROOT = -1  # the whole of a page without body
+
+
 class Part(NamedTuple):
     """A stretch of text."""
 
@@ -56,6 +63,13 @@ class Part(NamedTuple):
     article: int  # outermost article around it, or -1
 
 
+class Block(NamedTuple):
+    containers: tuple[int, ...]  # from the outside in
+    text: str
+    linked: int  # characters in links
+    tag: str  # innermost of PROSE around it, or empty
+
+
 class Suspect(NamedTuple):
     """An element that may be boilerplate by its names."""
 
@@ -68,6 +82,7 @@ class Mark(NamedTuple):
     tag: str
     under: tuple[int, ...]  # suspects around it, itself included
     doubted: bool
+    article: int  # outermost article around it, or -1
 
 
 class Page:
@@ -75,8 +90,10 @@ class Page:
 
     def __init__(self, markup: str):
         self.paths: list[str] = []  # of each container
-        self.blocks: list[tuple[tuple[int, ...], str, int]] = []  # containers from the outside in, text, characters in links
-        drafts: list[tuple[tuple[int, ...], list[Part]]] = []
+        self.tags: list[str] = []  # of each container
+        self.chains: list[tuple[int, ...]] = []  # of each container: those around it and itself, from the outside in
+        self.blocks: list[Block] = []
+        drafts: list[tuple[tuple[int, ...], list[Part], str]] = []
         stack: list[tuple[str, bool, int, bool]] = []  # tag, boilerplate, container or -1, suspect
         text: list[Part] = []
         suspects: list[Suspect] = []
@@ -88,7 +105,7 @@ class Page:
 
         def flush() -> None:
             if text:
-                drafts.append((tuple(c for _, _, c, _ in stack if c >= 0), text.copy()))
+                drafts.append((next((self.chains[e[2]] for e in reversed(stack) if e[2] >= 0), ()), text.copy(), next((e[0] for e in reversed(stack) if e[0] in PROSE), "")))
                 text.clear()
 
         def pop() -> None:
@@ -142,8 +159,11 @@ class Page:
             bad = tag in HIDDEN or tag in BOILER_TAGS or "hidden" in named or named.get("aria-hidden") == "true"
             container = -1
             if tag in HOLDER and not bad and not boiler:
-                above = next((self.paths[e[2]] for e in reversed(stack) if e[2] >= 0), "")
+                around = next((e[2] for e in reversed(stack) if e[2] >= 0), -1)
+                above, chain = (self.paths[around], self.chains[around]) if around >= 0 else ("", ())
                 container = len(self.paths)
+                self.tags.append(tag)
+                self.chains.append((*chain, container))
                 own = ".".join([tag, *sorted(DIGITS.sub("#", w.lower()) for w in named.get("class", "").split())])
                 self.paths.append(f"{above}/{own}")
             begins, within = self._words(named)
@@ -156,18 +176,18 @@ class Page:
                 under = (*under, len(suspects) - 1)
             if tag in MARKS:
                 open_marks.append(len(marks))
-                marks.append(Mark(tag if not boiler and not bad else "", under, doubted))
+                marks.append(Mark(tag if not boiler and not bad else "", under, doubted, article))
             stack.append((tag, bad, container, doubted))
             boiler += bad
             links += tag == "a"
         put(markup[place:])
         flush()
-        condemned = self._condemned(suspects, marks, [p for _, parts in drafts for p in parts]) if suspects else set()
-        for containers, parts in drafts:
+        condemned = self._condemned(suspects, marks, [p for _, parts, _ in drafts for p in parts]) if suspects else set()
+        for containers, parts, tag in drafts:
             parts = [p for p in parts if condemned.isdisjoint(p.under)]
             words = " ".join(entities.unescape("".join(p.text for p in parts)).split())
             if words:
-                self.blocks.append((containers, words, sum(len(p.text) for p in parts if p.linked)))
+                self.blocks.append(Block(containers, words, sum(len(p.text) for p in parts if p.linked), tag))
 
     @staticmethod
     def _named(attributes: str) -> dict[str, str]:
@@ -210,13 +230,17 @@ class Page:
             if article >= 0 and all(d in top or d in spared for d in under):
                 sizes[article] = sizes.get(article, 0) + w
         largest = max(sizes.values(), default=0)
-        spared |= {k for k in top if 2 * sizes.get(suspects[k].article, 0) >= largest}
+        # text under a title outside of all articles stands against an article without one
+        heads = [m for m in marks if m.tag == "h1" and all(d in top or d in spared for d in m.under)]
+        titled = {m.article for m in heads}
+        rest = sum(w for w, under, article in weights if article < 0 and all(d in spared for d in under)) if -1 in titled else 0
+        spared |= {k for k in top if 2 * sizes.get(suspects[k].article, 0) >= (largest if suspects[k].article in titled else max(largest, rest))}
         return set(range(len(suspects))) - spared
 
     def votes(self) -> dict[str, float]:
         """Score of each path: the text outside links in its blocks, shared with the containers further out by halves."""
         scores: dict[str, float] = {}
-        for containers, text, linked in self.blocks:
+        for containers, text, linked, _ in self.blocks:
             weight = max(0.0, len(text) - 2.0 * linked)
             for c in reversed(containers):
                 scores[self.paths[c]] = scores.get(self.paths[c], 0.0) + weight
@@ -228,14 +252,56 @@ class Page:
         return min(scores, key=lambda p: (-scores[p], p)) if scores else None
 
     def text(self, path: str | None) -> str:
-        """Blocks along ``path``, or along the page's own best one if no block stands there."""
-        for wanted in (path, self.best()):
-            if wanted is not None:
-                held = {c for c, p in enumerate(self.paths) if p == wanted}
-                found = [t for containers, t, _ in self.blocks if not held.isdisjoint(containers)]
-                if found:
-                    return "\n".join(found)
-        return "\n".join(t for _, t, _ in self.blocks)
+        """The article around ``path``, or around the page's own best path if ``path`` doesn't cover most of its score."""
+        scores = self.votes()
+        if not scores:
+            return "\n".join(b.text for b in self.blocks)
+        best = min(scores, key=lambda p: (-scores[p], p))
+        wanted = path if path in scores and 2 * scores[path] >= scores[best] else best
+        size: dict[int, int] = {}  # characters of all blocks in a container; of those in links, and of unlinked prose
+        linked, prose = dict(size), dict(size)
+        headed: set[int] = set()
+        for block in self.blocks:
+            own = max(0, len(block.text) - block.linked)
+            for c in (ROOT, *block.containers):
+                size[c] = size.get(c, 0) + len(block.text)
+                linked[c] = linked.get(c, 0) + block.linked
+                # what stands in body itself is prose there
+                prose[c] = prose.get(c, 0) + (own if block.tag or c == (block.containers or (ROOT,))[-1] else 0)
+            if block.tag in HEADINGS:
+                headed.update(block.containers)
+
+        def climbed(c: int) -> tuple[int, bool]:
+            """The container of the whole article around ``c``, and whether what it adds is mostly links."""
+            chain = self.chains[c] if any(self.tags[k] == "body" for k in self.chains[c]) else (ROOT, *self.chains[c])
+            tags = ["body" if k == ROOT else self.tags[k] for k in chain]
+
+            def adds_text(k: int, tag: str) -> bool:
+                more = size[k] - size[c]
+                return 2 * (prose[k] - prose[c]) >= more if tag == "body" else 2 * (linked[k] - linked[c]) <= more
+
+            if "article" in tags:
+                c = chain[tags.index("article")]
+                if c in headed or "main" not in tags:
+                    return c, False
+            elif "main" in tags:
+                top = chain[tags.index("main")]
+                return top, not adds_text(top, "main")
+            start = tags.index("main") if "main" in tags else 0
+            for k, tag in zip(chain[start:], tags[start:], strict=True):
+                if k == c or adds_text(k, tag):
+                    return k, False
+            return c, False
+
+        whole: set[int] = set()
+        cores: set[int] = set()  # where pure links are left out beyond
+        for c in range(len(self.paths)):
+            if self.paths[c] == wanted and c in size:
+                top, links = climbed(c)
+                whole.add(top)
+                cores.add(c if links else top)
+        return "\n".join(b.text for b in self.blocks if ROOT in cores or not cores.isdisjoint(b.containers) or (
+            not whole.isdisjoint(b.containers) and (b.tag in HEADINGS or b.linked < len(b.text))))
 
 
 def host_of(url: str = "url"):
