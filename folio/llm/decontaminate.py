@@ -4,8 +4,11 @@ Words lose their case (A-Z and the Latin-1 capitals) and the punctuation around
 quantities, names and units become typed placeholders. Windows of five template words of every
 benchmark item are hash-joined with the windows of every document. An item whose windows are found
 in a document by ``share`` or more is a leak if its slots are filled consistently there: one value
-of the item has one value in the document, wherever it stands, so a question with other numbers and names
-is caught and a text that merely has placeholders in the same places isn't.
+of the item has one value, so a question with other numbers and names
+is caught and a text that merely has placeholders in the same places isn't. A document may hold an item more than once,
+each time filled otherwise: it is enough that one occurrence reaches both shares, or the document as a whole. Windows
+found at the same distance from their places in the item are an occurrence, and so are those whose distances follow each other closely
+(words put in or left out between them).
 
 The benchmark's window hashes are sent to the tasks while there are at most ``most_windows`` of them (eight bytes
 each); beyond that the windows of all documents meet them in a join.
@@ -22,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.llm import arrays as A
@@ -157,18 +160,32 @@ def template_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, i
     else:
         wanted = {r.k: None for r in hashes.select("k").distinct().collect()}
         windows = docs.mapInArrow(_window_mapper(size, spark.sparkContext.broadcast(wanted)), WINDOWS)
-    # one row for each different filling of an item's window in a document
-    found = windows.groupBy("doc_id", "crc", "hash", "kinds", "vals").agg(F.min("pos").alias("pos"))
-    met = written(spark, found.join(index, "hash").select("doc_id", "crc", "item", "at", "kinds", "vals", "item_vals"), "op9-met")
+    # one row for each different filling of an item's window in a document, with all its places
+    found = windows.groupBy("doc_id", "crc", "hash", "kinds", "vals").agg(F.collect_set("pos").alias("places"))
+    met = written(spark, found.join(index, "hash").select("doc_id", "crc", "item", "at", "kinds", "vals", "item_vals", "places"), "op9-met")
     totals = index.groupBy("item").agg(F.count("*").alias("n_windows"))
     near = (met.select("doc_id", "crc", "item", "at").distinct().groupBy("doc_id", "crc", "item").agg(F.count("*").alias("n_found"))
             .join(totals, "item").filter(F.col("n_found") >= share * F.col("n_windows")))
     near = written(spark, near, "op9-near")
-    slots = (met.join(near.select("doc_id", "crc", "item"), ["doc_id", "crc", "item"])
-             .select("doc_id", "crc", "item", F.explode(F.arrays_zip("kinds", "vals", "item_vals")).alias("s")).filter(f"s.kinds <> {ORDINARY}")
-             .groupBy("doc_id", "crc", "item", "s.item_vals", "s.vals").agg(F.count("*").alias("k")))
-    same = (slots.groupBy("doc_id", "crc", "item", "item_vals").agg(F.max("k").alias("most"), F.sum("k").alias("all"))
-            .groupBy("doc_id", "crc", "item").agg((F.sum("most") / F.sum("all")).alias("consistent")))
-    return (near.join(same, ["doc_id", "crc", "item"], "left").withColumn("consistent", F.coalesce("consistent", F.lit(1.0)))
+    pair = ["doc_id", "crc", "item"]
+    placed = met.join(near, pair).withColumn("pos", F.explode("places")).drop("places").withColumn("shift", F.col("pos") - F.col("at"))
+    before = F.lag("shift").over(Window.partitionBy(*pair).orderBy("shift"))
+    new = (F.col("shift") - before > F.greatest(F.lit(1), F.floor((1 - share) * F.col("n_windows")))).cast("int")
+    run = F.sum("new").over(Window.partitionBy(*pair).orderBy("shift"))
+    shifts = placed.select(*pair, "n_windows", "shift").distinct().withColumn("new", F.coalesce(new, F.lit(0))).select(*pair, "shift", run.alias("run"))
+    # the document as a whole, runs of close shifts, and single shifts
+    spots = F.array(F.struct(F.lit(0).alias("way"), F.lit(0).cast("long").alias("place")), F.struct(F.lit(1).alias("way"), F.col("run").cast("long").alias("place")),
+                    F.struct(F.lit(2).alias("way"), F.col("shift").cast("long").alias("place")))
+    tried = written(spark, placed.join(shifts, [*pair, "shift"]).withColumn("spot", F.explode(spots))
+                    .select(*pair, "spot", "n_windows", "at", "kinds", "vals", "item_vals").distinct(), "op9-spots")
+    spot = [*pair, "spot"]
+    held = (tried.groupBy(*spot, "n_windows").agg(F.countDistinct("at").alias("n_found")).filter(F.col("n_found") >= share * F.col("n_windows")))
+    slots = (tried.join(held.select(*spot), spot)
+             .select(*spot, F.explode(F.arrays_zip("kinds", "vals", "item_vals")).alias("s")).filter(f"s.kinds <> {ORDINARY}")
+             .groupBy(*spot, "s.item_vals", "s.vals").agg(F.count("*").alias("k")))
+    same = (slots.groupBy(*spot, "item_vals").agg(F.max("k").alias("most"), F.sum("k").alias("all"))
+            .groupBy(*spot).agg((F.sum("most") / F.sum("all")).alias("consistent")))
+    same = (held.join(same, spot, "left").groupBy(*pair).agg(F.max(F.coalesce("consistent", F.lit(1.0))).alias("consistent")))
+    return (near.join(same, pair)
             .filter(F.col("consistent") >= share)
             .select("doc_id", "crc", F.col("item.doc_id").alias("item_id"), "n_windows", "n_found", "consistent"))
