@@ -1,7 +1,9 @@
 """Operator 9, benchmark decontamination: template canonicalisation.
 
 Words lose their case (A-Z and the Latin-1 capitals) and the punctuation around them; numbers,
-quantities, names and units become typed placeholders. Windows of five template words of every
+quantities, names and units become typed placeholders. A capitalised word that begins a sentence or line, and one with
+several capitals, may be a name or not: its windows stand in both readings, in items and in documents, and of
+the readings that meet at a place the one with the fewest names counts. Windows of five template words of every
 benchmark item are hash-joined with the windows of every document. An item whose windows are found
 in a document by ``share`` or more is a leak if its slots are filled consistently there: one value
 of the item has one value, so a question with other numbers and names
@@ -47,12 +49,12 @@ _STOP[[ord(c) for c in ".!?:;"]] = True
 _EDGE[33:48] = _EDGE[58:65] = _EDGE[91:97] = _EDGE[123:127] = True
 
 
-def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Template hash, kind and own hash of each word, and each row's first word."""
+def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Template hash, kind and own hash of each word, each row's first word, and the words that may be names as well."""
     starts, ends, first = A.word_spans(data, offsets)
     n = len(starts)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.uint64), first
+        return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.uint64), first, np.zeros(0, bool)
     high = np.zeros(len(data), bool)  # second byte of a Latin-1 capital in UTF-8
     high[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
     low = A.ascii_lower(data) + np.where(high, np.uint8(32), np.uint8(0))
@@ -82,8 +84,12 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     kind[np.isin(own, _unit_hashes())] = UNIT
     kind[(digits > 0) & (letters == 0)] = NUMBER
     kind[(digits > 0) & (letters > 0) & (letters <= 3)] = QUANTITY
-    fixed = A.mix(np.arange(1, 6, dtype=np.uint64))
-    return np.where(kind == ORDINARY, own, fixed[kind]), kind, own, first
+    return np.where(kind == ORDINARY, own, _fixed()[kind]), kind, own, first, (kind == ORDINARY) & upper_at[s]
+
+
+def _fixed() -> np.ndarray:
+    """Hash of each kind's placeholder."""
+    return A.mix(np.arange(1, 6, dtype=np.uint64))
 
 
 def _unit_hashes() -> np.ndarray:
@@ -92,13 +98,13 @@ def _unit_hashes() -> np.ndarray:
     return A.span_hashes(data, starts, ends)
 
 
-def _grams(first: np.ndarray, rest: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every run of k words, its first word taken from ``first`` and the others from ``rest``."""
-    n = max(0, len(rest) - k + 1)
-    out = first[:n].copy()
+def _grams(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every run of k words, before it is mixed: the sum of each word times a power."""
+    n = max(0, len(words) - k + 1)
+    out = words[:n].copy()
     for j in range(1, k):
-        out = out * A._BASE + rest[j:j + n]
-    return A.mix(out)
+        out = out * A._BASE + words[j:j + n]
+    return out
 
 
 def _window_mapper(size: int, wanted=None, whole: bool = False):
@@ -110,37 +116,53 @@ def _window_mapper(size: int, wanted=None, whole: bool = False):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in A.chunks(batches):
-            hashes, kind, own, first = template(*A.buffers(batch.column("text")))
+            hashes, kind, own, first, maybe = template(*A.buffers(batch.column("text")))
             count = np.diff(first)
             sizes = [(size, None)] if whole else [(k, w) for k, w in (wanted.value if wanted is not None else {size: None}).items()]
             if whole:
                 sizes += [(k, count == k) for k in range(1, size)]
-            # an item's first word begins a sentence there, but may stand as a name in the middle of one here
-            views = [(hashes, kind)] if whole else [(hashes, kind), (np.where(kind == NAME, own, hashes), np.where(kind == NAME, 0, kind))]
-            for (k, pick), view in ((x, v) for x in sizes for v in range(len(views))):
-                full = _grams(views[view][0], hashes, k) + np.uint64(k)
+            other = np.where(maybe, _fixed()[NAME], own) - hashes  # from a word's first reading to its second
+            for k, pick in sizes:
+                full = _grams(hashes, k)
                 rows = np.where(pick, count, 0) if whole and pick is not None else count
                 room = np.maximum(rows - k + 1, 0)
-                row = np.repeat(np.arange(len(count)), room)
-                at = np.arange(len(row)) - np.repeat(np.cumsum(room) - room, room) + first[row]
-                if view:
-                    changed = kind[at] == NAME
-                    row, at = row[changed], at[changed]
-                h = full[at] if len(at) else np.zeros(0, np.uint64)
-                if not whole and pick is not None and len(h):
-                    found = pick[np.minimum(np.searchsorted(pick, h), len(pick) - 1)] == h
-                    row, at, h = row[found], at[found], h[found]
-                if not len(h):
-                    continue
-                grid = at[:, None] + np.arange(k)
-                kinds = kind[grid]
-                kinds[:, 0] = views[view][1][at]
-                values = np.where(kinds == ORDINARY, np.uint64(0), own[grid])
-                edges = pa.array(np.arange(0, len(h) * k + 1, k, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([
-                    *A.taken(batch, row, "doc_id", "crc"), pa.array(A.signed(h)), pa.array((at - first[row]).astype(np.int32)),
-                    pa.ListArray.from_arrays(edges, pa.array(kinds.ravel().astype(np.int32))),
-                    pa.ListArray.from_arrays(edges, pa.array(A.signed(values.ravel())))], names=["doc_id", "crc", "hash", "pos", "kinds", "vals"])
+                rows_of = np.repeat(np.arange(len(count)), room)
+                starts = np.arange(len(rows_of)) - np.repeat(np.cumsum(room) - room, room) + first[rows_of]
+                # words of each window with a second reading, as bits
+                open_words = np.zeros(len(starts), np.int64)
+                for j in range(k):
+                    twofold = maybe[starts + j] if len(starts) else np.zeros(0, bool)
+                    if j == 0 and not whole and len(starts):
+                        # an item's first word begins a sentence there, but may stand as a name in the middle of one here
+                        twofold = twofold | (kind[starts] == NAME)
+                    open_words |= twofold.astype(np.int64) << j
+                for second in range(1 << k):
+                    chosen = np.flatnonzero(open_words & second == second) if second else np.arange(len(starts))
+                    if not len(chosen):
+                        continue
+                    row, at = rows_of[chosen], starts[chosen]
+                    h = full[at]
+                    for j in range(k):
+                        if second >> j & 1:
+                            h = h + other[at + j] * A.powers(k)[k - 1 - j]
+                    yield from windows(batch, A.mix(h) + np.uint64(k), row, at, k, pick, second, kind, own, first)
+
+    def windows(batch, h, row, at, k, pick, second, kind, own, first):
+        if not whole and pick is not None:
+            found = pick[np.minimum(np.searchsorted(pick, h), len(pick) - 1)] == h
+            row, at, h = row[found], at[found], h[found]
+        if not len(h):
+            return
+        kinds = kind[at[:, None] + np.arange(k)]
+        for j in range(k):
+            if second >> j & 1:
+                kinds[:, j] = np.where(kinds[:, j] == NAME, ORDINARY, NAME)
+        values = np.where(kinds == ORDINARY, np.uint64(0), own[at[:, None] + np.arange(k)])
+        edges = pa.array(np.arange(0, len(h) * k + 1, k, dtype=np.int32))
+        yield pa.RecordBatch.from_arrays([
+            *A.taken(batch, row, "doc_id", "crc"), pa.array(A.signed(h)), pa.array((at - first[row]).astype(np.int32)),
+            pa.ListArray.from_arrays(edges, pa.array(kinds.ravel().astype(np.int32))),
+            pa.ListArray.from_arrays(edges, pa.array(A.signed(values.ravel())))], names=["doc_id", "crc", "hash", "pos", "kinds", "vals"])
 
     return emit
 
@@ -163,12 +185,15 @@ def template_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, i
     # one row for each different filling of an item's window in a document, with all its places
     found = windows.groupBy("doc_id", "crc", "hash", "kinds", "vals").agg(F.collect_set("pos").alias("places"))
     met = written(spark, found.join(index, "hash").select("doc_id", "crc", "item", "at", "kinds", "vals", "item_vals", "places"), "op9-met")
-    totals = index.groupBy("item").agg(F.count("*").alias("n_windows"))
+    totals = index.groupBy("item").agg(F.countDistinct("at").alias("n_windows"))
     near = (met.select("doc_id", "crc", "item", "at").distinct().groupBy("doc_id", "crc", "item").agg(F.count("*").alias("n_found"))
             .join(totals, "item").filter(F.col("n_found") >= share * F.col("n_windows")))
     near = written(spark, near, "op9-near")
     pair = ["doc_id", "crc", "item"]
-    placed = met.join(near, pair).withColumn("pos", F.explode("places")).drop("places").withColumn("shift", F.col("pos") - F.col("at"))
+    placed = met.join(near, pair).withColumn("pos", F.explode("places")).withColumn("shift", F.col("pos") - F.col("at"))
+    names = F.size(F.filter("kinds", lambda x: x == NAME))
+    placed = (placed.groupBy(*pair, "n_windows", "at", "shift").agg(F.min(F.struct(names.alias("names"), "kinds", "vals", "item_vals")).alias("best"))
+              .select(*pair, "n_windows", "at", "shift", "best.kinds", "best.vals", "best.item_vals"))
     before = F.lag("shift").over(Window.partitionBy(*pair).orderBy("shift"))
     new = (F.col("shift") - before > F.greatest(F.lit(1), F.floor((1 - share) * F.col("n_windows")))).cast("int")
     run = F.sum("new").over(Window.partitionBy(*pair).orderBy("shift"))
