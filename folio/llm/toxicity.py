@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 from folio.llm import arrays as A
 
 SAMPLE, SAMPLE_BYTES = 2000, 24 << 20  # labelled documents of a class, and bytes of text of a class, at most
-WINDOW, ORDINARY_BYTES, TOXIC_BYTES = 8, 8 << 10, 2 << 10
+WINDOW, ORDINARY_BYTES = 8, 8 << 10
 TOP, LARGE, FOLDS = 3, 2, 5
-LEAST_DOCS, LEAST_RATIO, LEAST_WORTH = 3, 8.0, 0.05
+LEAST_DOCS, LEAST_RATIO = 3, 8.0
+MOST_CHANCE = 1e-8  # that a stem which says nothing passes; there are up to about a million stems
 STEMS = (5, 6, 7, 8, 10)
 
 
@@ -125,21 +126,38 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b" ".join(dict.fromkeys(samples))[-size:]
 
 
+def _chance(k: int, m: int, n_toxic: int, n_ordinary: int) -> float:
+    """Most chance (Chernoff's bound) that ``k`` or more of the ``k + m`` documents with a stem are toxic if the stem says nothing."""
+    share, base = k / (k + m), n_toxic / (n_toxic + n_ordinary)
+    if share <= base:
+        return 1.0
+    apart = share * np.log(share / base) + ((1 - share) * np.log((1 - share) / (1 - base)) if m else 0.0)
+    return float(np.exp(-(k + m) * apart))
+
+
+def _telling(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> bytes:
+    """The stems that the toxic documents hold beyond chance, the most telling ones last. Each stem is judged by its own counts alone.
+
+    Copies count once, since they say nothing new about a stem.
+    """
+    has = [Counter(p for words in {tuple(w) for w in docs} for p in {q for w in set(words) for q in _stems(w)}) for docs in (toxic, ordinary)]
+    n_toxic, n_ordinary = (len({tuple(w) for w in docs}) for docs in (toxic, ordinary))
+    ratio = n_ordinary / n_toxic
+    worth = {p: k * float(np.log(k * ratio / (has[1][p] + 1))) for p, k in has[0].items()
+             if k >= min(LEAST_DOCS, n_toxic) and k * ratio >= LEAST_RATIO * (has[1][p] + 1)
+             and (n_toxic < LEAST_DOCS or _chance(k, has[1][p], n_toxic, n_ordinary) <= MOST_CHANCE)}
+    # each word stands for its most telling stem; the most telling come last, next to the text that is compressed
+    best = {max(_stems(w), key=lambda p: (worth.get(p, 0.0), len(p))) for words in toxic for w in set(words)}
+    return b"".join(b" " + p for p in sorted((p for p in best if p in worth), key=lambda p: (worth[p], p)))
+
+
 def fit(toxic: list[str], ordinary: list[str]) -> Scorer:
     """Dictionaries and calibration from two samples of texts."""
     if not toxic or not ordinary:
         return Scorer(b"", b"")
     split = [[A.ascii_lower(np.frombuffer(t.encode(), np.uint8)).tobytes().split() for t in texts] for texts in (toxic, ordinary)]
-    has = [Counter(p for words in docs for p in {q for w in set(words) for q in _stems(w)}) for docs in split]
-    ratio = len(ordinary) / len(toxic)
-    worth = {p: k * float(np.log(k * ratio / (has[1][p] + 1))) for p, k in has[0].items()
-             if k >= min(LEAST_DOCS, len(toxic)) and k * ratio >= LEAST_RATIO * (has[1][p] + 1)}
-    enough = LEAST_WORTH * max(worth.values(), default=0.0)
-    # each word stands for its most telling stem; the most telling come last, next to the text that is compressed
-    best = {max(_stems(w), key=lambda p: (worth.get(p, 0.0), len(p))) for words in split[0] for w in set(words)}
-    telling = sorted((p for p in best if worth.get(p, 0.0) >= enough > 0), key=lambda p: (worth[p], p))
     plain = [b" ".join(words[i:i + WINDOW]) for words in split[1] for i in range(0, min(len(words), 40 * WINDOW), WINDOW)]
-    made = Scorer(_dictionary(plain[:40_000], ORDINARY_BYTES), b"".join(b" " + p for p in telling)[-TOXIC_BYTES:])
+    made = Scorer(_dictionary(plain[:40_000], ORDINARY_BYTES), _telling(*split))
     x = np.concatenate([made.features(*_packed([t.encode() for t in texts])) for texts in (toxic, ordinary)])
     y = np.repeat([1.0, 0.0], [len(toxic), len(ordinary)])
     w = np.zeros(x.shape[1])
