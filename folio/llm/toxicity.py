@@ -156,8 +156,8 @@ def fit(toxic: list[str], ordinary: list[str]) -> Scorer:
     if not toxic or not ordinary:
         return Scorer(b"", b"")
     split = [[A.ascii_lower(np.frombuffer(t.encode(), np.uint8)).tobytes().split() for t in texts] for texts in (toxic, ordinary)]
-    plain = [b" ".join(words[i:i + WINDOW]) for words in split[1] for i in range(0, min(len(words), 40 * WINDOW), WINDOW)]
-    made = Scorer(_dictionary(plain[:40_000], ORDINARY_BYTES), _telling(*split))
+    plain = [b" ".join(words[i:i + WINDOW]) for words in split[1] for i in range(0, len(words), WINDOW)]
+    made = Scorer(_dictionary(plain, ORDINARY_BYTES), _telling(*split))
     x = np.concatenate([made.features(*_packed([t.encode() for t in texts])) for texts in (toxic, ordinary)])
     y = np.repeat([1.0, 0.0], [len(toxic), len(ordinary)])
     w = np.zeros(x.shape[1])

@@ -36,3 +36,11 @@ def test_many_telling_stems_all_stay():
     made = fit(toxic, [" ".join(rng.choice(["plain", "usual", "words"]) for _ in range(60)) for _ in range(400)])
     held = set(made.toxic.split())
     assert all(any(w.decode().startswith(p) or p.startswith(w.decode()) for w in held) for p in words)
+
+
+def test_ordinary_dictionary_learns_from_whole_texts():
+    rng = random.Random(5)
+    early, late = ([f"{p}{rng.randrange(10**6)}" for _ in range(40)] for p in ("early", "lately"))
+    usual = [" ".join([rng.choice(early) for _ in range(320)] + [rng.choice(late) for _ in range(320)]) for _ in range(60)]
+    made = fit([t + " vilenessy" for t in usual[:20]], usual[20:])
+    assert b"early" in made.ordinary and b"lately" in made.ordinary
