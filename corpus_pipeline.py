@@ -51,13 +51,21 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3 on shingles of five words from a similarity of 0.8: of each group of linked documents the one with the smallest id stays.
+    """Operator 3 on shingles of five words from a similarity of 0.8: of each group of linked documents one row stays.
+
+    It is the one with the smallest id; of several rows with that id the one with the smallest crc, and one of equal rows. A null id counts as the
+    largest. Texts without words are linked with nothing and stay.
 
     Three words and 0.9 is the contract of op3's query alone.
     """
-    joined = grouped_prefix_join(spark, docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
-    gone = written(spark, joined.filter("component_id <> doc_id").select("doc_id", "crc").distinct(), "stage-near")
-    return _keep(docs, gone, "left_anti")
+    # a number for each row, since ids may repeat or be null; written, so that it is the same in every scan
+    numbered = written(spark, docs.withColumn("__row", F.monotonically_increasing_id()), "stage-near-rows")
+    joined = grouped_prefix_join(spark, numbered, id_col="__row", size=NEAR_WORDS, percent=NEAR_PERCENT)
+    group = joined.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("group"))
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "__crc", "__row")
+    ranked = numbered.select("__row", "doc_id", _crc().alias("__crc")).join(group, "__row")
+    kept = written(spark, ranked.groupBy("group").agg(F.min(order).alias("first")).select("first.__row"), "stage-near")
+    return numbered.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,3 +44,13 @@ def test_near_duplicates_by_five_words(spark):
     got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, table(spark, rows), "").collect()}
     assert got == near_kept(rows)
     assert got != near_kept(rows, 3, 90)
+
+
+def test_near_duplicates_keep_one_row_of_each_group(spark):
+    words = [f"u{k}" for k in range(80)]
+    text, near, other, alone = " ".join(words), " ".join([*words[:40], "changed", *words[41:]]), " ".join(words[::-1]), "v " * 9
+    rows = [(1, text), (1, text), (1, near), (2, near), (None, near), (None, text),  # one group
+            (None, other), (None, other), (7, "of its own " + alone), (7, "of its own " + alone), (8, None), (8, None), (None, ""), (9, " ")]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, table(spark, rows), "").collect()]
+    assert len(got) == 7 and sum(i == 1 for i, _ in got) == 1 and (None, other) in got
+    assert sorted(str(r) for r in got if r[0] != 1) == sorted(str(r) for r in [(None, other), (7, "of its own " + alone), (8, None), (8, None), (None, ""), (9, " ")])
