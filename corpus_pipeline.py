@@ -90,3 +90,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES[:-1]:
         docs = written(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
+
+
+QUERIES = {"pipeline": run}
+ORACLE: dict[str, str] = {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}

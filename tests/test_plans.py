@@ -6,9 +6,8 @@ import tempfile
 
 import pytest
 
-import __spark_entry__ as E
 from folio.operators import gold, silver
-from folio.plans import pipeline
+from folio.plans import pipeline, registry, registry_more, registry_stream  # noqa: F401 - the last two register queries
 from folio.plans.model import Layers
 
 SF = "/root/testdata/sf0.001"
@@ -22,10 +21,10 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - SKIP))
 def test_no_python_udf_in_any_query(spark, name):
-    plan = _plan(E.queries()[name](spark, SF))
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
+    plan = _plan(registry.QUERIES[name](spark, SF))
+    assert not re.search(r"EvalPython|PythonUDF|InPandas|InArrow|PythonMapInArrow|FlatMapGroups|FlatMapCoGroups", plan)
 
 
 def test_ratings_summary_aggregates_before_the_shuffle(spark):
@@ -41,7 +40,8 @@ def test_lookup_filters_pushed_and_columns_pruned(spark):
     lay = Layers(spark, SF)
     df = silver.recovered_books(lay.raw_lookup, silver.primary_books(lay.raw_books))
     plan = _plan(df)
-    assert "PushedFilters" in plan
+    pushed = [ln for ln in plan.splitlines() if "part.parquet" in ln and re.search(r"PushedFilters: \[[^\]]*IsNotNull", ln)]
+    assert pushed
     part_scans = [ln for ln in plan.splitlines() if "part.parquet" in ln and "ReadSchema" in ln]
     assert part_scans and all("p_retailprice" not in ln for ln in part_scans)
 
