@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
-
 from folio.llm.ann import multiprobe_search
 from folio.llm.decontaminate import template_leaks
 from folio.llm.html_extract import consensus_extraction
@@ -76,7 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_template_decontamination": op9_template_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }
-QUERIES["pipeline"] = corpus_pipeline.run
 
 SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
