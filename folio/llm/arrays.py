@@ -76,16 +76,16 @@ def ascii_lower(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each run of non-space bytes, and each row's first word number (rows + 1 entries).
 
-    Space is the six ASCII characters; a word never crosses rows.
+    ``space`` marks the bytes between words, by default the six ASCII characters; a word never crosses rows.
     """
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    word = ~_SPACE[data]
+    word = ~space[data]
     before = np.empty(n, bool)
     before[0] = False
     before[1:] = word[:-1]
