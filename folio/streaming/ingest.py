@@ -1,10 +1,13 @@
 """Bronze ingestion with Structured Streaming.
 
 One file-source stream per feed, each with its own checkpoint, run with
-``trigger(availableNow=True)``: it processes every file not yet committed in the
-checkpoint, in micro-batches, then stops. Re-running after a new delivery picks up only
-the new files (exactly once through the checkpoint's offset and commit logs); deleting
-the checkpoint and the table replays everything. The sink is append-only.
+``trigger(availableNow=True)``: it takes every file not yet committed in the checkpoint, in
+micro-batches, then stops. Re-running after a new delivery picks up only the new files;
+deleting the checkpoint and the table replays everything.
+
+The stream itself carries file names; each batch's files are then read as one frame, by the
+layouts of their headers (CSV) or by the schema version in force (JSON lines), and appended
+by ``BatchSink``, which makes a replayed batch add nothing and counts rows as they are written.
 
 Checkpoints and table paths must live on shared storage (the folder named by
 ``spark.checkpoint.dir`` or the warehouse), never on an executor's local disk.
@@ -13,16 +16,19 @@ Checkpoints and table paths must live on shared storage (the folder named by
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from folio.sources import files, storage
+from folio.sources.schemas import SchemaRegistry, observed_json
+from folio.streaming.sink import BatchSink
 
-
-DEFAULT_MAX_FILES = 1000   # files per micro-batch when draining a backlog
+DEFAULT_MAX_FILES = 1000   # files per micro-batch when draining a backlog; their names reach the driver
 
 
 @dataclass
@@ -32,67 +38,43 @@ class IngestResult:
     batches: int
 
 
-def _sink(df: DataFrame, checkpoint: str, table: str | None, path: str | None, merge_schema: bool):
-    writer = (df.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint).trigger(availableNow=True))
-    if merge_schema:
-        writer = writer.option("mergeSchema", "true")
-    if table:
-        return writer.toTable(table)
-    return writer.start(path)
+def drain(stream: DataFrame, sink: BatchSink, append: Callable[[int, list[str]], int]) -> IngestResult:
+    """Run everything new through ``append(batch, paths)``, then stop; rows and batches of this run."""
+    sink.claim()
+    before = sink.last_batch()
 
+    def on_batch(found: DataFrame, batch: int) -> None:
+        append(batch, sorted({r.path for r in found.collect()}))  # at most max_files names
 
-def run_available_now(df: DataFrame, checkpoint: str, table: str | None = None, path: str | None = None,
-                      name: str = "ingest", merge_schema: bool = False) -> IngestResult:
-    """Drain everything new into the sink, then stop; returns rows/batches processed.
-
-    Rows are counted in the sink (Parquet footers) and batches in the checkpoint, before and
-    after: a query's progress reports keep only the last batches.
-    """
-    held, last = _sink_rows(df.sparkSession, table, path), _last_batch(df.sparkSession, checkpoint)
-    if last < 0 and _has_stream_log(df.sparkSession, table, path):
-        raise RuntimeError(f"stream {name}: the sink was written under another checkpoint than {checkpoint}; "
-                           "it would skip the batches it already holds. Replay into a new table.")
-    query: StreamingQuery = _sink(df, checkpoint, table, path, merge_schema)
+    query: StreamingQuery = (stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", sink.checkpoint)
+                             .trigger(availableNow=True).start())
     query.awaitTermination()
     exc = query.exception()
     if exc is not None:
-        raise RuntimeError(f"stream {name} failed: {exc}")
-    return IngestResult(name, _sink_rows(df.sparkSession, table, path) - held,
-                        _last_batch(df.sparkSession, checkpoint) - last)
+        raise RuntimeError(f"stream {sink.name} failed: {exc}")
+    last = sink.last_batch()
+    return IngestResult(sink.name, sink.rows(before, last), last - before)
 
 
-def _sink_rows(spark: SparkSession, table: str | None, path: str | None) -> int:
-    if table:
-        if not spark.catalog.tableExists(table):
-            return 0
-        spark.catalog.refreshTable(table)
-        return spark.table(table).count()
-    return spark.read.parquet(path).count() if storage.file_names(spark, f"{path}/_spark_metadata") else 0
+def csv_registry(spark: SparkSession, checkpoint_root: str, feed: str) -> SchemaRegistry:
+    return SchemaRegistry(spark, os.path.join(checkpoint_root, f"{feed}_schema"), files.csv_schema(feed), files.TECHNICAL)
 
 
-def _last_batch(spark: SparkSession, checkpoint: str) -> int:
-    """The last committed batch, -1 if there is none."""
-    return max((int(n) for n in storage.file_names(spark, f"{checkpoint}/commits") if n.isdigit()), default=-1)
-
-
-def _has_stream_log(spark: SparkSession, table: str | None, path: str | None) -> bool:
-    if table:
-        if not spark.catalog.tableExists(table):
-            return False
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
-        path = rows[0].data_type if rows else None
-    return bool(path and storage.file_names(spark, f"{path}/_spark_metadata"))
+def json_registry(spark: SparkSession, checkpoint_root: str, feed: str = "open_library") -> SchemaRegistry:
+    return SchemaRegistry(spark, os.path.join(checkpoint_root, f"{feed}_schema"), files.LOOKUP_SCHEMA, files.TECHNICAL)
 
 
 def ingest_csv(spark: SparkSession, landing: str, feed: str, checkpoint_root: str,
                table: str | None = None, path: str | None = None, pattern: str | None = None,
-               max_files: int | None = None, archive_dir: str | None = None, flat: bool = False) -> IngestResult:
+               max_files: int | None = DEFAULT_MAX_FILES, archive_dir: str | None = None, flat: bool = False,
+               escape: str | None = None) -> IngestResult:
     """One CSV feed -> append-only bronze table.
 
     Files are ``landing/<feed>/<pattern>`` or, with ``flat``, the feed's glob directly in
     the landing folder (``Books*.csv``, ``Ratings*.csv``, ``Users*.csv``), so a new delivery
-    such as ``Ratings_2.csv`` needs no code change. ``max_files`` bounds each micro-batch
+    such as ``Ratings_2.csv`` needs no code change. The first batch fixes the columns (the feed's own
+    and further ones of its headers); later files may order them otherwise, lack some (NULL) or have
+    more (rescue column, and an entry in the drift log). ``max_files`` bounds each micro-batch
     (availableNow still drains everything, in several batches); ``archive_dir`` moves
     committed files out of the landing folder so listing stays cheap as deliveries pile up.
     """
@@ -100,21 +82,56 @@ def ingest_csv(spark: SparkSession, landing: str, feed: str, checkpoint_root: st
         source = os.path.join(landing, pattern or files.LANDING_GLOB[feed] + ".csv")
     else:
         source = os.path.join(landing, feed, pattern or "*.csv")
-    schema = files.persisted_schema(spark, os.path.join(checkpoint_root, f"{feed}_schema"),
-                                    files.landing_schema(spark, source, feed))
-    stream = files.stream_csv_feed(spark, source, feed, max_files=max_files, archive_dir=archive_dir, schema=schema)
-    return run_available_now(stream, os.path.join(checkpoint_root, feed), table, path, name=feed)
+    sink = BatchSink(spark, os.path.join(checkpoint_root, feed), feed, table, path)
+    registry = csv_registry(spark, checkpoint_root, feed)
+
+    def append(batch: int, paths: list[str]) -> int:
+        def build() -> DataFrame:
+            if sink.last_batch() < 0:
+                registry.default = files.landing_schema(spark, paths, feed, escape)
+            _, schema = registry.current()
+            more = files.unknown_headers(spark, paths, feed, schema, escape)
+            if more.fields:
+                registry.admit(more, batch, evolve=False)
+            return files.read_csv_files(spark, paths, feed, schema, escape)
+
+        return sink.append(batch, build)
+
+    return drain(files.stream_files(spark, source, max_files, archive_dir), sink, append)
 
 
 def ingest_json(spark: SparkSession, landing: str, checkpoint_root: str, feed: str = "open_library",
-                table: str | None = None, path: str | None = None, max_files: int | None = None) -> IngestResult | None:
-    """The JSON-lines lookup feed; skipped (None) while its landing folder does not exist."""
+                table: str | None = None, path: str | None = None, max_files: int | None = DEFAULT_MAX_FILES,
+                evolve: bool = True) -> IngestResult | None:
+    """The JSON-lines lookup feed; skipped (None) while its landing folder does not exist.
+
+    A batch is read by the schema version in force. If lines are rescued, those lines alone are asked for their schema; new
+    top-level keys make a new version, the batch is read again by it and the table gets the columns. Changed types are
+    logged and stay rescued (see ``folio.sources.schemas``). Without ``evolve`` new keys are only logged.
+    """
     source = os.path.join(landing, feed)
     if not storage.path_exists(spark, source):
         return None
-    stream = files.stream_json_feed(spark, source, max_files=max_files)
-    return run_available_now(stream, os.path.join(checkpoint_root, feed), table, path, name=feed,
-                             merge_schema=True)
+    sink = BatchSink(spark, os.path.join(checkpoint_root, feed), feed, table, path)
+    registry = json_registry(spark, checkpoint_root, feed)
+
+    def append(batch: int, paths: list[str]) -> int:
+        schema: list[T.StructType] = []
+
+        def build() -> DataFrame:
+            schema[:] = [registry.current()[1]]
+            return files.read_json_files(spark, paths, schema[0])
+
+        def revise(written: DataFrame, rescued: int) -> DataFrame | None:
+            seen = observed_json(written.filter(f"{files.RESCUE} IS NOT NULL").select(files.RESCUE), files.RESCUE)
+            if seen is None:
+                return None
+            _, wider, _ = registry.admit(seen, batch, evolve)
+            return None if wider == schema[0] else files.read_json_files(spark, paths, wider)
+
+        return sink.append(batch, build, revise, flagged=files.RESCUE)
+
+    return drain(files.stream_files(spark, source, max_files, recursive=True), sink, append)
 
 
 def ingest_all(spark: SparkSession, landing: str, checkpoint_root: str, tables: dict[str, str] | None = None,
