@@ -12,8 +12,8 @@ Storage layout decisions for scale
 * Row counts come from ``Observation`` on the write itself, not from a second scan.
 * Gold views are SQL views over those tables (no stored data), created idempotently with
   column comments; superseded views are dropped.
-* Each silver run writes versioned tables and switches stable view names to them only
-  when every write has succeeded, so a failed rebuild never leaves gold half-updated.
+* Each silver run writes versioned tables; one statement publishes them all
+  (``folio.plans.snapshots``), after every write has succeeded.
 """
 
 from __future__ import annotations
@@ -30,42 +30,25 @@ from pyspark.sql import functions as F
 from folio.functions import DEFAULT_M
 from folio.operators import gold, silver
 from folio.plans.model import Layers
-from folio.plans.views_sql import SUPERSEDED_VIEWS, view_ddl
+from folio.plans.snapshots import STABLE_NAMES, Snapshot, Snapshots
 from folio.session import scratch_path
-from folio.sources import bridge, files
+from folio.sources import bridge, files, storage
 from folio.streaming import ingest
 
-# Bucket count of the isbn-keyed tables when it cannot be derived from the data.
-DEFAULT_BUCKETS = 64
-MAX_BUCKETS = 16384
 BUCKET_BYTES = 256 << 20
 
 
-def table_bytes(spark: SparkSession, table: str) -> int | None:
-    """Size of a table's files, from ``ANALYZE TABLE ... NOSCAN`` (a file listing, no data read)."""
-    try:
-        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS NOSCAN")
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'").collect()
-    except Exception:  # noqa: BLE001 - catalog without statistics support
-        return None
-    return int(rows[0].data_type.split()[0]) if rows else None
-
-
 def choose_buckets(spark: SparkSession, catalogue_table: str, target_bytes: int = BUCKET_BYTES) -> int:
     """Bucket count for the isbn-keyed tables (one count for all of them, so joins co-locate).
 
-    About ``target_bytes`` of catalogue input per bucket, at least one bucket per core, at
-    most ``MAX_BUCKETS``. The per-key rating summary has one row per key, so it is of the
-    same order as the catalogue.
+    About ``target_bytes`` of catalogue files per bucket, at least one bucket per core; beyond Spark's own limit
+    (``spark.sql.sources.bucketing.maxBuckets``) buckets grow instead. The per-key rating summary has one row per
+    key, so it is of the same order as the catalogue.
     """
-    size = table_bytes(spark, catalogue_table)
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
-        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    if size is None:
-        return max(cores, DEFAULT_BUCKETS)
-    return int(max(cores, min(MAX_BUCKETS, -(-size // target_bytes))))
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {catalogue_table}").where("col_name = 'Location'").collect()
+    size = storage.folder_bytes(spark, rows[-1].data_type)
+    cores = int(spark.conf.get("spark.default.parallelism", None) or spark.sparkContext.defaultParallelism)
+    return min(max(cores, -(-size // target_bytes)), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
 
 
 @dataclass
@@ -90,7 +73,7 @@ def run_bronze(spark: SparkSession, landing: str, checkpoints: str, db: str, fla
 
 
 def _write(df: DataFrame, table: str, report: RunReport, name: str, partition_by=None, bucket_by=None,
-           buckets: int = DEFAULT_BUCKETS, empty: bool = False) -> None:
+           buckets: int = 1, empty: bool = False) -> None:
     """Overwrite ``table``; the row count comes from an Observation on the write itself.
     ``empty`` marks a known-empty frame (the optimizer drops its metrics node)."""
     obs = None if empty else Observation(name)
@@ -108,25 +91,30 @@ def _write(df: DataFrame, table: str, report: RunReport, name: str, partition_by
     report.counts[name] = 0 if empty else int(obs.get.get("rows", 0))
 
 
-SILVER_TABLES = ["ratings_all", "rating_stats", "quarantine_books", "books", "book_enrichment", "users", "priors"]
-
-
 def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int | None = None,
-               report: RunReport | None = None) -> RunReport:
+               report: RunReport | None = None, gold_db: str | None = None, m: int = DEFAULT_M) -> RunReport:
     """Full rebuild of silver from bronze (bronze is never modified).
 
-    Every run writes a new version of each table (``<name>_<run id>``). Only after all
-    writes have succeeded do the stable names (views) switch to the new version and the
-    previous versions get dropped, so readers -- the gold views -- always see one complete
-    snapshot, even if a rebuild fails half way.
+    Every run writes a new version of each table (``<name>_<run id>``). Only after all writes have succeeded is the run
+    published (``folio.plans.snapshots``): one catalogue statement switches every stable name, silver and gold, so readers
+    see one complete run at any time, even if a rebuild fails half way.
     """
     report = report or RunReport()
     if buckets is None:
         buckets = choose_buckets(spark, f"{bronze_db}.books")
     report.counts["buckets"] = buckets
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {silver_db}")
+    snapshots = Snapshots(spark, silver_db)
     # Time-ordered run id (milliseconds, hex) plus a random suffix: versions sort by age.
     run_id = f"{time.time_ns() // 1_000_000:012x}{uuid.uuid4().hex[:4]}"
+    with snapshots.lease(run_id):  # a publication that ends meanwhile leaves this run's tables alone
+        _write_run(spark, bronze_db, silver_db, run_id, buckets, report)
+        snapshots.publish(run_id, gold_db, m)
+    report.counts["run_id"] = run_id
+    return report
+
+
+def _write_run(spark: SparkSession, bronze_db: str, silver_db: str, run_id: str, buckets: int, report: RunReport) -> None:
     t = lambda name: f"{silver_db}.{name}_{run_id}"  # noqa: E731 - versioned physical table
     has_lookup = spark.catalog.tableExists(f"{bronze_db}.open_library")
     lookup = spark.table(f"{bronze_db}.open_library") if has_lookup else None
@@ -164,63 +152,17 @@ def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int
     # The views' population means, once per rebuild from this run's tables (one row), so
     # view queries read C instead of joining the key summary with the catalogue again.
     _write(gold.priors(spark.table(t("rating_stats")), spark.table(t("books"))), t("priors"), report, "priors")
-    _publish(spark, silver_db, run_id)
-    report.counts["run_id"] = run_id
-    return report
 
 
-def _published_run(spark: SparkSession, silver_db: str) -> str | None:
-    """Run id the stable names currently point at (None before the first run)."""
-    if not spark.catalog.tableExists(f"{silver_db}._published"):
-        return None
-    # A table property: a catalogue lookup, no job.
-    rows = spark.sql(f"SHOW TBLPROPERTIES {silver_db}._published ('folio.run_id')").collect()
-    return rows[0].value if rows else None
-
-
-def _publish(spark: SparkSession, silver_db: str, run_id: str) -> None:
-    """Point the stable names at this run's tables, then drop every other version except
-    the previously published one, so queries already running on it can finish. Leftovers
-    of failed runs are dropped here too."""
-    previous = _published_run(spark, silver_db)
-    v = lambda name: f"{silver_db}.{name}_{run_id}"
-    views = {
-        "ratings": f"SELECT user_id, isbn, rating, _source_file, _ingested_at, is_explicit, _transformed_at "
-                   f"FROM {v('ratings_all')} WHERE NOT _quarantined",
-        "quarantine_ratings": f"SELECT user_id, isbn, rating, _source_file, _ingested_at, reason "
-                              f"FROM {v('ratings_all')} WHERE _quarantined",
-    }
-    views.update({name: f"SELECT * FROM {v(name)}" for name in SILVER_TABLES})
-    for name, sql in views.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {silver_db}.{name} AS {sql}")
-    spark.sql(f"CREATE OR REPLACE VIEW {silver_db}._published TBLPROPERTIES ('folio.run_id' = '{run_id}') "
-              f"AS SELECT '{run_id}' AS run_id")
-    keep = {run_id, previous}
-    physical = [t.name for t in spark.catalog.listTables(silver_db) if t.tableType != "VIEW"]
-    for name in SILVER_TABLES:
-        for tbl in physical:
-            suffix = tbl[len(name) + 1:]
-            if tbl.startswith(f"{name}_") and len(suffix) == len(run_id) and suffix.isalnum() and suffix not in keep:
-                spark.sql(f"DROP TABLE IF EXISTS {silver_db}.{tbl}")
-
-
-def silver_layers(spark: SparkSession, silver_db: str, m: int = DEFAULT_M) -> Layers:
-    """Gold/serving DataFrames over the materialised silver tables."""
-    names = ["ratings", "quarantine_ratings", "books", "quarantine_books", "book_enrichment", "users",
-             "rating_stats", "priors"]
-    return Layers.from_tables(spark, {n: spark.table(f"{silver_db}.{n}") for n in names}, m=m)
+def silver_layers(spark: SparkSession, silver_db: str, m: int = DEFAULT_M, snapshot: Snapshot | None = None) -> Layers:
+    """Gold/serving DataFrames over the materialised silver tables: the published run, or a pinned one."""
+    table = snapshot.table if snapshot else lambda n: spark.table(f"{silver_db}.{n}")
+    return Layers.from_tables(spark, {n: table(n) for n in STABLE_NAMES}, m=m)
 
 
 def register_views(spark: SparkSession, silver_db: str, gold_db: str, m: int = DEFAULT_M) -> list[str]:
-    """Idempotent gold DDL: namespace, drop superseded views, create/replace each view."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {gold_db}")
-    for old in SUPERSEDED_VIEWS:
-        spark.sql(f"DROP VIEW IF EXISTS {gold_db}.{old}")
-    created = []
-    for name, ddl in view_ddl(silver_db, gold_db, m).items():
-        spark.sql(ddl)
-        created.append(f"{gold_db}.{name}")
-    return created
+    """Idempotent gold DDL over the published run: namespace, drop superseded views, create or replace each view."""
+    return Snapshots(spark, silver_db).register_gold(gold_db, m)
 
 
 def enrichment_feedback(spark: SparkSession, landing: str, answers: DataFrame, checkpoints: str,
@@ -243,6 +185,5 @@ def run_pipeline(spark: SparkSession, landing: str, checkpoints: str | None = No
     bronze_db, silver_db, gold_db = f"{prefix}_bronze", f"{prefix}_silver", f"{prefix}_gold"
     report = RunReport()
     report.ingested = run_bronze(spark, landing, checkpoints, bronze_db, flat)
-    run_silver(spark, bronze_db, silver_db, buckets=buckets, report=report)
-    register_views(spark, silver_db, gold_db, m)
+    run_silver(spark, bronze_db, silver_db, buckets=buckets, report=report, gold_db=gold_db, m=m)
     return report

@@ -1,152 +1,100 @@
-"""Gold view DDL (SQL text with view and column comments) over the silver tables.
+"""The gold views as SQL over one run's silver tables.
 
-The views compute the same results as ``folio.operators.gold`` and start from the
-materialised per-key summary ``rating_stats`` (bucketed with the catalogue on ``isbn``).
-``try_divide`` keeps an empty population from raising under ANSI mode. The prior C of each
-view comes from the one-row ``priors`` table that the silver rebuild writes with the same
-snapshot, read as a scalar subquery; the catalogue counts are scalar subqueries too.
+They compute what ``folio.operators.gold`` computes, from the materialised key summary ``rating_stats`` (bucketed with the
+catalogue on ``isbn``) and the one-row ``priors`` table of the same run. ``try_divide`` keeps an empty population from raising
+under ANSI mode.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from folio.functions.text import GENRE_STOP_WORDS
 
-# Views replaced by the one-view-per-grain design.
-SUPERSEDED_VIEWS = ["v_top_books", "v_most_popular_books", "v_books_by_year", "v_top_authors"]
+MARK = "folio.gold_view"  # property of the views that this library made; such views under other names are superseded
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+@dataclass(frozen=True)
+class GoldView:
+    """A view: what a row is, what each column holds, and the query."""
+
+    name: str
+    grain: str
+    columns: dict[str, str]
+    body: str
+
+    def ddl(self, gold_db: str, body: str | None = None) -> str:
+        told = ", ".join(f"{c} COMMENT {_text(t)}" for c, t in self.columns.items())
+        return (f"CREATE OR REPLACE VIEW {gold_db}.{self.name} ({told}) COMMENT {_text(self.grain)} "
+                f"TBLPROPERTIES ('{MARK}' = '{self.name}') AS {body or self.body}")
 
 
-def _weighted(m: int, cnt: str = "ratings_cnt", s: str = "sum_rating", c: str = "(SELECT c FROM g)") -> str:
-    avg = f"try_divide({s}, {cnt})"
-    return f"ROUND(({cnt} / ({cnt} + {m})) * {avg} + ({m} / ({cnt} + {m})) * {c}, 3)"
+def _shrunk(m: int, prior: str) -> str:
+    """Mean of n grades with sum s, pulled towards the prior by m imaginary grades."""
+    return f"ROUND((n / (n + {m})) * try_divide(s, n) + ({m} / (n + {m})) * {prior}, 3)"
 
 
-def view_ddl(silver: str, gold: str, m: int = 25) -> dict[str, str]:
-    s = silver
-    stop = ", ".join(f"'{w}'" for w in GENRE_STOP_WORDS)
-    return {
-        "v_books": f"""
-CREATE OR REPLACE VIEW {gold}.v_books (
-  title COMMENT 'Book title; editions are merged on title and author',
-  author COMMENT 'Normalised author name (text identity, not an id)',
-  year_of_publication COMMENT 'First edition year (MIN over rated editions, 1450-2004); NULL = missing or invalid',
-  editions COMMENT 'Number of rated editions (keys) merged into this book',
-  readers_total COMMENT 'All interactions including implicit ones (grade 0); use for most popular',
-  ratings_cnt COMMENT 'Number of explicit grades 1-10',
-  avg_rating COMMENT 'Plain mean of explicit grades; NULL = no grades',
-  weighted_rating COMMENT 'Bayesian weighted rating, m={m}; use for best rated',
-  image_url COMMENT 'Cover image URL'
-) COMMENT 'Grain: book (title x author). Popularity counts all interactions, quality explicit grades only.'
-AS
-WITH per_book AS (
-  SELECT b.title, b.author, MIN(b.year_of_publication) AS year_of_publication, COUNT(*) AS editions,
-         SUM(r.n_all) AS readers_total, SUM(r.n_explicit) AS ratings_cnt, SUM(r.sum_explicit) AS sum_rating,
-         MAX(b.image_url) AS image_url
-  FROM {s}.rating_stats r JOIN {s}.books b ON r.isbn = b.isbn
-  GROUP BY b.title, b.author
-), g AS (SELECT c_books AS c FROM {s}.priors)
-SELECT title, author, year_of_publication, editions, readers_total, ratings_cnt,
-       ROUND(try_divide(sum_rating, ratings_cnt), 2) AS avg_rating, {_weighted(m)} AS weighted_rating, image_url
-FROM per_book""",
-        "v_authors": f"""
-CREATE OR REPLACE VIEW {gold}.v_authors (
-  author COMMENT 'Normalised author name',
-  ratings_cnt COMMENT 'Explicit grades over all books of the author',
-  avg_rating COMMENT 'Plain mean of the explicit grades',
-  weighted_rating COMMENT 'Bayesian weighted rating, m={m}; recommended threshold ratings_cnt >= 25'
-) COMMENT 'Grain: author. Bayesian weighted rating over explicit grades of all the author''s books.'
-AS
-WITH per_author AS (
-  SELECT b.author, SUM(r.n_explicit) AS ratings_cnt, SUM(r.sum_explicit) AS sum_rating
-  FROM {s}.rating_stats r JOIN {s}.books b ON r.isbn = b.isbn
-  WHERE r.n_explicit > 0 AND b.author IS NOT NULL
-  GROUP BY b.author
-), g AS (SELECT c_authors AS c FROM {s}.priors)
-SELECT author, ratings_cnt, ROUND(try_divide(sum_rating, ratings_cnt), 2) AS avg_rating,
-       {_weighted(m)} AS weighted_rating
-FROM per_author""",
-        "v_books_by_genre": f"""
-CREATE OR REPLACE VIEW {gold}.v_books_by_genre (
-  genre COMMENT 'Genre token from the lookup subjects (a book usually has several)',
-  title COMMENT 'Book title',
-  author COMMENT 'Normalised author name',
-  ratings_cnt COMMENT 'Explicit grades of the book (counted once per occurrence of the token)',
-  avg_rating COMMENT 'Plain mean of explicit grades',
-  weighted_rating COMMENT 'Bayesian weighted rating, m={m}; use for best in genre'
-) COMMENT 'Grain: book x genre, for the enriched part of the catalogue. Subject headings are split on commas; general/etc. are dropped.'
-AS
-WITH explicit AS (
-  SELECT r.isbn, r.n_explicit, r.sum_explicit, b.title, b.author
-  FROM {s}.rating_stats r JOIN {s}.books b ON r.isbn = b.isbn
-  WHERE r.n_explicit > 0
-), g AS (SELECT c_books AS c FROM {s}.priors),
-tagged AS (
-  -- subject headings -> comma tokens -> genre labels, one generator per enriched key
-  SELECT e.title, e.author, e.n_explicit, e.sum_explicit,
-         explode(transform(filter(flatten(transform(en.subjects, h -> split(h, ',', -1))),
-                                  tok -> trim(tok) <> '' AND lower(trim(tok)) NOT IN ({stop})),
-                           tok -> initcap(trim(tok)))) AS genre
-  FROM explicit e JOIN {s}.book_enrichment en ON e.isbn = en.isbn
-),
-per AS (
-  SELECT genre, title, author, SUM(n_explicit) AS ratings_cnt, SUM(sum_explicit) AS sum_rating
-  FROM tagged GROUP BY genre, title, author
-)
-SELECT genre, title, author, ratings_cnt, ROUND(try_divide(sum_rating, ratings_cnt), 2) AS avg_rating,
-       {_weighted(m)} AS weighted_rating
-FROM per""",
-        "v_authors_by_year_publisher": f"""
-CREATE OR REPLACE VIEW {gold}.v_authors_by_year_publisher (
-  author COMMENT 'Normalised author name',
-  year_of_publication COMMENT 'Edition year; NULL = invalid or missing',
-  publisher COMMENT 'Publisher as delivered',
-  ratings_cnt COMMENT 'Explicit grades for author x year x publisher',
-  avg_rating COMMENT 'Plain mean of explicit grades; unreliable for small counts'
-) COMMENT 'Grain: author x year x publisher.'
-AS
-SELECT b.author, b.year_of_publication, b.publisher, SUM(r.n_explicit) AS ratings_cnt,
-       ROUND(try_divide(SUM(r.sum_explicit), SUM(r.n_explicit)), 2) AS avg_rating
-FROM {s}.rating_stats r JOIN {s}.books b ON r.isbn = b.isbn
-WHERE r.n_explicit > 0 AND b.author IS NOT NULL
-GROUP BY b.author, b.year_of_publication, b.publisher""",
-        "v_avg_rating_by_year": f"""
-CREATE OR REPLACE VIEW {gold}.v_avg_rating_by_year (
-  year_of_publication COMMENT 'Publication year (1450-2004)',
-  books_cnt COMMENT 'Editions (keys) with at least one explicit grade in the year',
-  ratings_cnt COMMENT 'Explicit grades on books of the year',
-  avg_rating COMMENT 'Mean explicit grade, weighted by grades'
-) COMMENT 'Grain: publication year. Older years carry survivorship bias.'
-AS
-SELECT b.year_of_publication, COUNT(*) AS books_cnt, SUM(r.n_explicit) AS ratings_cnt,
-       ROUND(try_divide(SUM(r.sum_explicit), SUM(r.n_explicit)), 2) AS avg_rating
-FROM {s}.rating_stats r JOIN {s}.books b ON r.isbn = b.isbn
-WHERE r.n_explicit > 0 AND b.year_of_publication IS NOT NULL
-GROUP BY b.year_of_publication""",
-        "v_kpi_summary": f"""
-CREATE OR REPLACE VIEW {gold}.v_kpi_summary (
-  books_in_catalog COMMENT 'Catalogue size (primary + recovered)',
-  books_recovered COMMENT 'Books recovered from the secondary source',
-  interactions_total COMMENT 'All interactions including implicit ones',
-  ratings_explicit COMMENT 'Explicit grades 1-10',
-  implicit_pct COMMENT 'Share of implicit interactions in percent',
-  avg_rating_explicit COMMENT 'Mean of all explicit grades (orphans included)',
-  ratings_recovered COMMENT 'Ratings matched to recovered books',
-  ratings_orphaned COMMENT 'Ratings whose key still has no catalogue row'
-) COMMENT 'Grain: whole dataset (one row).'
-AS
-WITH r AS (
-  SELECT s.n_all, s.n_explicit, s.sum_explicit, b.isbn IS NOT NULL AS has_book, b.source
-  FROM {s}.rating_stats s LEFT JOIN {s}.books b ON s.isbn = b.isbn
-), agg AS (
-  SELECT SUM(n_all) AS interactions_total, SUM(n_explicit) AS ratings_explicit, SUM(sum_explicit) AS sum_rating,
-         SUM(CASE WHEN has_book AND source = 'open_library' THEN n_all ELSE 0 END) AS ratings_recovered,
-         SUM(CASE WHEN NOT has_book THEN n_all ELSE 0 END) AS ratings_orphaned
-  FROM r
-)
-SELECT (SELECT COUNT(*) FROM {s}.books) AS books_in_catalog,
-       (SELECT COUNT_IF(source = 'open_library') FROM {s}.books) AS books_recovered,
-       interactions_total, ratings_explicit,
-       ROUND(100 * (1 - try_divide(ratings_explicit, interactions_total)), 1) AS implicit_pct,
-       ROUND(try_divide(sum_rating, ratings_explicit), 2) AS avg_rating_explicit,
-       ratings_recovered, ratings_orphaned
-FROM agg""",
-    }
+def gold_views(table: Callable[[str], str], m: int = 25) -> dict[str, GoldView]:
+    """The six views; ``table`` gives the full name of a silver table."""
+    stats, books, enrichment, priors = (table(t) for t in ("rating_stats", "books", "book_enrichment", "priors"))
+    rated = f"{stats} k JOIN {books} b ON k.isbn = b.isbn"
+    graded = f"{rated} WHERE k.n_explicit > 0"
+    mean = "ROUND(try_divide(s, n), 2)"
+    stop = ", ".join(_text(w) for w in GENRE_STOP_WORDS)
+    shrunk = f"mean shrunk towards the overall mean by {m} grades"
+    views = [
+        GoldView("v_books", "One row for each pair of title and author that was rated; its editions count together.", {
+            "title": "Repaired title", "author": "Author in normal form, a text and not an identifier",
+            "year_of_publication": "Earliest valid year among the rated editions, if any", "editions": "How many rated keys share title and author",
+            "readers_total": "Interactions of any kind; orders by popularity", "ratings_cnt": "Grades above zero",
+            "avg_rating": "Mean of those grades, empty without any", "weighted_rating": f"Orders by quality: {shrunk}", "image_url": "Picture of one edition"},
+            f"SELECT title, author, year_of_publication, editions, readers_total, n AS ratings_cnt, {mean} AS avg_rating, "
+            f"{_shrunk(m, f'(SELECT c_books FROM {priors})')} AS weighted_rating, image_url FROM ("
+            "SELECT b.title, b.author, MIN(b.year_of_publication) AS year_of_publication, COUNT(*) AS editions, SUM(k.n_all) AS readers_total, "
+            f"SUM(k.n_explicit) AS n, SUM(k.sum_explicit) AS s, MAX(b.image_url) AS image_url FROM {rated} GROUP BY b.title, b.author)"),
+        GoldView("v_authors", "One row for each author with at least one grade.", {
+            "author": "Author in normal form", "ratings_cnt": "Grades above zero on any book of the author",
+            "avg_rating": "Mean of those grades", "weighted_rating": f"Orders by quality: {shrunk}; steadier with 25 grades or more"},
+            f"SELECT author, n AS ratings_cnt, {mean} AS avg_rating, {_shrunk(m, f'(SELECT c_authors FROM {priors})')} AS weighted_rating FROM ("
+            f"SELECT b.author, SUM(k.n_explicit) AS n, SUM(k.sum_explicit) AS s FROM {graded} AND b.author IS NOT NULL GROUP BY b.author)"),
+        # subject headings are cut at commas into genre labels, by one generator for each enriched key
+        GoldView("v_books_by_genre", "One row for each genre label of a graded book; only looked-up books have labels.", {
+            "genre": "Label from the book's subject headings; general words are left out", "title": "Repaired title", "author": "Author in normal form",
+            "ratings_cnt": "Grades above zero, counted for every time the label occurs", "avg_rating": "Mean of those grades",
+            "weighted_rating": f"Orders within a genre: {shrunk}"},
+            f"SELECT genre, title, author, n AS ratings_cnt, {mean} AS avg_rating, {_shrunk(m, f'(SELECT c_books FROM {priors})')} AS weighted_rating FROM ("
+            "SELECT genre, title, author, SUM(n_explicit) AS n, SUM(sum_explicit) AS s FROM ("
+            "SELECT g.title, g.author, g.n_explicit, g.sum_explicit, explode(transform(filter(flatten(transform(l.subjects, h -> split(h, ',', -1))), "
+            f"w -> trim(w) <> '' AND lower(trim(w)) NOT IN ({stop})), w -> initcap(trim(w)))) AS genre "
+            f"FROM (SELECT k.isbn, k.n_explicit, k.sum_explicit, b.title, b.author FROM {graded}) g JOIN {enrichment} l ON g.isbn = l.isbn) "
+            "GROUP BY genre, title, author)"),
+        GoldView("v_authors_by_year_publisher", "One row for each author, year and publisher that got a grade.", {
+            "author": "Author in normal form", "year_of_publication": "Valid year of the editions, or empty", "publisher": "Publisher after repair",
+            "ratings_cnt": "Grades above zero", "avg_rating": "Mean of those grades; a few grades say little"},
+            f"SELECT author, year_of_publication, publisher, n AS ratings_cnt, {mean} AS avg_rating FROM ("
+            f"SELECT b.author, b.year_of_publication, b.publisher, SUM(k.n_explicit) AS n, SUM(k.sum_explicit) AS s FROM {graded} AND b.author IS NOT NULL "
+            "GROUP BY b.author, b.year_of_publication, b.publisher)"),
+        GoldView("v_avg_rating_by_year", "One row for each valid year with a grade; of old years only lasting books are read.", {
+            "year_of_publication": "Valid year of the editions", "books_cnt": "Keys of that year with a grade", "ratings_cnt": "Grades above zero on them",
+            "avg_rating": "Mean over the grades, so a much-graded book weighs more"},
+            f"SELECT year_of_publication, books_cnt, n AS ratings_cnt, {mean} AS avg_rating FROM ("
+            f"SELECT b.year_of_publication, COUNT(*) AS books_cnt, SUM(k.n_explicit) AS n, SUM(k.sum_explicit) AS s FROM {graded} "
+            "AND b.year_of_publication IS NOT NULL GROUP BY b.year_of_publication)"),
+        GoldView("v_kpi_summary", "One row for everything.", {
+            "books_in_catalog": "Keys in the catalogue, of either source", "books_recovered": "Of these, keys that only the lookup source knows",
+            "interactions_total": "Accepted rows of the ratings feed", "ratings_explicit": "Of these, grades above zero",
+            "implicit_pct": "Percentage of the others", "avg_rating_explicit": "Mean grade, whether or not the key is in the catalogue",
+            "ratings_recovered": "Interactions with keys of the lookup source", "ratings_orphaned": "Interactions with keys of no source"},
+            f"SELECT (SELECT COUNT(*) FROM {books}) AS books_in_catalog, (SELECT COUNT_IF(source = 'open_library') FROM {books}) AS books_recovered, "
+            "every AS interactions_total, n AS ratings_explicit, ROUND(100 * (1 - try_divide(n, every)), 1) AS implicit_pct, "
+            f"{mean} AS avg_rating_explicit, recovered AS ratings_recovered, orphaned AS ratings_orphaned FROM ("
+            "SELECT SUM(k.n_all) AS every, SUM(k.n_explicit) AS n, SUM(k.sum_explicit) AS s, "
+            "SUM(IF(b.source = 'open_library', k.n_all, 0)) AS recovered, SUM(IF(b.isbn IS NULL, k.n_all, 0)) AS orphaned "
+            f"FROM {stats} k LEFT JOIN {books} b ON k.isbn = b.isbn)"),
+    ]
+    return {v.name: v for v in views}

@@ -42,6 +42,12 @@ def file_names(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of all files below a folder, from the file system's own summary; 0 if it does not exist."""
+    fs, target = _resolve(spark, folder)
+    return int(fs.getContentSummary(target).getLength()) if fs.exists(target) else 0
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small file's text; None if there is no such file."""
     fs, target = _resolve(spark, path)
