@@ -27,7 +27,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.llm import arrays as A
@@ -54,20 +54,24 @@ def grouped_prefix_join(spark: SparkSession, docs: DataFrame, id_col: str = "doc
                            *[F.first(c).alias(c) for c in ("n", "grp", "sketch", "prefix")]), "op3-classes")
     # Prefixes are looked at once for each group, not once for each document.
     grouped = classes.groupBy("grp", "n").agg(F.first("prefix").alias("prefix"), F.count("*").alias("k"))
+    # Most tokens stand in one group only: one exchange by token finds and drops them, in order of groups.
     prefixes = grouped.select(F.posexplode("prefix").alias("pos", "token"), "grp", "n")
-    shared = written(spark, prefixes.groupBy("token").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).filter("g0 < g1").select("token"), "op3-tokens")
-    buckets = prefixes.join(shared, "token").select("token", "grp", "n", "pos")
+    beside = Window.partitionBy("token").orderBy("grp")
+    found = prefixes.select("*", F.lag("grp").over(beside).alias("before"), F.lead("grp").over(beside).alias("after"))
+    buckets = found.filter("before is not null or after is not null").select("token", "grp", "n", "pos")
     buckets = buckets.unionByName(grouped.filter("k > 1").select(F.col("grp").alias("token"), "grp", "n", F.lit(0).alias("pos")))
     rows = written(spark, buckets.join(classes.select("grp", "cls"), "grp").select("token", "cls", "grp", "n", "pos"), "op3-rows")
 
     sketches = classes.select("cls", "n", "sketch")
     starred = written(spark, _near(_star(spark, rows, pivots, percent), sketches, percent), "op3-starred")
     links = written(spark, _verified(starred, _texts(spark, known, classes, starred), size, percent), "op3-links")
-    label = components(spark, classes.select(F.col("cls").alias("node"), F.col("rep").alias("label")), links)
+    nodes = classes.select(F.col("cls").alias("node"), F.col("rep").alias("label"))
+    forest = star_forest(spark, links)
+    label = labelled(nodes, forest)
     pairs = _across(spark, rows, classes.join(label, F.col("cls") == F.col("node")).select("grp", "cls", F.col("label").alias("comp"), "n", "sketch"), percent)
     pairs = written(spark, pairs.join(starred, ["a", "b"], "left_anti"), "op3-pairs")
     more = written(spark, _verified(pairs, _texts(spark, known, classes, pairs), size, percent), "op3-more-links")
-    label = components(spark, label, links.unionByName(more)).select(F.col("node").alias("cls"), F.col("label").alias("comp"))
+    label = labelled(nodes, star_forest(spark, forest.unionByName(more))).select(F.col("node").alias("cls"), F.col("label").alias("comp"))
     linked = signatures.join(label, "cls", "left")
     result = linked.select("doc_id", "crc", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("cls")).alias("class_id"),
                            F.coalesce("comp", "doc_id").alias("component_id"))
@@ -76,22 +80,33 @@ def grouped_prefix_join(spark: SparkSession, docs: DataFrame, id_col: str = "doc
     return result.unionByName(rest)
 
 
-def components(spark: SparkSession, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, label): the least label that each node reaches over ``links`` (a, b); nodes without links keep theirs."""
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = written(spark, both.distinct(), "links")
-    touched = both.select(F.col("a").alias("node")).distinct()
-    state = written(spark, nodes.join(touched, "node").select("node", "label"), "labels")
+def star_forest(spark: SparkSession, links: DataFrame) -> DataFrame:
+    """(a, b): each linked node a but the least of its component, and that least node b.
+
+    Rounds of two steps over all links, until nothing changes: every node ties its greater neighbours to the least node it sees, then itself
+    and its smaller neighbours to the least of those. Distances to the least node shrink by a factor, so the rounds grow with the logarithm
+    of the longest chain.
+    """
+    edges = written(spark, links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links")
+    mark = None
     while True:
-        heard = both.join(state, both.b == state.node).groupBy("a").agg(F.min("label").alias("heard"))
-        step = state.join(heard, state.node == heard.a).select("node", F.col("label").alias("old"), F.least("label", "heard").alias("label"))
-        # nodes under one label move together to the least label that any of them has heard of
-        best = step.groupBy("old").agg(F.min("label").alias("best"))
-        moved = written(spark, step.join(best, "old").select("node", "old", F.least("label", "best").alias("label")), "labels")
-        state = moved.select("node", "label")
-        if moved.filter("label < old").isEmpty():
-            break
-    return nodes.join(state.withColumnRenamed("label", "least"), "node", "left").select("node", F.coalesce("least", "label").alias("label"))
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+        large = both.join(least, both.a == least.u).filter("b > u").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = written(spark, large, "stars")
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least.withColumnRenamed("a", "u"), F.col("a") == F.col("u")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = written(spark, small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "stars")
+        last, mark = mark, tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+        if mark == last:
+            return edges
+
+
+def labelled(nodes: DataFrame, forest: DataFrame) -> DataFrame:
+    """(node, label) with the least label of each node's component; ``nodes`` may bring several labels in."""
+    rooted = nodes.join(forest, nodes.node == forest.a, "left").select("node", "label", F.coalesce("b", "node").alias("root"))
+    best = rooted.groupBy("root").agg(F.min("label").alias("best"))
+    return rooted.join(best, "root").select("node", F.col("best").alias("label"))
 
 
 def _passes(n1, n2, p1, p2, percent: int):

@@ -243,3 +243,38 @@ def test_toxicity(spark, table):
 @pytest.mark.parametrize("operator", [relative_lz_dedup, suffix_array_dedup, grouped_prefix_join, line_dedup, best_fit_packing])
 def test_empty_table(spark, table, operator):
     assert operator(spark, table.limit(0)).count() == 0
+
+
+def test_components_in_few_rounds(spark, monkeypatch):
+    from folio.llm import jaccard_join as J
+
+    rounds = []
+    keep = J.written
+    monkeypatch.setattr(J, "written", lambda s, df, name: (rounds.append(name), keep(s, df, name))[1])
+    rng = random.Random(3)
+    chain = [(k, k + 1) for k in range(499)]
+    mixed = rng.sample(range(1000, 1500), 500)
+    links = chain + list(zip(mixed, mixed[1:], strict=False)) + [(2000, k) for k in range(2001, 2100)] + [(5000, 5000), (7, 7)]
+    forest = J.star_forest(spark, spark.createDataFrame(links, "a long, b long"))
+    got = {r.a: r.b for r in forest.collect()}
+    assert got == {k: 0 for k in range(1, 500)} | {k: 1000 for k in range(1001, 1500)} | {k: 2000 for k in range(2001, 2100)}
+    assert rounds.count("stars") <= 2 * 12
+    nodes = spark.createDataFrame([(k, 10_000 - k) for k in (*range(500), 5000)], "node long, label long")
+    assert {r.node: r.label for r in J.labelled(nodes, forest).collect()} == {k: 9501 for k in range(500)} | {5000: 5000}
+
+
+def test_scratch_tables_go_when_no_plan_reads_them(spark):
+    from folio.llm import storage
+
+    exists = lambda path: os.path.isdir(path.removeprefix("file:"))
+    first = storage.written(spark, spark.range(5).toDF("x"), "scratch-a")
+    one = storage._held[-1][2]
+    derived = first.filter("x > 2").groupBy().count()
+    del first
+    second = storage.written(spark, spark.range(3).toDF("x"), "scratch-b")
+    two = storage._held[-1][2]
+    assert exists(one) and derived.collect()[0][0] == 2
+    del derived
+    for _ in range(5):
+        storage.release(spark)
+    assert not exists(one) and exists(two) and second.count() == 3
