@@ -1,17 +1,19 @@
 """Analyses whose results the reference publishes without code.
 
 Scale notes
-* Exact quantiles and the top-1 % share are computed from a histogram
-  (value -> number of groups), not from a global sort of all groups: the histogram has
-  at most as many rows as there are distinct counts, which is below sqrt(2 * ratings),
-  so the one ordered window it needs is bounded no matter how many books or users exist.
-  ``percentile`` would hold every value of the group in one aggregation buffer.
+* Exact quantiles are found by distributed selection, whatever the column;
+  ``percentile`` would hold every value in one aggregation buffer.
+* The top-1 % share is computed from a histogram (count -> number of users), which has
+  at most as many rows as there are distinct counts, below sqrt(2 * ratings),
+  so the one ordered window it needs is bounded no matter how many users exist.
 * The m-sensitivity top lists are three bounded top-k's; ranks are numbered on those
   at most 3 * k rows only.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,30 +24,76 @@ from folio.operators import gold
 SENSITIVITY_M = (10, 25, 50)
 TOP_USER_PERCENT = 1
 SUPPORT_QUANTILES = (0.5, 0.99)
+SELECT_ACCURACY = 10_000   # of the sketch that narrows a bracket
+SELECT_ENOUGH = 50_000     # rows of a bracket that are sorted at once
+
+
+def exact_quantiles(values: DataFrame, col: str, probs=SUPPORT_QUANTILES, accuracy: int = SELECT_ACCURACY, enough: int = SELECT_ENOUGH) -> DataFrame:
+    """Continuous quantiles (linear interpolation, as ``quantile_cont``) of any numeric column; NULLs don't count.
+
+    Distributed selection. Every wanted rank has a bracket of values that holds it, at first all of them. A pass over the
+    values counts those below and inside each bracket, so the brackets are exact, and sketches where the rank
+    lies in it, with an error of ``1 / accuracy``; the next bracket is the sketch's two bounds. Each pass narrows a bracket
+    about ``accuracy / 4`` times, until it holds one value or at most ``enough`` rows, which are sorted. If a bound turns out wrong the
+    bracket beside it is taken. Only counts and bounds reach the driver, never an unbounded group a task.
+    """
+    rows = values.select(F.col(f"`{col}`").alias("v")).where("v IS NOT NULL")
+    n, low, high = rows.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
+    spark = values.sparkSession
+    names = [str(p).replace("0.", "p").replace(".", "_") for p in probs]
+    schema = "groups long, " + ", ".join(f"q_{t} double" for t in names)
+    if not n:
+        return spark.createDataFrame([(0, *[None] * len(names))], schema)
+    places = {p: p * (n - 1) for p in probs}
+    found: dict[int, float] = {}
+    # rank -> (least value, greatest value, open to the left, open to the right): the bracket that holds it
+    brackets = {r: (low, high, False, False) for place in places.values() for r in (math.floor(place), math.ceil(place))}
+    inside: dict[int, tuple[int, int]] = {r: (0, n) for r in brackets}  # values before the bracket, values in it
+    while brackets:
+        small = [r for r in brackets if inside[r][1] <= enough and brackets[r][0] != brackets[r][1]]
+        for r in small:
+            held = rows.where(_in_bracket(brackets[r])).orderBy("v").collect()  # at most ``enough`` rows
+            found[r] = held[r - inside[r][0]].v
+        for r in [r for r in brackets if brackets[r][0] == brackets[r][1]]:
+            found[r] = brackets[r][0]
+        brackets = {r: b for r, b in brackets.items() if r not in found}
+        if not brackets:
+            break
+        guesses = [F.percentile_approx(F.when(_in_bracket(b), F.col("v")), [min(1.0, max(0.0, (r - inside[r][0]) / inside[r][1] + d * 2 / accuracy)) for d in (-1, 1)], accuracy).alias(f"g{r}")
+                   for r, b in brackets.items()]
+        guess = rows.agg(*guesses).first()
+        counts = []
+        for r, b in brackets.items():
+            a, z = guess[f"g{r}"]
+            counts += [F.count_if(_in_bracket(b) & (F.col("v") < F.lit(a))).alias(f"b{r}"), F.count_if(_in_bracket(b) & F.col("v").between(a, z)).alias(f"i{r}"),
+                       F.count_if(_in_bracket(b) & (F.col("v") == F.lit(a))).alias(f"e{r}")]
+        counted = rows.agg(*counts).first()
+        for r, b in list(brackets.items()):
+            a, z = guess[f"g{r}"]
+            start, size = inside[r]
+            below, within = counted[f"b{r}"], counted[f"i{r}"]
+            if r < start + below:
+                brackets[r], inside[r] = (b[0], a, b[2], True), (start, below)
+            elif r >= start + below + within:
+                brackets[r], inside[r] = (z, b[1], True, b[3]), (start + below + within, size - below - within)
+            elif a != z and r < start + below + counted[f"e{r}"]:
+                brackets[r], inside[r] = (a, a, False, False), (start + below, counted[f"e{r}"])
+            elif a != z:  # past the rows of the lower bound, so even a bracket of two crowded values gets narrower
+                brackets[r], inside[r] = (a, z, True, False), (start + below + counted[f"e{r}"], within - counted[f"e{r}"])
+            else:
+                brackets[r], inside[r] = (a, z, False, False), (start + below, within)
+    out = []
+    for p in probs:
+        lo, hi = found[math.floor(places[p])], found[math.ceil(places[p])]
+        out.append(float(lo) + (float(hi) - float(lo)) * (places[p] - math.floor(places[p])))
+    return spark.createDataFrame([(n, *out)], schema).select("groups", *[F.round(f"q_{t}", 3).alias(f"q_{t}") for t in names])
 
 
-def exact_quantiles(values: DataFrame, col: str, probs=SUPPORT_QUANTILES) -> DataFrame:
-    """Continuous quantiles (linear interpolation, as ``quantile_cont``) of ``col``."""
-    hist = values.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, 0)   # bounded: one row per value
-    cum = hist.withColumn("_cum", F.sum("_n").over(upto))
-    framed = cum.withColumn("_total", hist.agg(F.sum("_n")).scalar())
-    aggs = [F.first("_total").alias("n")]
-    names = []
-    for p in probs:
-        pos = F.lit(p) * (F.col("_total") - 1)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        tag = str(p).replace("0.", "p").replace(".", "_")
-        aggs += [F.min(F.when(F.col("_cum") >= lo + 1, F.col(col))).alias(f"_{tag}_lo"),
-                 F.min(F.when(F.col("_cum") >= hi + 1, F.col(col))).alias(f"_{tag}_hi"),
-                 F.first(pos - lo).alias(f"_{tag}_f")]
-        names.append(tag)
-    agg = framed.agg(*aggs)
-    out = [F.col("n").alias("groups")]
-    for tag in names:
-        lo_v, hi_v, f = F.col(f"_{tag}_lo"), F.col(f"_{tag}_hi"), F.col(f"_{tag}_f")
-        out.append(F.round(lo_v + (hi_v - lo_v) * f, 3).alias(f"q_{tag}"))
-    return agg.select(*out)
+def _in_bracket(bracket: tuple):
+    """Values of a bracket; NaN is the greatest value, as in Spark's order."""
+    low, high, left_open, right_open = bracket
+    v = F.col("v")
+    return (v > F.lit(low) if left_open else v >= F.lit(low)) & (v < F.lit(high) if right_open else v <= F.lit(high))
 
 
 def support_quantiles(books_view: DataFrame) -> DataFrame:

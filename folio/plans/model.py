@@ -77,6 +77,13 @@ class Layers:
     def books(self) -> DataFrame:
         return self._pick("books", lambda: silver.silver_books(self.raw_books, self.raw_lookup))
 
+    @cached_property
+    def catalogue_keys(self) -> DataFrame:
+        """(isbn, source) of the catalogue, for what needs no more than that."""
+        if "books" in self._clean:
+            return self._clean["books"].select("isbn", "source")
+        return silver.catalogue_keys(self.raw_books, self.raw_lookup)
+
     @cached_property
     def quarantine_books(self) -> DataFrame:
         return self._pick("quarantine_books", lambda: silver.quarantine_books(self.raw_books))
@@ -119,7 +126,7 @@ class Layers:
         return gold.v_avg_rating_by_year(self.ratings, self.books, stats=self.stats)
 
     def v_kpi_summary(self) -> DataFrame:
-        return gold.v_kpi_summary(self.ratings, self.books, stats=self.stats)
+        return gold.v_kpi_summary(self.ratings, self.catalogue_keys, stats=self.stats)
 
     # ---------------------------------------------------------------- serving
     def dataset(self, name: str, **args) -> DataFrame:

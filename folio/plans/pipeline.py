@@ -75,13 +75,13 @@ def run_bronze(spark: SparkSession, landing: str, checkpoints: str, db: str, fla
 def _write(df: DataFrame, table: str, report: RunReport, name: str, partition_by=None, bucket_by=None,
            buckets: int = 1, empty: bool = False) -> None:
     """Overwrite ``table``; the row count comes from an Observation on the write itself.
-    ``empty`` marks a known-empty frame (the optimizer drops its metrics node)."""
+    ``empty`` marks a known-empty frame (the optimizer drops its metrics node).
+
+    A bucketed frame is an aggregate by its bucket column, in a session with as many shuffle partitions as
+    buckets (``_bucket_session``): the aggregate's exchange deals rows by the very hash of the bucket id, so each bucket lies whole in one
+    task and becomes one file, without a second exchange."""
     obs = None if empty else Observation(name)
     observed = df if empty else df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if bucket_by:
-        # Same hash as the bucket id, so each task writes exactly one bucket file; without it
-        # every task would write a file per bucket (tasks x buckets small files).
-        observed = observed.repartition(buckets, bucket_by)
     writer = observed.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -91,6 +91,17 @@ def _write(df: DataFrame, table: str, report: RunReport, name: str, partition_by
     report.counts[name] = 0 if empty else int(obs.get.get("rows", 0))
 
 
+def _bucket_session(spark: SparkSession, buckets: int) -> SparkSession:
+    """A session like this one whose shuffles have ``buckets`` partitions."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    other.conf.set("spark.sql.shuffle.partitions", str(buckets))
+    other.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(buckets))
+    return other
+
+
 def run_silver(spark: SparkSession, bronze_db: str, silver_db: str, buckets: int | None = None,
                report: RunReport | None = None, gold_db: str | None = None, m: int = DEFAULT_M) -> RunReport:
     """Full rebuild of silver from bronze (bronze is never modified).
@@ -120,6 +131,9 @@ def _write_run(spark: SparkSession, bronze_db: str, silver_db: str, run_id: str,
     lookup = spark.table(f"{bronze_db}.open_library") if has_lookup else None
     raw_books = spark.table(f"{bronze_db}.books")
     raw_ratings = spark.table(f"{bronze_db}.ratings")
+    by_bucket = _bucket_session(spark, buckets)
+    keyed = lambda name: by_bucket.table(f"{bronze_db}.{name}")
+    keyed_lookup = keyed("open_library") if has_lookup else None
 
     # The key summary reads the same three bronze columns the split reads, so computing it
     # from bronze in parallel costs the same scan as re-reading silver, without waiting.
@@ -128,12 +142,12 @@ def _write_run(spark: SparkSession, bronze_db: str, silver_db: str, run_id: str,
     jobs = [
         lambda: _write(silver.ratings_split(raw_ratings), t("ratings_all"), report, "ratings_all",
                        partition_by="_quarantined"),
-        lambda: _write(gold.rating_stats(silver.silver_ratings(raw_ratings)), t("rating_stats"), report,
+        lambda: _write(gold.rating_stats(silver.silver_ratings(keyed("ratings"))), t("rating_stats"), report,
                        "rating_stats", bucket_by="isbn", buckets=buckets),
         lambda: _write(silver.quarantine_books(raw_books), t("quarantine_books"), report, "quarantine_books"),
-        lambda: _write(silver.silver_books(raw_books, lookup), t("books"), report, "books",
+        lambda: _write(silver.silver_books(keyed("books"), keyed_lookup), t("books"), report, "books",
                        bucket_by="isbn", buckets=buckets),
-        lambda: _write(silver.silver_enrichment(lookup), t("book_enrichment"), report, "book_enrichment",
+        lambda: _write(silver.silver_enrichment(keyed_lookup), t("book_enrichment"), report, "book_enrichment",
                        bucket_by="isbn", buckets=buckets, empty=lookup is None),
         lambda: _write(silver.silver_users(spark.table(f"{bronze_db}.users")), t("users"), report, "users"),
     ]

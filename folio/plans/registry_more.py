@@ -195,6 +195,19 @@ register("multi_edition_groups", O.with_ctes(
     "SELECT COUNT(*) AS books, COUNT(*) FILTER (WHERE editions > 1) AS multi_edition_groups FROM v_books"))(
     lambda s, d: analysis.multi_edition_groups(layers(s, d).v_books()))
 
+def _value_quantiles(s, d):
+    """Quantiles of columns with nearly as many values as rows."""
+    parts = [analysis.exact_quantiles(read_table(s, d, table, [col]), col, (0.5, 0.99)).select(F.lit(col).alias("measure"), F.col("groups").alias("n"), "q_p5", "q_p99")
+             for table, col in (("lineitem", "l_extendedprice"), ("orders", "o_totalprice"), ("customer", "c_acctbal"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+register("value_quantiles", " UNION ALL ".join(
+    f"SELECT '{col}' AS measure, COUNT({col}) AS n, {R(f'quantile_cont(CAST({col} AS DOUBLE), 0.5)', 3)} AS q_p5, "
+    f"{R(f'quantile_cont(CAST({col} AS DOUBLE), 0.99)', 3)} AS q_p99 FROM {table}"
+    for table, col in (("lineitem", "l_extendedprice"), ("orders", "o_totalprice"), ("customer", "c_acctbal"))))(_value_quantiles)
+
+
 register("orphan_recovery", O.with_ctes(
     "SELECT before AS orphans_before, after AS orphans_after, unrec AS unrecoverable_format, "
     f"{R('100 * ((before - after) / before)', 1)} AS rescued_pct FROM ("
@@ -202,7 +215,7 @@ register("orphan_recovery", O.with_ctes(
     "COUNT(*) FILTER (WHERE b.isbn IS NULL) AS after, "
     f"COUNT(*) FILTER (WHERE b.isbn IS NULL AND NOT {O.KEY_OK.format(x='r.isbn')}) AS unrec "
     "FROM s_ratings r LEFT JOIN s_books b ON r.isbn = b.isbn)"))(
-    lambda s, d: analysis.orphan_recovery(layers(s, d).ratings, layers(s, d).books, stats=layers(s, d).stats))
+    lambda s, d: analysis.orphan_recovery(layers(s, d).ratings, layers(s, d).catalogue_keys, stats=layers(s, d).stats))
 
 register("user_integrity", O.with_ctes(
     "SELECT total AS ratings_total, missing AS ratings_without_user, "
