@@ -18,11 +18,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     """Parquet scan; selecting the columns up front keeps ReadSchema minimal."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def table_exists(spark: SparkSession, name: str) -> bool:
-    """Optional source check (catalog table or view)."""
-    try:
-        return spark.catalog.tableExists(name)
-    except Exception:  # noqa: BLE001 - unknown database counts as absent
-        return False
