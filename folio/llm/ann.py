@@ -93,9 +93,12 @@ def multiprobe_search(spark: SparkSession, vectors: DataFrame, every: int = 50,
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    """Vectors of one length as rows, in double precision."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    """Vectors of one length as rows, in double precision, each scaled by a power of two to components of at most 1.
+
+    That changes no cosine, and squares of very large or small components neither overflow nor vanish.
+    """
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0))[1])
 
 
 def _by_length(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

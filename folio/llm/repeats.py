@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm import arrays as A
@@ -109,3 +109,19 @@ def with_hits(texts: DataFrame, hits: DataFrame, how: str) -> DataFrame:
 def per_document(spans: DataFrame, *fields: str) -> DataFrame:
     """One row per document with its spans in a list; the list is bounded by the document's own length."""
     return spans.groupBy("doc_id", "crc").agg(F.collect_list(F.struct(*fields)).alias("hits"))
+
+
+HOT_SHARE = 1000
+
+
+def joined_by_count(spark: SparkSession, rows: DataFrame, counted: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Inner join of ``rows`` with a table that has one row a key and the key's number of rows there.
+
+    Keys with more than a ``HOT_SHARE``-th of all rows, of which there are fewer than ``HOT_SHARE`` by arithmetic, are broadcast, so no task
+    gets a hot key's rows; the rest is joined by shuffle. Both inputs are written tables.
+    """
+    most = rows.count() / HOT_SHARE
+    hot, cold = counted.filter(F.col(count) > most), counted.filter(F.col(count) <= most)
+    spread = rows.join(F.broadcast(hot), keys)
+    dealt = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return spread.unionByName(dealt)

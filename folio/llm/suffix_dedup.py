@@ -46,9 +46,9 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     repeated = written(spark, blocks.groupBy("anchor").agg(F.count("*").alias("n"), F.min("block").alias("b0"), F.max("block").alias("b1"))
                        .filter("n > 1").select("anchor", (F.col("b0") != F.col("b1")).alias("mixed")), "op4-anchors")
     hits = written(spark, blocks.join(repeated, "anchor"), "op4-hits")
-    mixed = hits.filter("mixed")
+    mixed = written(spark, hits.filter("mixed").drop("mixed"), "op4-mixed")
     copies = written(spark, mixed.groupBy("anchor", "block").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "crc", "a")).alias("one")), "op4-copies")
-    marked = mixed.join(copies, ["anchor", "block"])
+    marked = written(spark, R.joined_by_count(spark, mixed, copies, ["anchor", "block"], "copies"), "op4-marked")
     whole = (hits.filter("not mixed").select("doc_id", "crc", "a", "b")
              .unionByName(marked.filter("copies > 1").select("doc_id", "crc", "a", "b")))
     # A block that occurs once is searched for; of an often repeated one, one occurrence is there to be found.
@@ -57,13 +57,15 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     texts = R.compressed(docs)
     pieces = written(spark, R.with_hits(texts, R.per_document(search, "a", "b", "anchor"), "inner")
                      .mapInArrow(_piece_mapper(length, gram), PIECES), "op4-pieces")
-    crowded = written(spark, pieces.groupBy("side", "meet").agg(F.count("*").alias("blocks")).filter(F.col("blocks") > group_limit), "op4-crowded")
-    sorted_spans = (pieces.join(crowded, ["side", "meet"], "left_anti").repartition("side", "meet")
+    # A block that meets no other holds no repeat.
+    met = written(spark, pieces.groupBy("side", "meet").agg(F.count("*").alias("blocks")).filter("blocks > 1"), "op4-met")
+    small, large = met.filter(F.col("blocks") <= group_limit).drop("blocks"), met.filter(F.col("blocks") > group_limit).drop("blocks")
+    sorted_spans = (pieces.join(small, ["side", "meet"], "left_semi").repartition("side", "meet")
                     .sortWithinPartitions("side", "meet").mapInArrow(_suffix_sorter(length), "doc_id long, crc long, a int, b int"))
-    large = (pieces.join(crowded, ["side", "meet"]).dropDuplicates(["anchor", "doc_id", "crc", "a"])
-             .mapInArrow(_window_mapper(length), "anchor long, content long, doc_id long, crc long, a int"))
-    often = written(spark, large.groupBy("anchor", "content").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "op4-often")
-    counted = large.join(often, ["anchor", "content"]).select("doc_id", "crc", "a", F.col("a").alias("b"))
+    windows = written(spark, pieces.join(large, ["side", "meet"], "left_semi").dropDuplicates(["anchor", "doc_id", "crc", "a"])
+                      .mapInArrow(_window_mapper(length), "anchor long, content long, doc_id long, crc long, a int"), "op4-windows")
+    often = written(spark, windows.groupBy("anchor", "content").agg(F.count("*").alias("n")).filter("n > 1"), "op4-often")
+    counted = R.joined_by_count(spark, windows, often, ["anchor", "content"], "n").select("doc_id", "crc", "a", F.col("a").alias("b"))
     spans = R.per_document(whole.unionByName(sorted_spans).unionByName(counted), "a", "b")
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
     return R.with_hits(texts, spans, "left").mapInArrow(_cutter(length, with_text), out)

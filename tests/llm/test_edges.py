@@ -278,3 +278,12 @@ def test_scratch_tables_go_when_no_plan_reads_them(spark):
     for _ in range(5):
         storage.release(spark)
     assert not exists(one) and exists(two) and second.count() == 3
+
+
+def test_neighbours_of_very_large_and_small_vectors(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e200, 2e200]), (2, [1e-200, 2e-200]), (3, [5e-324, 1e-323]), (4, [-1.0, 2.0]), (50, [1.5e308, -1e308])]
+    got = multiprobe_search(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    first = [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == 0]
+    assert [v for v, _ in first] == [1, 2, 3, 4, 50]
+    assert first[:3] == [(k, pytest.approx(1.0)) for k in (1, 2, 3)] and first[3][1] == pytest.approx(0.6)
+    assert [(r.vec_id, r.score) for r in got if r.query_id == 50 and r["rank"] == 5] == [(4, pytest.approx(-3.5 / (3.25 * 5) ** 0.5))]
