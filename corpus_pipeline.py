@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,32 +23,46 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80  # shingles and similarity of the near-duplicat
 ORACLE_SQL = None  # a classifier, similarity components and a tokenizer are beyond SQL; see tests/llm
 
 
-def _crc() -> F.Column:
-    return F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("crc")
+def _packed(docs: DataFrame, *more: F.Column) -> DataFrame:
+    """All columns of the documents in one struct ``d``, beside (id, crc): no name of theirs can clash with the stage's own."""
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.col("doc_id").alias("id"), crc.alias("crc"), *more)
 
 
-def _keep(docs: DataFrame, judged: DataFrame, how: str) -> DataFrame:
-    """Documents that have (``left_semi``) or lack (``left_anti``) a row in ``judged`` by id and text."""
-    marked = docs.withColumn("__crc", _crc())
-    judged = judged.select(F.col("doc_id").alias("__id"), F.col("crc").alias("__c"))
-    return marked.join(judged, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__crc") == F.col("__c")), how).drop("__crc")
+def _beside(judged: DataFrame, *more: str) -> DataFrame:
+    """Decisions by id and text, joined by shuffle at every size: their number grows with the documents."""
+    return judged.select(F.col("doc_id").alias("judged_id"), F.col("crc").alias("judged_crc"), *more).hint("shuffle_hash")
+
+
+_SAME = "id <=> judged_id and crc = judged_crc"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: documents that the classifier rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rejected = written(spark, co_trained_quality(spark, docs, labels).filter("predicted = 0").select("doc_id", "crc").distinct(), "stage-quality")
-    return _keep(docs, rejected, "left_anti")
+    return _packed(docs).join(_beside(rejected), F.expr(_SAME), "left_anti").select("d.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: frequent lines go from all documents but one."""
     kept = line_dedup(spark, docs, with_text=True).filter("n_dropped > 0").select("doc_id", "crc", "kept_text")
-    kept = written(spark, kept.dropDuplicates(["doc_id", "crc"]), "stage-lines").select(F.col("doc_id").alias("__id"), F.col("crc").alias("__c"), "kept_text")
-    joined = docs.withColumn("__crc", _crc()).join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__crc") == F.col("__c")), "left")
-    text = F.coalesce("kept_text", "text")
-    size = F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text").cast(docs.schema["n_chars"].dataType))
-    return joined.select(*[text.alias(c) if c == "text" else size.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    kept = written(spark, kept.dropDuplicates(["doc_id", "crc"]), "stage-lines")
+    joined = _packed(docs).join(_beside(kept, "kept_text"), F.expr(_SAME), "left")
+    text = F.coalesce("kept_text", "d.text")
+    size = F.when(F.col("kept_text").isNull(), F.col("d.n_chars")).otherwise(F.length("kept_text").cast(docs.schema["n_chars"].dataType))
+    return joined.select(*[text.alias(c) if c == "text" else size.alias(c) if c == "n_chars" else F.col(f"d.`{c}`") for c in docs.columns])
+
+
+def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(d, id, crc, row) with a number for each row that every scan repeats: from a Parquet row's file and place in it.
+
+    Two rows are taken for one only if number and crc agree, some 96 bits. Documents that aren't read straight from files are written first.
+    """
+    try:
+        return _packed(docs, F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row"))
+    except AnalysisException:
+        return written(spark, _packed(docs, F.monotonically_increasing_id().alias("row")), "stage-near-rows")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,20 +73,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Three words and 0.9 is the contract of op3's query alone.
     """
-    # a number for each row, since ids may repeat or be null; written, so that it is the same in every scan
-    numbered = written(spark, docs.withColumn("__row", F.monotonically_increasing_id()), "stage-near-rows")
-    joined = grouped_prefix_join(spark, numbered, id_col="__row", size=NEAR_WORDS, percent=NEAR_PERCENT)
-    group = joined.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("group"))
-    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "__crc", "__row")
-    ranked = numbered.select("__row", "doc_id", _crc().alias("__crc")).join(group, "__row")
-    kept = written(spark, ranked.groupBy("group").agg(F.min(order).alias("first")).select("first.__row"), "stage-near")
-    return numbered.join(kept, "__row", "left_semi").select(*docs.columns)
+    numbered = _numbered(spark, docs)
+    joined = grouped_prefix_join(spark, numbered.select("row", "d.text"), id_col="row", size=NEAR_WORDS, percent=NEAR_PERCENT)
+    group = joined.select(F.col("doc_id").alias("row"), "crc", F.col("component_id").alias("group"))
+    order = F.struct(F.col("id").isNull().alias("unknown"), "id", "crc", "row")
+    ranked = numbered.select("row", "id", "crc").join(group, ["row", "crc"])
+    kept = written(spark, ranked.groupBy("group").agg(F.min(order).alias("first")).select("first.row", "first.crc"), "stage-near")
+    return numbered.join(kept.hint("shuffle_hash"), ["row", "crc"], "left_semi").select("d.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: documents that hold a benchmark item go."""
     leaks = template_leaks(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _keep(docs, written(spark, leaks.select("doc_id", "crc").distinct(), "stage-leaks"), "left_anti")
+    leaked = written(spark, leaks.select("doc_id", "crc").distinct(), "stage-leaks")
+    return _packed(docs).join(_beside(leaked), F.expr(_SAME), "left_anti").select("d.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
