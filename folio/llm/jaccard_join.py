@@ -35,7 +35,7 @@ from folio.llm import repeats as R
 from folio.llm.storage import keyed, written
 
 SIZE, PERCENT, MOST_FREQUENT, PIVOTS = 3, 90, 1 << 20, 2
-SKETCH = 64  # counters
+SKETCH = 64  # counters of a small set; twice as many from each doubling of its size on, about one for every four shingles
 STRETCH = 4 << 20  # shingles counted at once in a task
 STRETCH_REPEATS, FREQUENT = 4, 32
 
@@ -92,7 +92,7 @@ def star_forest(spark: SparkSession, links: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = both.join(least, both.a == least.u).filter("b > u").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, both.a == least.u).filter("b > u").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(spark, large, "stars")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least.withColumnRenamed("a", "u"), F.col("a") == F.col("u")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -116,9 +116,17 @@ def _passes(n1, n2, p1, p2, percent: int):
 
 
 def _may_link(n1, n2, s1, s2, percent: int):
-    """Counters of shingles by hash: sets differ in at least as many shingles as their counters do, so this loses no link."""
-    apart = F.aggregate(F.zip_with(s1, s2, lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda t, x: t + x)
-    return (100 + percent) * apart <= (100 - percent) * (n1 + n2)
+    """Counters of shingles by hash: sets differ in at least as many shingles as their counters do, so this loses no link.
+
+    Of two sketches the one with twice as many counters is folded.
+    """
+    size = F.least(F.size(s1), F.size(s2))
+
+    def folded(s):
+        return F.when(F.size(s) == size, s).otherwise(F.zip_with(F.slice(s, F.lit(1), size), F.slice(s, size + 1, size), lambda x, y: (x + y).cast("smallint")))
+
+    apart = F.aggregate(F.zip_with(folded(s1), folded(s2), lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda t, x: t + x)
+    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * apart <= (100 - percent) * (n1 + n2))
 
 
 def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -150,9 +158,16 @@ def _across(spark: SparkSession, rows: DataFrame, classes: DataFrame, percent: i
     main = written(spark, weight.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("m"), F.count("*").alias("comps")).filter("comps > 1")
                    .select("token", F.col("m.comp").alias("main")), "op3-main")
     minor = written(spark, groups.join(main, "token").filter("comp <> main")
-                    .select("token", F.col("grp").alias("g1"), F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("comp").alias("c1")), "op3-minor")
-    on = (minor.token == groups.token) & (minor.c1 != groups.comp) & _passes(F.col("n1"), F.col("n"), F.col("p1"), F.col("pos"), percent)
-    pairs = minor.join(groups, on).select("g1", "c1", F.col("grp").alias("g2"), F.col("comp").alias("c2")).distinct()
+                    .select("token", "main", F.col("grp").alias("g1"), F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("comp").alias("c1")), "op3-minor")
+    # two groups outside the main component meet once in a bucket
+    on = ((minor.token == groups.token) & ((groups.comp == minor.main) | (minor.c1 < groups.comp))
+          & _passes(F.col("n1"), F.col("n"), F.col("p1"), F.col("pos"), percent))
+    here, there = F.struct("c1", "g1", "n1"), F.struct(F.col("comp").alias("c1"), F.col("grp").alias("g1"), F.col("n").alias("n1"))
+    meets = minor.join(groups, on).select(F.least(here, there).alias("x"), F.greatest(here, there).alias("y")).groupBy("x", "y").agg(F.count("*").alias("met"))
+    # Shingles up to the smaller of the prefixes' ends in the order are shared in the prefixes or not at all; of linked sets all meetings pass, so all are counted.
+    rest = lambda n: F.ceil(F.lit(percent) * n / 100) - 1
+    enough = (100 + percent) * (F.col("met") + F.greatest(rest(F.col("x.n1")), rest(F.col("y.n1")))) >= percent * (F.col("x.n1") + F.col("y.n1"))
+    pairs = meets.filter((F.col("x.g1") == F.col("y.g1")) | enough).select("x.g1", "x.c1", F.col("y.g1").alias("g2"), F.col("y.c1").alias("c2"))
     one = held.select(F.col("grp").alias("g1"), F.col("comp").alias("c1"), F.col("cls").alias("x"), F.col("n").alias("n1"), F.col("sketch").alias("s1"))
     two = held.select(F.col("grp").alias("g2_"), F.col("comp").alias("c2_"), F.col("cls").alias("y"), F.col("n").alias("n2"), F.col("sketch").alias("s2"))
     near = _may_link(F.col("n1"), F.col("n2"), F.col("s1"), F.col("s2"), percent)
@@ -238,8 +253,10 @@ def _signature_mapper(size: int, percent: int, late):
             hashes, edges, n, _, _, inside, group = _prefix(batch, size, percent, late)
             whole = A.RunHash(hashes)(edges[:-1], edges[1:], np.zeros(len(n), np.int64))
             row = np.repeat(np.arange(len(n)), n)
-            counters = np.bincount(row * SKETCH + (hashes % np.uint64(SKETCH)).astype(np.int64), minlength=len(n) * SKETCH)
-            sketch = pa.ListArray.from_arrays(np.arange(0, len(counters) + 1, SKETCH, dtype=np.int32), pa.array(np.minimum(counters, 32767).astype(np.int16)))
+            width = SKETCH << np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) / (4 * SKETCH)))).astype(np.int64)
+            lead = np.concatenate(([0], np.cumsum(width)))
+            counters = np.bincount(lead[row] + (hashes & (width[row] - 1).astype(np.uint64)).astype(np.int64), minlength=lead[-1])
+            sketch = pa.ListArray.from_arrays(lead.astype(np.int32), pa.array(np.minimum(counters, 32767).astype(np.int16)))
             ends = np.concatenate(([0], np.cumsum(inside)))[edges].astype(np.int32)
             prefix = pa.ListArray.from_arrays(ends, pa.array(A.signed(hashes[inside])))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("crc"), pa.array(n, pa.int64()), pa.array(A.signed(whole)), pa.array(A.signed(group)), sketch, prefix],

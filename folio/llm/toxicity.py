@@ -7,7 +7,7 @@ and with both; the bytes that the toxic one saves say how toxic the window is. A
 a document's largest and mean savings, fitted on the labelled rows, gives thresholds and the score.
 
 Dictionaries and regression are fitted on at most ``sample`` labelled documents of each class, chosen by a
-hash of their id; every document is scored over its whole text. Only the text and the labels of rows that are not
+hash of their id, one text of each id and ``sample_bytes`` bytes of a class; every document is scored over its whole text. Only the text and the labels of rows that are not
 held out are used.
 
 Defined results: a null or empty text is one empty window and gets the score of no savings; without
@@ -25,10 +25,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.llm import arrays as A
+from folio.llm.storage import written
 
 SAMPLE, SAMPLE_BYTES = 2000, 24 << 20  # labelled documents of a class, and bytes of text of a class, at most
 WINDOW, ORDINARY_BYTES = 8, 8 << 10
@@ -180,13 +181,15 @@ def compression_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame
     for y in (1, 0):
         part = truth.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
+    fitted = rows.join(F.broadcast(chosen), "doc_id").filter("text is not null").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    fitted = written(spark, fitted.withColumn("size", F.octet_length("text")), "op8-fitted")  # at most ``sample`` rows a class
+    # the byte bound stands in the plan, before any text reaches the driver
+    order = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
+    within = fitted.select("doc_id", F.sum("size").over(order).alias("upto")).filter(F.col("upto") <= sample_bytes).select("doc_id")
+    bounded = fitted.join(within, "doc_id")
     texts: dict[int, list[str]] = {0: [], 1: []}
-    held = {0: 0, 1: 0}
-    fitted = rows.join(F.broadcast(chosen), "doc_id").filter("text is not null").select("doc_id", "text", "y")
-    for r in fitted.orderBy(F.xxhash64("doc_id"), "doc_id", "text").toLocalIterator():
-        if held[r.y] < sample_bytes:
-            texts[r.y].append(r.text)
-            held[r.y] += len(r.text)
+    for r in bounded.orderBy("y", F.xxhash64("doc_id"), "doc_id").select("text", "y").toLocalIterator():
+        texts[r.y].append(r.text)
     scorer = spark.sparkContext.broadcast(fit(texts[1], texts[0]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -54,3 +54,24 @@ def test_near_duplicates_keep_one_row_of_each_group(spark):
     got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, table(spark, rows), "").collect()]
     assert len(got) == 7 and sum(i == 1 for i, _ in got) == 1 and (None, other) in got
     assert sorted(str(r) for r in got if r[0] != 1) == sorted(str(r) for r in [(None, other), (7, "of its own " + alone), (8, None), (8, None), (None, ""), (9, " ")])
+
+
+def test_clashing_columns_and_empty_tables(spark):
+    words = " ".join(f"k{k}" for k in range(70))
+    docs = table(spark, [(1, words), (2, words), (3, None), (None, words), (4, "short")]).selectExpr(
+        "*", "1 as __crc", "2 as __row", "3 as __c", "'t' as kept_text", "5 as crc", "6 as id", "7 as d", "8 as judged_id", "9 as `a.b`", "10 as row", "11 as `group`")
+    for stage in (corpus_pipeline.lines, corpus_pipeline.near_duplicates, corpus_pipeline.decontamination, corpus_pipeline.quality):
+        got = stage(spark, docs, "/root/testdata/sf0.001")
+        assert got.columns == docs.columns and stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0
+        assert {r.doc_id for r in got.collect()} <= {1, 2, 3, 4, None}
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [1, 3, 4]
+
+
+def test_rows_of_files_need_no_copy(spark, tmp_path, monkeypatch):
+    words = " ".join(f"k{k}" for k in range(70))
+    table(spark, [(1, words), (1, words), (None, words), (None, ""), (None, ""), (7, "x y")]).write.parquet(str(tmp_path / "docs"))
+    names, keep = [], corpus_pipeline.written
+    monkeypatch.setattr(corpus_pipeline, "written", lambda s, df, name: (names.append(name), keep(s, df, name))[1])
+    got = corpus_pipeline.near_duplicates(spark, spark.read.parquet(str(tmp_path / "docs")), "").collect()
+    assert sorted((r.doc_id, r.text) for r in got if r.doc_id) == [(1, words), (7, "x y")] and sum(r.text == "" for r in got) == 2 and len(got) == 4
+    assert names == ["stage-near"]
