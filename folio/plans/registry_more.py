@@ -132,6 +132,18 @@ register("enrich_batches", O.with_ctes(
     "FROM e_numbered GROUP BY 1", O.ENRICH_CTES))(
     lambda s, d: enrichment.request_batches(_remaining(s, d)))
 
+
+
+def _tolerant_targets(s, d):
+    """Ratings of which some lines did not fit their header: those count for no key."""
+    lay = layers(s, d)
+    broken = lay.raw_ratings.withColumn("_rescued_data", F.when(F.col("Book-Rating") == "7", F.concat_ws(",", "User-ID", "ISBN", "Book-Rating")))
+    return enrichment.target_keys(broken, lay.raw_books)
+
+
+register("enrich_targets_tolerant", O.with_ctes(
+    "SELECT isbn, target, n FROM e_targets", O.ENRICH_CTES.replace("WHERE _rescued_data IS NULL", "WHERE \"Book-Rating\" <> '7'")))(_tolerant_targets)
+
 _SHAPE_SQL = f"""
 SELECT CASE WHEN p % 20 = 10 THEN lower(k) ELSE k END AS isbn, target, (p % 7 <> 0) AS found,
   CASE WHEN p % 7 <> 0 THEN (CASE WHEN p % 11 = 0 THEN NULL WHEN p % 8 = 0 THEN p_name || {O._q(bridge.MOJIBAKE_ONCE)}

@@ -182,6 +182,36 @@ register("ingest_many_batches", O.with_ctes(
     'SELECT "Book-Rating", COUNT(*) AS rows, (SELECT COUNT(*) FROM b_ratings) AS rows_counted FROM b_ratings GROUP BY "Book-Rating"'))(_many_batches)
 
 
+def _flat(s, d) -> DataFrame:
+    """Ratings by their glob straight from the landing folder, beside another feed's delivery and without a lookup folder."""
+    root = scratch_path(s, "ingest", "flat")
+    landing, ckpt, out = (os.path.join(root, x) for x in ("landing", "_checkpoints", "bronze"))
+    raw = _feed(s, d, "ratings")
+    for k, source in enumerate(("landing/Ratings.csv", "landing/Ratings_2.csv")):
+        files.write_csv_feed(raw.where(F.col("_source_file") == source), "ratings", os.path.join(landing, f"Ratings_{k}.csv"))
+    files.write_csv_feed(_feed(s, d, "users"), "users", os.path.join(landing, "Users_0.csv"))
+    ingest.ingest_csv(s, landing, "ratings", ckpt, path=out, flat=True)
+    if ingest.ingest_json(s, landing, ckpt, path=os.path.join(root, "lookup")) is not None:
+        raise AssertionError("there is no lookup folder to read")
+    return s.read.parquet(out).drop(*_RUNTIME_COLS)
+
+
+register("ingest_flat_globs", O.with_ctes(_CSV_SQL["ratings"]))(_flat)
+
+
+def _replayed(s, d) -> DataFrame:
+    """Everything ingested, then again into a new table by a new checkpoint: the second table."""
+    root = scratch_path(s, "ingest", "replay")
+    landing = os.path.join(root, "landing")
+    files.write_csv_feed(_feed(s, d, "users"), "users", os.path.join(landing, "users"))
+    for run in ("first", "second"):
+        ingest.ingest_csv(s, landing, "users", os.path.join(root, run, "_checkpoints"), path=os.path.join(root, run, "users"))
+    return s.read.parquet(os.path.join(root, "second", "users")).drop(*_RUNTIME_COLS)
+
+
+register("ingest_replay", O.with_ctes(_CSV_SQL["users"]))(_replayed)
+
+
 def _lineage(s, d) -> DataFrame:
     """All four feeds ingested at the same time: rows with their own feed's landing file and an ingestion time."""
     root = scratch_path(s, "ingest", "lineage")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from folio import oracle as O
 from folio.operators import serving
-from folio.plans import pipeline, registry, registry_stream
+from folio.plans import pipeline, registry
 from folio.plans.registry import register
 from folio.plans.snapshots import Snapshots
 from folio.session import scratch_path

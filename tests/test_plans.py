@@ -13,7 +13,8 @@ from folio.plans.model import Layers
 SF = "/root/testdata/sf0.001"
 # Ingestion queries write files first; their plans are file scans of what they wrote.
 SKIP = {"ingest_csv_stream", "ingest_csv_ratings", "ingest_csv_users", "ingest_json_stream", "ingest_incremental",
-        "rescue_malformed", "ingest_json_evolved", "ingest_json_drift", "ingest_csv_layouts", "ingest_many_batches", "bronze_lineage"}
+        "rescue_malformed", "ingest_json_evolved", "ingest_json_drift", "ingest_csv_layouts", "ingest_many_batches", "bronze_lineage",
+        "ingest_flat_globs", "ingest_replay"}
 
 
 def _plan(df) -> str:
