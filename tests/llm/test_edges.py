@@ -281,7 +281,7 @@ def test_scratch_tables_go_when_no_plan_reads_them(spark):
 
 
 def test_neighbours_of_very_large_and_small_vectors(spark):
-    rows = [(0, [1.0, 2.0]), (1, [1e200, 2e200]), (2, [1e-200, 2e-200]), (3, [5e-324, 1e-323]), (4, [-1.0, 2.0]), (50, [1.5e308, -1e308])]
+    rows = [(0, [1.0, 2.0]), (1, [2.0**600, 2.0**601]), (2, [2.0**-600, 2.0**-599]), (3, [2.0**-1074, 2.0**-1073]), (4, [-1.0, 2.0]), (50, [1.5e308, -1e308])]
     got = multiprobe_search(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     first = [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == 0]
     assert [v for v, _ in first] == [1, 2, 3, 4, 50]
