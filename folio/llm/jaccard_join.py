@@ -115,6 +115,25 @@ def _passes(n1, n2, p1, p2, percent: int):
     return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * most >= percent * (n1 + n2))
 
 
+def _prefix_overlap(n1, n2, percent: int):
+    """Shingles that the prefixes of two linked sets share at least, and the half of them that may be left out from the prefixes' ends.
+
+    In the common order, a shingle up to the smaller of the two prefixes' ends is shared in the prefixes or not at all; beyond it a set has
+    no more than what its prefix leaves.
+    """
+    rest = lambda n: F.ceil(F.lit(percent) * n / 100) - 1
+    shared = F.greatest(F.lit(1), F.ceil(F.lit(percent) * (n1 + n2) / (100 + percent)) - F.greatest(rest(n1), rest(n2)))
+    return shared, F.ceil(shared / 2)
+
+
+def _early(n1, n2, p1, p2, percent: int):
+    """Whether a meeting lies before the last places of both prefixes. Of ``shared`` meetings, in order, only the last ``late - 1`` can lie there:
+    so linked sets keep more than ``shared - late``, and frequent shingles, which stand last, make fewer rows."""
+    _, late = _prefix_overlap(n1, n2, percent)
+    size = lambda n: n - F.ceil(F.lit(percent) * n / 100) + 1
+    return (p1 <= size(n1) - late) & (p2 <= size(n2) - late)
+
+
 def _may_link(n1, n2, s1, s2, percent: int):
     """Counters of shingles by hash: sets differ in at least as many shingles as their counters do, so this loses no link.
 
@@ -159,15 +178,14 @@ def _across(spark: SparkSession, rows: DataFrame, classes: DataFrame, percent: i
                    .select("token", F.col("m.comp").alias("main")), "op3-main")
     minor = written(spark, groups.join(main, "token").filter("comp <> main")
                     .select("token", "main", F.col("grp").alias("g1"), F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("comp").alias("c1")), "op3-minor")
-    # two groups outside the main component meet once in a bucket
+    # Two groups outside the main component meet once in a bucket.
     on = ((minor.token == groups.token) & ((groups.comp == minor.main) | (minor.c1 < groups.comp))
-          & _passes(F.col("n1"), F.col("n"), F.col("p1"), F.col("pos"), percent))
+          & _passes(F.col("n1"), F.col("n"), F.col("p1"), F.col("pos"), percent) & _early(F.col("n1"), F.col("n"), F.col("p1"), F.col("pos"), percent))
     here, there = F.struct("c1", "g1", "n1"), F.struct(F.col("comp").alias("c1"), F.col("grp").alias("g1"), F.col("n").alias("n1"))
     meets = minor.join(groups, on).select(F.least(here, there).alias("x"), F.greatest(here, there).alias("y")).groupBy("x", "y").agg(F.count("*").alias("met"))
-    # Shingles up to the smaller of the prefixes' ends in the order are shared in the prefixes or not at all; of linked sets all meetings pass, so all are counted.
-    rest = lambda n: F.ceil(F.lit(percent) * n / 100) - 1
-    enough = (100 + percent) * (F.col("met") + F.greatest(rest(F.col("x.n1")), rest(F.col("y.n1")))) >= percent * (F.col("x.n1") + F.col("y.n1"))
-    pairs = meets.filter((F.col("x.g1") == F.col("y.g1")) | enough).select("x.g1", "x.c1", F.col("y.g1").alias("g2"), F.col("y.c1").alias("c2"))
+    shared, late = _prefix_overlap(F.col("x.n1"), F.col("y.n1"), percent)
+    pairs = (meets.filter((F.col("x.g1") == F.col("y.g1")) | (F.col("met") > shared - late))
+             .select("x.g1", "x.c1", F.col("y.g1").alias("g2"), F.col("y.c1").alias("c2")))
     one = held.select(F.col("grp").alias("g1"), F.col("comp").alias("c1"), F.col("cls").alias("x"), F.col("n").alias("n1"), F.col("sketch").alias("s1"))
     two = held.select(F.col("grp").alias("g2_"), F.col("comp").alias("c2_"), F.col("cls").alias("y"), F.col("n").alias("n2"), F.col("sketch").alias("s2"))
     near = _may_link(F.col("n1"), F.col("n2"), F.col("s1"), F.col("s2"), percent)

@@ -75,3 +75,28 @@ def test_rows_of_files_need_no_copy(spark, tmp_path, monkeypatch):
     got = corpus_pipeline.near_duplicates(spark, spark.read.parquet(str(tmp_path / "docs")), "").collect()
     assert sorted((r.doc_id, r.text) for r in got if r.doc_id) == [(1, words), (7, "x y")] and sum(r.text == "" for r in got) == 2 and len(got) == 4
     assert names == ["stage-near"]
+
+
+def test_links_of_edited_copies(spark):
+    """Groups of copies with more and more words changed, so that many pairs lie on both sides of the border and in different components."""
+    from folio.llm.jaccard_join import grouped_prefix_join
+
+    rng = random.Random(31)
+    rows = []
+    for g in range(6):
+        base = [f"g{g}w{rng.randrange(400)}" for _ in range(60 + 25 * g)]
+        for k in range(45):
+            words = [f"e{rng.randrange(10**6)}" if rng.random() < .002 * k else w for w in base]
+            cut = rng.randrange(0, 1 + len(words) // 8)
+            rows.append((100 * g + k, " ".join(words[cut:])))
+    sets = [brute.shingles(t, 2) for _, t in rows]
+    for percent in (80, 90):
+        group = list(range(len(rows)))
+        for k in range(len(rows)):
+            for j in range(k):
+                both = len(sets[k] & sets[j])
+                if 100 * both >= percent * len(sets[k] | sets[j]):
+                    group = [group[j] if x == group[k] else x for x in group]
+        want = {i: min(rows[j][0] for j in range(len(rows)) if group[j] == g) for (i, _), g in zip(rows, group, strict=True)}
+        got = {r.doc_id: r.component_id for r in grouped_prefix_join(spark, spark.createDataFrame(rows, "doc_id long, text string"), size=2, percent=percent).collect()}
+        assert got == want and len(set(want.values())) > 10
