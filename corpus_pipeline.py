@@ -30,8 +30,9 @@ def _packed(docs: DataFrame, *more: F.Column) -> DataFrame:
 
 
 def _beside(judged: DataFrame, *more: str) -> DataFrame:
-    """Decisions by id and text, joined by shuffle at every size: their number grows with the documents."""
-    return judged.select(F.col("doc_id").alias("judged_id"), F.col("crc").alias("judged_crc"), *more).hint("shuffle_hash")
+    """Decisions by id and text, joined by shuffle at every size: their number grows with the documents. Texts among them are sorted, which can spill."""
+    rows = judged.select(F.col("doc_id").alias("judged_id"), F.col("crc").alias("judged_crc"), *more)
+    return rows.hint("merge" if more else "shuffle_hash")
 
 
 _SAME = "id <=> judged_id and crc = judged_crc"
