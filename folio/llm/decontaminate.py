@@ -115,7 +115,7 @@ def _window_mapper(size: int, wanted=None, whole: bool = False):
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in A.chunks(batches):
+        for batch in A.chunks(batches, limit=A.CHUNK_BYTES // 2):
             hashes, kind, own, first, maybe = template(*A.buffers(batch.column("text")))
             count = np.diff(first)
             sizes = [(size, None)] if whole else [(k, w) for k, w in (wanted.value if wanted is not None else {size: None}).items()]

@@ -227,7 +227,7 @@ def _frequent(docs: DataFrame, size: int, most: int) -> tuple[np.ndarray, np.nda
             keep = counts >= STRETCH_REPEATS
             return pa.RecordBatch.from_arrays([pa.array(A.signed(values[keep])), pa.array(counts[keep].astype(np.int64))], names=["token", "k"])
 
-        for batch in A.chunks(batches):
+        for batch in A.chunks(batches, limit=A.CHUNK_BYTES // 2):
             held.append(_shingles(batch, size)[0])
             total += len(held[-1])
             if total > STRETCH:
@@ -267,7 +267,7 @@ def _prefix(batch, size, percent, late):
 
 def _signature_mapper(size: int, percent: int, late):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in A.chunks(batches):
+        for batch in A.chunks(batches, limit=A.CHUNK_BYTES // 2):
             hashes, edges, n, _, _, inside, group = _prefix(batch, size, percent, late)
             whole = A.RunHash(hashes)(edges[:-1], edges[1:], np.zeros(len(n), np.int64))
             row = np.repeat(np.arange(len(n)), n)
