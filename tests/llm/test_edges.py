@@ -6,8 +6,11 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
+from folio.llm import repeats, suffix_dedup
 from folio.llm.ann import multiprobe_search
 from folio.llm.decontaminate import template_leaks
 from folio.llm.html_extract import Page, consensus_extraction
@@ -69,6 +72,37 @@ def test_suffix(spark, table, limit):
     assert some(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == order(brute.suffix_dedup(corpus()))
 
 
+def test_suffix_pieces_hold_each_window_once():
+    rng = np.random.default_rng(5)
+    text = bytes(rng.integers(97, 123, 6000).astype(np.uint8))
+    blocks = pa.Table.from_batches(repeats.block_mapper(repeats.byte_anchors, 400, 32)(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "crc": [2], "text": [text.decode()]})])))
+    hits = [{"a": r["a"], "b": r["b"], "anchor": r["anchor"]} for r in blocks.to_pylist()]
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([zstandard.compress(text)], pa.binary()),
+                                        pa.array([hits], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("anchor", pa.int64())])))], names=["doc_id", "crc", "blob", "hits"])
+    pieces = [r for b in suffix_dedup._piece_mapper(400, 32)(iter([batch])) for r in b.to_pylist()]
+    assert sorted(r["a"] + k for r in pieces for k in range(r["starts"])) == list(range(6000 - 400 + 1))
+    assert all(r["body"] == text[r["a"]:r["a"] + r["starts"] + 399] for r in pieces)
+    # cut into batches of any size, blocks that meet give the same spans; one that meets no other isn't sorted
+    rows = sorted([r | {"doc_id": d} for r in pieces for d in (1, 2)] + [pieces[0] | {"meet": 2**62}], key=lambda r: (r["side"], r["meet"]))
+    table = pa.Table.from_pylist(rows, pa.schema([("side", pa.string()), ("meet", pa.int64()), ("anchor", pa.int64()), ("doc_id", pa.int64()), ("crc", pa.int64()),
+                                                  ("a", pa.int32()), ("starts", pa.int32()), ("body", pa.binary())]))
+    for size in (1, 2, 3, 7, 1000):
+        got = [(r["doc_id"], k) for b in suffix_dedup._suffix_sorter(400)(iter(table.to_batches(size))) for r in b.to_pylist() for k in range(r["a"], r["b"] + 1)]
+        assert sorted(got) == [(d, k) for d in (1, 2) for k in range(6000 - 400 + 1)]
+
+
+def test_suffix_order_to_a_depth():
+    rng = np.random.default_rng(6)
+    for trial in range(60):
+        text = np.tile(rng.integers(0, 257 if trial % 2 else 4, 200).astype(np.uint16), 3)
+        plain = text.tolist()
+        for depth in (1, 7, 40):
+            got = two_stage_sort(text, depth).tolist()
+            assert [plain[i:i + depth] for i in got] == sorted(plain[i:i + depth] for i in range(len(plain)))
+        alike = suffix_dedup.alike_neighbours(text, np.array(got), 40)
+        assert alike.tolist() == [False, *[max(x, y) + 40 <= len(plain) and plain[x:x + 40] == plain[y:y + 40] for x, y in zip(got, got[1:], strict=False)]]
+
+
 def test_suffix_order():
     rng = np.random.default_rng(1)
     for trial in range(120):
