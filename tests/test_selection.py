@@ -37,6 +37,16 @@ def test_quantiles_of_nothing(spark):
     assert list(analysis.exact_quantiles(spark.createDataFrame([(None,)], "v double"), "v").collect()[0]) == [0, None, None]
 
 
+def test_support_quantiles_join_the_ratings_once(spark, monkeypatch):
+    plans = []
+    first = type(spark.range(1)).first
+    monkeypatch.setattr(type(spark.range(1)), "first", lambda self: (plans.append(self._jdf.queryExecution().executedPlan().toString()), first(self))[1])
+    row = analysis.support_quantiles(Layers(spark, SF).v_books()).collect()[0]
+    assert plans and not any("Join" in p or "parquet" in p for p in plans)
+    counts = [r.ratings_cnt for r in Layers(spark, SF).v_books().where("ratings_cnt > 0").select("ratings_cnt").collect()]
+    assert list(row) == pytest.approx([len(counts), np.quantile(counts, 0.5), np.quantile(counts, 0.99)], abs=5.1e-4)
+
+
 def test_quantiles_take_few_passes_and_no_global_window(spark, monkeypatch):
     df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).cast("double").alias("v"))
     passes = []
