@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 import zstandard
 
-from folio.llm import repeats, suffix_dedup
+from folio.llm import jaccard_join, repeats, suffix_dedup
 from folio.llm.ann import multiprobe_search
 from folio.llm.decontaminate import template_leaks
 from folio.llm.html_extract import Page, consensus_extraction
@@ -18,6 +18,7 @@ from folio.llm.jaccard_join import grouped_prefix_join
 from folio.llm.line_dedup import CuckooFilter, LineIndex, line_dedup
 from folio.llm.packing import WordIds, best_fit_decreasing, best_fit_packing, lower_bound, tokenizer_path
 from folio.llm.quality import co_trained_quality
+from folio.llm.storage import small_batches
 from folio.llm.substring_dedup import relative_lz_dedup
 from folio.llm.suffix_dedup import adjacent_common_prefixes, suffix_array_dedup, two_stage_sort
 from folio.llm.toxicity import compression_toxicity
@@ -72,6 +73,17 @@ def test_suffix(spark, table, limit):
     assert some(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == order(brute.suffix_dedup(corpus()))
 
 
+def test_jaccard_moves_texts_in_small_batches(spark, table, monkeypatch):
+    key, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", [], jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", lambda s, df, name: (seen.append((name, int(s.conf.get(key)))), write(s, df, name))[1])
+    before = spark.conf.get(key)
+    grouped_prefix_join(spark, table.filter("doc_id < 40"))
+    assert {n for n, _ in seen} >= {"op3-signatures", "op3-texts", "op3-links"} and all(rows <= 1000 for _, rows in seen)
+    assert spark.conf.get(key) == before
+    with small_batches(spark, 10), small_batches(spark, 500):  # never more than the caller's own
+        assert spark.conf.get(key) == "10"
+
+
 def test_suffix_pieces_hold_each_window_once():
     rng = np.random.default_rng(5)
     text = bytes(rng.integers(97, 123, 6000).astype(np.uint8))
