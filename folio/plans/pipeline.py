@@ -5,7 +5,7 @@ Storage layout decisions for scale
   ``_quarantined`` flag; ``ratings`` and ``quarantine_ratings`` are views over the two
   partitions (partition pruning), so the raw feed is scanned once, not twice. Concurrent
   output writers keep that write free of the per-task sort a partitioned write otherwise
-  adds (checked in the event log: no Sort under WriteFiles).
+  adds (checked in the event log: no Sort under WriteFiles, and no spill in that stage).
 * ``rating_stats`` (one row per key: interactions, grades, grade sum) is written next to
   the catalogue, both bucketed and sorted on ``isbn`` with the same bucket count, so the
   join that every gold view starts with is a shuffle-free sort-merge join.
@@ -36,6 +36,7 @@ from folio.sources import bridge, files, storage
 from folio.streaming import ingest
 
 BUCKET_BYTES = 256 << 20
+SPLIT_WRITERS = 3  # one more than the values of the split's flag
 
 
 def choose_buckets(spark: SparkSession, catalogue_table: str, target_bytes: int = BUCKET_BYTES) -> int:
@@ -152,11 +153,12 @@ def _write_run(spark: SparkSession, bronze_db: str, silver_db: str, run_id: str,
         lambda: _write(silver.silver_users(spark.table(f"{bronze_db}.users")), t("users"), report, "users"),
     ]
     # The split write has two partition values; with concurrent output writers each task
-    # writes both files directly instead of first sorting all its rows by the flag.
+    # writes both files directly instead of first sorting all its rows by the flag. A task turns
+    # to sorting what is left of its rows, and spills them, as soon as that many writers are open.
     key = "spark.sql.maxConcurrentOutputFileWriters"
     previous = spark.conf.get(key, "0")
-    if int(previous) < 2:
-        spark.conf.set(key, "2")
+    if int(previous) < SPLIT_WRITERS:
+        spark.conf.set(key, str(SPLIT_WRITERS))
     try:
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
             for fut in [pool.submit(j) for j in jobs]:

@@ -43,6 +43,23 @@ def test_counts_and_exactly_once(built):
     assert all(r.rows == 0 for r in again)
 
 
+def test_split_write_never_turns_to_sorting(built, monkeypatch):
+    """Spark sorts what is left of a task's rows once as many writers are open as it may have: there must be room for one more than the flag's values."""
+    spark, write, seen = built[0], pipeline._write, {}
+
+    def recorded(df, table, report, name, **more):
+        if more.get("partition_by"):
+            seen[name] = int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        write(df, table, report, name, **more)
+
+    monkeypatch.setattr(pipeline, "_write", recorded)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0")
+    pipeline.run_silver(spark, "t1_bronze", "t1w_silver", buckets=2)
+    flags = spark.table("t1w_silver.ratings").count() > 0, spark.table("t1w_silver.quarantine_ratings").count() > 0
+    assert flags == (True, True) and seen["ratings_all"] > 2
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == before
+
+
 def test_split_partitions_input(built):
     spark = built[0]
     lay = Layers(spark, SF)
