@@ -73,6 +73,33 @@ def test_suffix(spark, table, limit):
     assert some(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == order(brute.suffix_dedup(corpus()))
 
 
+def test_jaccard_counts_meetings_by_plain_columns(spark):
+    """Meetings of groups of two components, whichever of them is the main one of a bucket; no struct is compared or hashed in the join's loop."""
+    rng = random.Random(3)
+    rows = [(rng.randrange(40), 100 + g, 30, rng.randrange(3), g % 4) for g in range(24) for _ in range(6)]  # token, grp, n, pos, comp
+    rows = sorted({(t, g): (t, g, n, p, c) for t, g, n, p, c in rows}.values())
+    main = {t: max(c for u, *_, c in rows if u == t) if t % 2 else min(c for u, *_, c in rows if u == t) for t, *_ in rows}
+    minor = spark.createDataFrame([(t, main[t], g, n, p, c) for t, g, n, p, c in rows if c != main[t]], "token long, main long, g1 long, n1 long, p1 int, c1 long")
+    groups = spark.createDataFrame([(*r, 1) for r in rows], "token long, grp long, n long, pos int, comp long, k long")
+    for percent in (50, 90):
+        expected: dict = {}
+        for t, g, n, p, c in rows:
+            for u, h, m, q, d in rows:
+                if t == u and c < d and _meeting_counts(n, m, p, q, percent):
+                    expected[c, g, n, d, h, m] = expected.get((c, g, n, d, h, m), 0) + 1
+        found = jaccard_join._meets(minor, groups, percent)
+        assert {kind for _, kind in found.dtypes} == {"bigint"}
+        assert {tuple(r)[:6]: r.met for r in found.collect()} == expected and expected
+
+
+def _meeting_counts(n, m, p, q, percent):
+    rest = lambda n: -(-percent * n // 100) - 1
+    shared = max(1, -(-percent * (n + m) // (100 + percent)) - max(rest(n), rest(m)))
+    late = -(-shared // 2)
+    most = min(p, q) + 1 + min(n - p - 1, m - q - 1)
+    return (100 + percent) * most >= percent * (n + m) and p <= n - rest(n) - late and q <= m - rest(m) - late
+
+
 def test_jaccard_moves_texts_in_small_batches(spark, table, monkeypatch):
     key, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", [], jaccard_join.written
     monkeypatch.setattr(jaccard_join, "written", lambda s, df, name: (seen.append((name, int(s.conf.get(key)))), write(s, df, name))[1])
