@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import random
+import sys
 
-import brute
 from pyspark.sql import functions as F
 
 from folio.llm import jaccard_join
 from folio.llm.jaccard_join import grouped_prefix_join
 
+sys.path.insert(0, os.path.dirname(__file__))
+import brute  # noqa: E402
+
 
 def _crowd(rng: random.Random, docs: int, changed: int) -> list[tuple]:
     base = [f"w{k}" for k in range(300)]
@@ -64,7 +68,8 @@ def test_sketches_of_any_width_lose_no_link(spark):
     for _ in range(60):
         one = {rng.getrandbits(64) for _ in range(rng.randrange(1, 400))}
         two = {x for x in one if rng.random() > .04} | {rng.getrandbits(64) for _ in range(rng.randrange(len(one) // 20 + 1))}
-        rows.append((len(one), len(two), len(one ^ two), *(_bits(s, 1 << rng.randrange(7)) for s in (one, two))))
+        words = 1 << rng.randrange(7)
+        rows.append((len(one), len(two), len(one ^ two), _bits(one, words), _bits(two, words << rng.randrange(2))))
     pairs = spark.createDataFrame(rows, "n1 long, n2 long, apart long, s1 array<long>, s2 array<long>")
     folded = [jaccard_join._folded_to(F.col(s), 4) for s in ("s1", "s2")]
     flags = [jaccard_join._may_link(F.col("n1"), F.col("n2"), *s, 90) for s in ((F.col("s1"), F.col("s2")), folded)]
