@@ -223,6 +223,53 @@ def test_word_ids_equal_whole_texts():
         assert got[a:b].tolist() == encoder.encode(t, add_special_tokens=False).ids
 
 
+class Counting:
+    """A tokenizer that counts the texts it encodes."""
+
+    def __init__(self, inner):
+        self.inner, self.texts = inner, 0
+
+    def encode_batch_fast(self, texts, **how):
+        self.texts += len(texts)
+        return self.inner.encode_batch_fast(texts, **how)
+
+
+def test_words_of_letters_are_encoded_many_at_a_time():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(5)
+    draw = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randrange(1, 12)))
+    plain, other = [draw("abcdefgh") for _ in range(3000)], [draw("éüaßÅЖ語") for _ in range(3000)]
+    ends = ["", "", "", "%%%", "###.", "'", "_-_", "!?"]
+    odd = ["İx", "ﾊﾞ", "\u0958\u0958", "\u1112\u1161\u11ab", "e\u0301e", "ΣΑΣ", "ﬁn", "a\u00a0b", "x²", "12", "it's", "'s'", "a</w>b", "</w>"]
+    signs = [w + "".join(rng.choice("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~ sé1") for _ in range(rng.randrange(6))) for w in plain]
+    lines = [[w + rng.choice(ends) for w in plain], other, odd + other[:9], odd, signs, signs[:99] + ["x<|endoftext|>", "<|endoftext|>%", "X<|EndOfText|>_"], []]
+    texts = [" ".join(x) for x in lines]
+    encoder, words = Tokenizer.from_file(tokenizer_path()), WordIds(tokenizer_path())
+    for some in (texts[:4], texts[4:5], texts):
+        data = np.frombuffer("".join(some).encode(), np.uint8)
+        got, edges = words(data, np.concatenate(([0], np.cumsum([len(t.encode()) for t in some]))))
+        for t, a, b in zip(some, edges[:-1], edges[1:], strict=True):
+            assert got[a:b].tolist() == encoder.encode(t, add_special_tokens=False).ids
+
+    words = WordIds(tokenizer_path())
+    used = {k: Counting(v) for k, v in vars(words).items() if isinstance(v, Tokenizer)}
+    vars(words).update(used)
+    data = np.frombuffer(" ".join(plain + other).encode(), np.uint8)
+    words(data, np.array([0, len(data)]))
+    assert 0 < sum(x.texts for x in used.values()) < len(set(plain + other)) / 100
+
+
+def test_known_words_last_from_task_to_task():
+    from folio.llm import packing as P
+
+    assert P.word_ids(tokenizer_path()) is P.word_ids(tokenizer_path())
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, None, 3], "text": ["one two, three%%%", None, "three two"]})
+    first = [x.to_pylist() for x in P._piece_mapper(tokenizer_path(), 2048)(iter([batch]))]
+    known = dict(P.word_ids(tokenizer_path()).known)
+    assert [x.to_pylist() for x in P._piece_mapper(tokenizer_path(), 2048)(iter([batch]))] == first and P.word_ids(tokenizer_path()).known == known
+
+
 def test_bounds_certify():
     rng = np.random.default_rng(2)
     for _ in range(30):
